@@ -1,0 +1 @@
+"""No operator here works on streams: profiling and planning are batch jobs over whole tables."""
