@@ -160,12 +160,12 @@ def _propose_cuts(
     sample_keys: int,
     seed: int,
 ) -> dict[int, list[Any]]:
-    """Per gap, keys that a sample puts just below, at and just above each wanted position."""
+    """Per gap, ascending keys that a sample puts just below and above each wanted position."""
     fraction = min(1.0, sample_keys / sum(g.rows for g in gaps))
     sample = (
         _inside(keys, dtype, gaps)
         .sample(fraction, seed=seed)
-        .groupBy("gap", "key")
+        .groupBy(_gap_number(dtype, gaps), "key")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
             "gap",
@@ -192,12 +192,15 @@ def _propose_cuts(
 
     def near(w: Column) -> Column:
         rank = w["share"] * F.col("all")
+        # At the ends of a gap one side is open, so cut at the expected rank as well.
+        open_sided = (rank <= slack) | (rank + slack > F.col("all"))
         return (w["gap"] == F.col("gap")) & (
-            covers(rank - slack) | covers(rank) | covers(rank + slack)
+            covers(rank - slack) | covers(rank + slack) | (open_sided & covers(rank))
         )
 
     rows = (
         sample.where(F.col("key").isNotNull() & F.exists(wanted, near))
+        .orderBy("gap", "key")
         .select("gap", _portable(F.col("key"), dtype).alias("k"))
         .collect()
     )
@@ -211,38 +214,57 @@ def _count_around(
     keys: DataFrame, dtype: T.DataType, gaps: list[_Gap], cuts: dict[int, list[Any]]
 ) -> tuple[list[_Gap], list[tuple[Any, int, int]]]:
     """Split each gap at its cuts: the gaps in between, and the run of rows equal to each cut."""
-    measures = []
-    key = F.col("key")
-    for i, gap_cuts in cuts.items():
-        for j, cut in enumerate(gap_cuts):
-            below = _Gap(gaps[i].lo, cut).contains(key, dtype)
-            measures.append(F.count(F.when(below, 1)).alias(f"below_{i}_{j}"))
-            measures.append(F.count(F.when(key == _literal(cut, dtype), 1)).alias(f"equal_{i}_{j}"))
-    if not measures:
-        return gaps, []
-    counts = _inside(keys, dtype, gaps).agg(*measures).collect()[0]
-
-    parts, runs = [], []
+    fences = []
     for i, gap in enumerate(gaps):
+        if i > 0:
+            fences.append(gap.lo)
+        fences += cuts.get(i, [])
+    place = _place(F.col("key"), [_literal(f, dtype) for f in fences])
+    counted = _inside(keys, dtype, gaps).groupBy(place.alias("place")).count().collect()
+    rows_at = {r["place"]: r["count"] for r in counted}
+
+    parts, runs, j = [], [], 0
+    for i, gap in enumerate(gaps):
+        if i > 0:
+            j += 1
         lo, before = gap.lo, gap.before
-        counted = [
-            (counts[f"below_{i}_{j}"], counts[f"equal_{i}_{j}"], cut)
-            for j, cut in enumerate(cuts.get(i, []))
-        ]
-        for below, equal, cut in sorted(counted, key=lambda c: c[0]):
-            start = gap.before + below
-            parts.append(_Gap(lo, cut, before, start - before))
-            runs.append((cut, start, equal))
-            lo, before = cut, start + equal
-        parts.append(_Gap(lo, gap.hi, before, gap.before + gap.rows - before))
+        for cut in cuts.get(i, []):
+            below, equal = rows_at.get(2 * j, 0), rows_at.get(2 * j + 1, 0)
+            parts.append(_Gap(lo, cut, before, below))
+            runs.append((cut, before + below, equal))
+            lo, before, j = cut, before + below + equal, j + 1
+        parts.append(_Gap(lo, gap.hi, before, rows_at.get(2 * j, 0)))
     return parts, runs
 
 
+def _place(key: Column, fences: list[Column]) -> Column:
+    """Where a key lies among ascending fences: 2j below the j-th, 2j+1 on it; nulls are at 0.
+
+    A search tree, so a row meets only a few comparisons.
+    """
+
+    def search(first: int, last: int) -> Column:
+        if first == last:
+            return F.lit(2 * first)
+        middle = (first + last) // 2
+        return (
+            F.when(key < fences[middle], search(first, middle))
+            .when(key == fences[middle], 2 * middle + 1)
+            .otherwise(search(middle + 1, last))
+        )
+
+    return F.when(key.isNull(), 0).otherwise(search(0, len(fences)))
+
+
 def _rank(keys: DataFrame, dtype: T.DataType, gaps: list[_Gap], edges: list[_Edge]) -> DataFrame:
     """The keys at the wanted positions inside ``gaps``."""
     before = F.array(*[F.lit(g.before).cast("bigint") for g in gaps])
     wanted = F.array(*[_edge_struct(e) for e in edges]) if edges else _no_edges()
-    counted = _inside(keys, dtype, gaps).groupBy("gap", "key").agg(F.count(F.lit(1)).alias("n"))
+    counted = (
+        _inside(keys, dtype, gaps)
+        .groupBy(_gap_number(dtype, gaps), "key")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     upto = F.sum("n").over(W.partitionBy("gap").orderBy("key"))
     if gaps:
         upto = upto + F.get(before, F.col("gap"))
@@ -254,15 +276,16 @@ def _rank(keys: DataFrame, dtype: T.DataType, gaps: list[_Gap], edges: list[_Edg
 
 
 def _inside(keys: DataFrame, dtype: T.DataType, gaps: list[_Gap]) -> DataFrame:
-    """Rows of the gaps with the number of their gap; the gaps do not overlap."""
-    key = F.col("key")
-    tests = [g.contains(key, dtype) for g in gaps]
-    if not tests:
-        return keys.where(F.lit(False)).withColumn("gap", F.lit(0))
-    number = F.lit(len(gaps) - 1)
-    for i in range(len(gaps) - 2, -1, -1):
-        number = F.when(tests[i], i).otherwise(number)
-    return keys.where(reduce(or_, tests)).withColumn("gap", number)
+    """The rows of the gaps; their bounds are plain ranges that a file scan can skip by."""
+    if not gaps:
+        return keys.where(F.lit(False))
+    return keys.where(reduce(or_, [g.contains(F.col("key"), dtype) for g in gaps]))
+
+
+def _gap_number(dtype: T.DataType, gaps: list[_Gap]) -> Column:
+    """Which of the ascending gaps a key inside them lies in."""
+    place = _place(F.col("key"), [_literal(g.lo, dtype) for g in gaps[1:]])
+    return F.shiftright(place, 1).alias("gap")
 
 
 def _edge_struct(e: _Edge) -> Column:
