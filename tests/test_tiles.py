@@ -120,13 +120,20 @@ def test_ranges_reach_the_scan(spark, tmp_path):
     assert "SinglePartition" not in plan
 
 
-def test_no_single_task_over_the_table(spark, tmp_path):
+def test_ranked_rows_are_bounded(spark):
+    keys = spark.range(50_000).select(F.hash("id").alias("key"))
+    positions = {1, 12_500, 12_501, 25_000, 25_001, 50_000}
+    gaps, known = tiles_module._narrow(keys, keys.schema["key"].dataType, 50_000, positions, 500, 2_000)
+    assert 0 < sum(g.rows for g in gaps) <= 500
+    assert all(any(g.holds(p) for g in gaps) for p in positions - known.keys())
+
+
+def test_slices_need_no_exchange(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).select(F.col("id").alias("k")).write.parquet(path)
     df = spark.read.parquet(path)
-    for plan_of in (range_boundaries(df, "k", 4), assign_slices(df, "k", range_boundaries(df, "k", 4))):
-        plan = plan_of._jdf.queryExecution().executedPlan().toString()
-        assert "SinglePartition" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    plan = assign_slices(df, "k", range_boundaries(df, "k", 4))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
 
 
 def test_slices(spark):
