@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tilewright import PlanParams, TableSpec, analyze, build_catalog
 from tilewright.operators import assign_slices, range_boundaries
-from tilewright.plans import case1_plain, dump_result, load_rules, write_report, write_rules, write_slices
+from tilewright.plans import analyze_databases, dump_result, load_rules, write_report, write_rules, write_slices
 from tilewright.session import local_frame
 from tilewright.sources.catalog import UNBOUNDED
 
@@ -69,3 +69,19 @@ def test_analyze(spark):
     # Reading the result does not scan the user tables again.
     plan = done.final._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("FileScan") == 2
+
+
+def test_one_database_fails(spark, tmp_path):
+    def shop():
+        frames = {"t": local_frame(spark, [(1,)], "id int")}
+        return build_catalog(spark, frames), {f"main.{t}": df for t, df in frames.items()}
+
+    def closed():
+        raise ConnectionError("closed")
+
+    def empty():
+        return make_catalog(spark), {}
+
+    outcome = analyze_databases(spark, {"closed": closed, "shop": shop, "empty": empty}, str(tmp_path))
+    assert isinstance(outcome["closed"], ConnectionError) and outcome["empty"] is None
+    assert spark.read.json(outcome["shop"]).first().TableName == "t"

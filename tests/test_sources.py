@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilewright.operators import leading_key_column, lob_columns, partition_info, user_schemas
-from tilewright.session import local_frame, materialize, shared_folder
+from tilewright.session import local_frame, materialize, shared_folder, union_small
 from tilewright.sources import (
     POSTGRES,
     SQL_SERVER,
@@ -10,7 +10,9 @@ from tilewright.sources import (
     TableSpec,
     build_catalog,
     read_catalog,
+    read_databases,
     read_query,
+    read_schemas,
     read_table,
     read_tables,
     session_catalog,
@@ -159,3 +161,24 @@ def test_predicates_cover_every_row_once(spark, boundaries):
     df = local_frame(spark, [(k,) for k in [None, 1, 3, 5, 6, 7, 9]], "k int")
     parts = [df.where(p).count() for p in jdbc.slice_predicates("k", boundaries)]
     assert len(parts) == len(boundaries) + 1 and sum(parts) == 7
+
+
+def test_name_lists(spark, monkeypatch):
+    frames = {
+        SQL_SERVER["databases"]: local_frame(spark, [("master", "ONLINE"), ("shop", "ONLINE")], "name string, state_desc string"),
+        POSTGRES["databases"]: local_frame(spark, [("app", False, True)], "datname string, datistemplate boolean, datallowconn boolean"),
+        jdbc.SCHEMA_LIST: local_frame(spark, [("public",), ("pg_catalog",)], "schema_name string"),
+    }
+    monkeypatch.setattr(jdbc, "read_query", lambda spark, server, query: frames[query])
+    postgres = JdbcServer(POSTGRES, "pg.example", "u", "p")
+    assert [r[0] for r in read_databases(spark, SERVER).collect()] == ["shop"]
+    assert [r[0] for r in read_databases(spark, postgres).collect()] == ["app"]
+    assert [r[0] for r in read_schemas(spark, postgres).collect()] == ["public"]
+
+
+def test_long_unions_are_stored(spark):
+    parts = [spark.range(i, i + 1) for i in range(70)]
+    df = union_small(parts, "many")
+    assert sorted(r.id for r in df.collect()) == list(range(70))
+    assert len(df.inputFiles()) == 3
+    assert union_small(parts[:3], "few").count() == 3

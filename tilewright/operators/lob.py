@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -14,7 +13,7 @@ from tilewright.functions.columns import (
     whole_kb,
     whole_mb,
 )
-from tilewright.session import local_frame
+from tilewright.session import local_frame, union_small
 from tilewright.sources.catalog import UNBOUNDED
 
 # Type names that count as large objects when they are unbounded.
@@ -101,7 +100,7 @@ def lob_profiles(
     ]
     if not parts:
         return local_frame(spark, [], LOB_PROFILE)
-    return reduce(DataFrame.unionByName, parts)
+    return union_small(parts, "profile")
 
 
 def dedup_profile(profile: DataFrame) -> DataFrame:

@@ -25,8 +25,8 @@ from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
-EXACT_ROWS = 1_000_000
-SAMPLE_KEYS = 200_000
+EXACT_ROWS = 2_000_000
+SAMPLE_KEYS = 500_000
 MAX_ROUNDS = 30
 
 
@@ -165,14 +165,12 @@ def _propose_cuts(
     sample = (
         _inside(keys, dtype, gaps)
         .sample(fraction, seed=seed)
-        .groupBy(_gap_number(dtype, gaps), "key")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .select(_gap_number(dtype, gaps), "key")
         .select(
             "gap",
             "key",
-            "n",
-            F.sum("n").over(W.partitionBy("gap").orderBy("key")).alias("upto"),
-            F.sum("n").over(W.partitionBy("gap")).alias("all"),
+            F.row_number().over(W.partitionBy("gap").orderBy("key")).alias("place"),
+            F.count(F.lit(1)).over(W.partitionBy("gap")).alias("all"),
         )
     )
     shares = {
@@ -187,26 +185,27 @@ def _propose_cuts(
     # Four standard deviations of a position's rank in the sample.
     slack = 2 * F.sqrt("all")
 
-    def covers(rank: Column) -> Column:
-        return (F.col("upto") - F.col("n") < rank) & (rank <= F.col("upto"))
+    def at(rank: Column) -> Column:
+        return F.col("place") == F.ceil(rank)
 
     def near(w: Column) -> Column:
         rank = w["share"] * F.col("all")
         # At the ends of a gap one side is open, so cut at the expected rank as well.
         open_sided = (rank <= slack) | (rank + slack > F.col("all"))
         return (w["gap"] == F.col("gap")) & (
-            covers(rank - slack) | covers(rank + slack) | (open_sided & covers(rank))
+            at(rank - slack) | at(rank + slack) | (open_sided & at(rank))
         )
 
     rows = (
         sample.where(F.col("key").isNotNull() & F.exists(wanted, near))
-        .orderBy("gap", "key")
-        .select("gap", _portable(F.col("key"), dtype).alias("k"))
+        .select("gap", "place", _portable(F.col("key"), dtype).alias("k"))
         .collect()
     )
     cuts: dict[int, list[Any]] = {}
-    for r in rows:
-        cuts.setdefault(r.gap, []).append(r.k)
+    for r in sorted(rows, key=lambda r: (r.gap, r.place)):
+        known = cuts.setdefault(r.gap, [])
+        if not known or known[-1] != r.k:
+            known.append(r.k)
     return cuts
 
 

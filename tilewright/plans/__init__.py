@@ -1,4 +1,4 @@
-from tilewright.plans.analyze import Analysis, analyze, profile_tables
+from tilewright.plans.analyze import Analysis, analyze, analyze_databases, profile_tables
 from tilewright.plans.rules import (
     apply_rules,
     case1_plain,
@@ -14,6 +14,7 @@ from tilewright.plans.sinks import dump_result, write_report, write_rules, write
 __all__ = [
     "Analysis",
     "analyze",
+    "analyze_databases",
     "apply_rules",
     "case1_plain",
     "case2_ranges",

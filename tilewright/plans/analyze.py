@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import logging
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,12 @@ from tilewright.operators.lob import dedup_profile, lob_columns, lob_profiles
 from tilewright.operators.report import final_report, table_report
 from tilewright.params import PlanParams
 from tilewright.plans.rules import apply_rules, load_rules
+from tilewright.plans.sinks import dump_result
 from tilewright.session import materialize
 from tilewright.sources.catalog import Catalog
 
+logger = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Analysis:
@@ -52,3 +56,28 @@ def analyze(
     report = materialize(table_report(catalog, profile, params.size_bounds), "report")
     rules = materialize(load_rules(report, catalog, tables, params), "rules")
     return Analysis(report, rules, final_report(apply_rules(report, rules), params.report_name))
+
+
+def analyze_databases(
+    spark: SparkSession,
+    databases: Mapping[str, Callable[[], tuple[Catalog, Mapping[str, DataFrame]]]],
+    folder: str,
+    params: PlanParams = PlanParams(),
+) -> dict[str, str | Exception | None]:
+    """Analyse several databases in turn and store each final report under ``folder``.
+
+    Each entry opens one database. Returns, by database, the path of the stored
+    report, None if it has no rows, or the error that stopped it; an error in
+    one database does not stop the others.
+    """
+    outcome: dict[str, str | Exception | None] = {}
+    for name, open_database in databases.items():
+        try:
+            catalog, tables = open_database()
+            final = analyze(spark, catalog, tables, params).final
+            outcome[name] = dump_result(final, folder, name)
+            logger.info("analysed %s: %s", name, outcome[name] or "no rows")
+        except Exception as error:
+            logger.exception("analysis of %s failed", name)
+            outcome[name] = error
+    return outcome

@@ -17,7 +17,7 @@ from tilewright.operators.keys import leading_key_column
 from tilewright.operators.report import rollup_by_table
 from tilewright.operators.tiles import range_boundaries
 from tilewright.params import PlanParams
-from tilewright.session import local_frame
+from tilewright.session import CONCURRENT_PLANS, local_frame, union_small
 from tilewright.sources.catalog import Catalog
 
 RULES = (
@@ -36,9 +36,6 @@ CASE_LABELS = {
 RULE_ID_BASE = {case: case * 100_000_000 for case in (1, 2, 3, 4, 5)}
 SECOND_RULE_OFFSET = 10_000_000
 
-# Tables whose key ranges are looked up at the same time.
-CONCURRENT_TABLES = 4
-
 
 def case1_plain(report: DataFrame, params: PlanParams = PlanParams()) -> DataFrame:
     """Not partitioned, few rows, no or small LOBs: load whole."""
@@ -191,11 +188,9 @@ def _with_boundaries(chosen: DataFrame, tables: Mapping[str, DataFrame]) -> Data
     )
     if not wanted:
         return known.withColumn("boundaries", F.lit(None).cast("string"))
-    with ThreadPoolExecutor(CONCURRENT_TABLES) as pool:
+    with ThreadPoolExecutor(CONCURRENT_PLANS) as pool:
         parts = list(pool.map(boundaries, wanted))
-    return known.join(
-        reduce(DataFrame.unionByName, parts), ["SchemaName", "TableName"], "left"
-    )
+    return known.join(union_small(parts, "boundaries"), ["SchemaName", "TableName"], "left")
 
 
 def _boundary_json(found: DataFrame) -> Column:

@@ -1,10 +1,12 @@
-"""Session defaults and the one place where lineage is cut."""
+"""Session defaults, small frames, and the one place where lineage is cut."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -33,6 +35,11 @@ def build_session(
     return builder.getOrCreate()
 
 
+# Tables that share one plan, and plans that run at the same time.
+TABLES_PER_PLAN = 32
+CONCURRENT_PLANS = 4
+
+
 def local_frame(spark: SparkSession, rows: Iterable[tuple], schema: str | T.StructType) -> DataFrame:
     """A small frame of known size, so that joins with it are planned by its size.
 
@@ -68,3 +75,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def union_small(parts: Sequence[DataFrame], name: str) -> DataFrame:
+    """Union of many small results, each computed from a table of its own.
+
+    Planning time grows faster than the number of tables in a plan. A long list
+    is therefore computed a few tables at a time and stored in the shared folder.
+    """
+    if len(parts) <= TABLES_PER_PLAN:
+        return reduce(DataFrame.unionByName, parts)
+    spark, schema = parts[0].sparkSession, parts[0].schema
+    folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    batches = {
+        f"{folder}/{i}": parts[i : i + TABLES_PER_PLAN]
+        for i in range(0, len(parts), TABLES_PER_PLAN)
+    }
+
+    def store(path: str) -> None:
+        batch = reduce(DataFrame.unionByName, batches[path])
+        batch.coalesce(1).write.parquet(path)
+
+    with ThreadPoolExecutor(CONCURRENT_PLANS) as pool:
+        list(pool.map(store, batches))
+    return spark.read.schema(schema).parquet(*batches)

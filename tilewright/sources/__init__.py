@@ -10,7 +10,9 @@ from tilewright.sources.jdbc import (
     SQL_SERVER,
     JdbcServer,
     read_catalog,
+    read_databases,
     read_query,
+    read_schemas,
     read_table,
     read_tables,
 )
@@ -23,7 +25,9 @@ __all__ = [
     "TableSpec",
     "build_catalog",
     "read_catalog",
+    "read_databases",
     "read_query",
+    "read_schemas",
     "read_table",
     "read_tables",
     "session_catalog",

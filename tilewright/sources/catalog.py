@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from tilewright.session import local_frame
+from tilewright.session import local_frame, union_small
 
 COLUMNS = "object_id int, column_id int, name string, user_type_id int, max_length int"
 TABLES = "object_id int, schema_id int, name string, is_ms_shipped int"
@@ -96,19 +96,22 @@ def build_catalog(
 
     Row counts come from ``count(*)``, which reads only file footers for
     Parquet. Partition rows group by the partition expression alone. Only
-    columns without a declared length cost a scan of their values. Spark does
-    not enforce keys; with ``check_keys`` a key that holds nulls is not marked
+    columns without a declared length cost a scan of their values. A catalog of
+    many tables is counted while it is built. Spark does not enforce keys; with ``check_keys`` a key that holds nulls is not marked
     as primary, at the price of a scan of the key columns.
     """
     specs = specs or {}
     ids = {name: first_object_id + i for i, name in enumerate(sorted(frames))}
-    columns, tables, index_columns = [], [], []
-    measured, indexes, partitions = [], [], []
+    columns, tables, indexes, index_columns = [], [], [], []
+    measured, checked, partitions = [], [], []
     for name, object_id in ids.items():
         df, spec = frames[name], specs.get(name, TableSpec())
-        index_id = 1 if spec.key else 0
+        index_id = 1 if spec.key else 0  # clustered on the key, or a heap
         tables.append((object_id, schema_id, name, 0))
-        indexes.append(_index(spark, df, object_id, index_id, spec.key, check_keys))
+        if spec.key and check_keys:
+            checked.append(_checked_index(df, object_id, index_id, spec.key))
+        else:
+            indexes.append((object_id, index_id, index_id))
         partitions.append(_partition_rows(df, object_id, index_id, spec.partition_by))
         positions = {c: i for i, c in enumerate(df.columns, start=1)}
         for i, key in enumerate(spec.key, start=1):
@@ -124,12 +127,12 @@ def build_catalog(
         if unknown:
             measured.append(_measured_columns(df, object_id, unknown))
     return Catalog(
-        columns=reduce(DataFrame.unionByName, measured, local_frame(spark, columns, COLUMNS)),
+        columns=_with(local_frame(spark, columns, COLUMNS), measured, "columns"),
         tables=local_frame(spark, tables, TABLES),
         schemas=local_frame(spark, [(schema_id, schema)], SCHEMAS),
         types=local_frame(spark, [(i, n) for n, i in TYPE_IDS.items()], TYPES),
-        indexes=reduce(DataFrame.unionByName, indexes),
-        partitions=reduce(DataFrame.unionByName, partitions),
+        indexes=_with(local_frame(spark, indexes, INDEXES), checked, "indexes"),
+        partitions=union_small(partitions, "partitions"),
         index_columns=local_frame(spark, index_columns, INDEX_COLUMNS),
     )
 
@@ -177,16 +180,13 @@ def session_databases(spark: SparkSession) -> DataFrame:
     return local_frame(spark, names, "schema_name string")
 
 
-def _index(
-    spark: SparkSession,
-    df: DataFrame,
-    object_id: int,
-    index_id: int,
-    key: Sequence[str],
-    check: bool,
+def _with(known: DataFrame, found: list[DataFrame], name: str) -> DataFrame:
+    return known.unionByName(union_small(found, name)) if found else known
+
+
+def _checked_index(
+    df: DataFrame, object_id: int, index_id: int, key: Sequence[str]
 ) -> DataFrame:
-    if not (key and check):
-        return local_frame(spark, [(object_id, index_id, int(bool(key)))], INDEXES)
     complete = reduce(lambda a, b: a & b, [F.col(_quoted(k)).isNotNull() for k in key])
     return df.agg(F.min(complete).alias("complete")).select(
         F.lit(object_id).alias("object_id"),

@@ -11,25 +11,23 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tilewright.operators.names import user_databases, user_pg_databases, user_schemas
 from tilewright.sources.catalog import Catalog
 
-# JDBC driver classes, URL forms and default databases.
+# JDBC driver classes, URL forms, default databases and database lists.
 SQL_SERVER = {
     "driver": "com.microsoft.sqlserver.jdbc.SQLServerDriver",
     "url": "jdbc:sqlserver://{host}:{port};databaseName={database};encrypt=true",
     "port": 1433,
     "database": "master",
+    "databases": "SELECT name, state_desc FROM sys.databases",
 }
 POSTGRES = {
     "driver": "org.postgresql.Driver",
     "url": "jdbc:postgresql://{host}:{port}/{database}",
     "port": 5432,
     "database": "postgres",
-}
-
-DATABASE_LIST = {
-    "sql_server": "SELECT name, state_desc FROM sys.databases",
-    "postgres": "SELECT datname, datistemplate, datallowconn FROM pg_database",
+    "databases": "SELECT datname, datistemplate, datallowconn FROM pg_database",
 }
 SCHEMA_LIST = "SELECT schema_name FROM information_schema.schemata"
 
@@ -71,6 +69,17 @@ def read_query(spark: SparkSession, server: JdbcServer, query: str) -> DataFrame
     return spark.read.format("jdbc").options(**server.options()).option("query", query).load()
 
 
+def read_databases(spark: SparkSession, server: JdbcServer) -> DataFrame:
+    """Names of the server's user databases; the filter runs on the server."""
+    databases = read_query(spark, server, server.kind["databases"])
+    return user_databases(databases) if server.kind is SQL_SERVER else user_pg_databases(databases)
+
+
+def read_schemas(spark: SparkSession, server: JdbcServer) -> DataFrame:
+    """Names of the user schemas of the database the server entry points to."""
+    return user_schemas(read_query(spark, server, SCHEMA_LIST))
+
+
 def read_catalog(spark: SparkSession, server: JdbcServer) -> Catalog:
     return Catalog(**{k: read_query(spark, server, q) for k, q in _CATALOG_QUERIES.items()})
 

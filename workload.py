@@ -7,6 +7,7 @@ catalog are all derived by Spark from those tables.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -93,7 +94,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def load(
     spark: SparkSession, sf_dir: str, names: Iterable[str] = TABLES
 ) -> dict[str, DataFrame]:
-    return {name: table(spark, sf_dir, name) for name in names}
+    names = list(names)
+    with ThreadPoolExecutor(8) as pool:  # file schemas are read at the same time
+        return dict(zip(names, pool.map(lambda name: table(spark, sf_dir, name), names)))
 
 
 def by_full_name(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
