@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
@@ -17,7 +16,7 @@ from tilewright.operators.keys import leading_key_column
 from tilewright.operators.report import rollup_by_table
 from tilewright.operators.tiles import range_boundaries
 from tilewright.params import PlanParams
-from tilewright.session import CONCURRENT_PLANS, local_frame, union_small
+from tilewright.session import CONCURRENT_PLANS, local_frame, union_all, union_small
 from tilewright.sources.catalog import Catalog
 
 RULES = (
@@ -103,17 +102,19 @@ def load_rules(
     params: PlanParams = PlanParams(),
 ) -> DataFrame:
     """The rules of all six cases. ``report`` is read repeatedly, so pass a stored one."""
-    parts = [
+    with ThreadPoolExecutor(2) as pool:  # both look up keys in the tables
+        case2, case4 = pool.map(
+            lambda case: case(report, catalog, tables, params), (case2_ranges, case4_lob_ranges)
+        )
+    cases = [
         case1_plain(report, params),
-        case2_ranges(report, catalog, tables, params),
+        case2,
         case3_partitions(report, params),
-        case4_lob_ranges(report, catalog, tables, params),
+        case4,
         case5_lob_partitions(report, params),
         case6_lob_plain(report, params),
     ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(
-        *T.StructType.fromDDL(RULES).names
-    )
+    return union_all(cases).select(*T.StructType.fromDDL(RULES).names)
 
 
 def apply_rules(report: DataFrame, rules: DataFrame) -> DataFrame:

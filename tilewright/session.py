@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -77,6 +76,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union by halves: a chain would analyse its first members once per union."""
+    if len(parts) == 1:
+        return parts[0]
+    half = len(parts) // 2
+    return union_all(parts[:half]).unionByName(union_all(parts[half:]), allowMissingColumns=True)
+
+
 def union_small(parts: Sequence[DataFrame], name: str) -> DataFrame:
     """Union of many small results, each computed from a table of its own.
 
@@ -84,7 +91,7 @@ def union_small(parts: Sequence[DataFrame], name: str) -> DataFrame:
     is therefore computed a few tables at a time and stored in the shared folder.
     """
     if len(parts) <= TABLES_PER_PLAN:
-        return reduce(DataFrame.unionByName, parts)
+        return union_all(parts)
     spark, schema = parts[0].sparkSession, parts[0].schema
     folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     batches = {
@@ -93,8 +100,7 @@ def union_small(parts: Sequence[DataFrame], name: str) -> DataFrame:
     }
 
     def store(path: str) -> None:
-        batch = reduce(DataFrame.unionByName, batches[path])
-        batch.coalesce(1).write.parquet(path)
+        union_all(batches[path]).coalesce(1).write.parquet(path)
 
     with ThreadPoolExecutor(CONCURRENT_PLANS) as pool:
         list(pool.map(store, batches))

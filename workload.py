@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -48,7 +47,7 @@ from tilewright.plans import (
     load_rules,
     profile_tables,
 )
-from tilewright.session import local_frame, materialize
+from tilewright.session import local_frame, materialize, union_all
 from tilewright.sources import Catalog, TableSpec, build_catalog
 from tilewright.sources.catalog import UNBOUNDED
 
@@ -238,7 +237,7 @@ def q_report_with_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         case5_lob_partitions(report, FEW_ROWS),
         case6_lob_plain(report, FEW_ROWS),
     ]
-    return apply_rules(report, reduce(DataFrame.unionByName, rules))
+    return apply_rules(report, union_all(rules))
 
 
 def q_final_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,14 +360,12 @@ def q_sequence_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact distinct counts here; the default is a sketch."""
     frames = load(spark, sf_dir)
-    return reduce(
-        DataFrame.unionByName, [column_stats(frames[t], t, exact_distinct=True) for t in TABLES]
-    )
+    return union_all([column_stats(frames[t], t, exact_distinct=True) for t in TABLES])
 
 
 def q_column_stats_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = load(spark, sf_dir)
-    return reduce(DataFrame.unionByName, [column_stats(frames[t], t) for t in TABLES])
+    return union_all([column_stats(frames[t], t) for t in TABLES])
 
 
 def sliced(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
