@@ -79,6 +79,26 @@ def test_null_and_hot_keys(spark):
         assert [found[i] for i in range(1, 11)] == by_ntile(keys, 10)
 
 
+def test_many_tiles(spark):
+    """More gaps and fences than fit one filter and one search tree."""
+    keys = [None] * 500 + [i * 7 % 20_011 for i in range(20_000)] + [11] * 3_000
+    df = local_frame(spark, [(k,) for k in keys], "k bigint")
+    ordered = by_ntile(keys, 60)
+    for limits in ({}, {"exact_rows": 8_000, "sample_keys": 4_000}, {"exact_rows": 100, "sample_keys": 6_000}):
+        found = {r[0]: tuple(r) for r in range_boundaries(df, "k", 60, **limits).collect()}
+        assert [found[i] for i in range(1, 61)] == ordered
+
+
+@pytest.mark.parametrize("count", [1, 24, 25, 63, 64, 100])
+def test_places(spark, count):
+    fences = [3 * i for i in range(count)]
+    df = local_frame(spark, [(k,) for k in [None, *range(-2, 3 * count + 2)]], "k bigint")
+    place = tiles_module._place(F.col("k"), [F.lit(f).cast("bigint") for f in fences])
+    for k, at in df.select("k", place).collect():
+        below = 0 if k is None else sum(f < k for f in fences)
+        assert at == 2 * below + (k in fences)
+
+
 def test_nothing_but_one_key(spark):
     df = spark.range(500).select(F.lit(3).alias("k"))
     assert boundaries(df, 4, **TIGHT) == [(i, 125, 3, 3) for i in range(1, 5)]
@@ -113,7 +133,7 @@ def test_bad_cuts_stay_exact(spark, monkeypatch):
 def test_ranges_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10_000).select(F.col("id").alias("k"), F.lit("wide").alias("other")).write.parquet(path)
-    found = range_boundaries(spark.read.parquet(path), "k", 4, exact_rows=500, sample_keys=2_000)
+    found = range_boundaries(spark.read.parquet(path), "k", 4, exact_rows=5_000, sample_keys=2_000)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<k:bigint>" in plan
     assert "GreaterThan(k," in plan and "LessThan(k," in plan

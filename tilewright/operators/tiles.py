@@ -17,11 +17,12 @@ Any cut keys give the right result: a bad sample costs a round, not exactness.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
-from typing import Any, NamedTuple
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
@@ -29,14 +30,10 @@ EXACT_ROWS = 2_000_000
 SAMPLE_KEYS = 500_000
 MAX_ROUNDS = 30
 
-
-class _Edge(NamedTuple):
-    """A wanted key: the one at ``position`` (from 1) is the first or last of tile ``loc``."""
-
-    loc: int
-    cnt_vals: int
-    is_first: bool
-    position: int
+# Ranges in one file filter, and fences in one search tree: larger expressions
+# would leave compiled code, so beyond that ranges are merged and trees replaced.
+PUSHED_RANGES = 16
+TREE_FENCES = 24
 
 
 @dataclass(frozen=True)
@@ -76,15 +73,31 @@ def range_boundaries(
     keys = df.select(F.col(key).alias("key"))
     dtype = keys.schema["key"].dataType
     total = df.count()
-    edges = _tile_edges(total, tiles)
-    gaps, known = _narrow(keys, dtype, total, {e.position for e in edges}, exact_rows, sample_keys)
-    found = _rank(keys, dtype, gaps, [e for e in edges if e.position not in known])
+    size, longer = divmod(total, tiles)
+    positions, end = set(), 0
+    for loc in range(1, min(tiles, total) + 1):
+        positions.add(end + 1)
+        end += size + (loc <= longer)
+        positions.add(end)
+    gaps, known = _narrow(keys, dtype, total, positions, exact_rows, sample_keys)
+
+    # A run of equal keys at positions first..last belongs to one or more tiles.
+    runs = _ranked_runs(keys, dtype, gaps)
     if known:
-        rows = [(*e, known[e.position]) for e in edges if e.position in known]
-        found = found.unionByName(_known_edges(df.sparkSession, dtype, rows))
-    return found.groupBy("loc", "cnt_vals").agg(
-        F.max(F.when(F.col("is_first"), F.col("key"))).alias("min_val"),
-        F.max(F.when(~F.col("is_first"), F.col("key"))).alias("max_val"),
+        runs = runs.unionByName(_known_runs(df.sparkSession, dtype, known))
+    loc = F.explode(
+        F.sequence(_tile_of(F.col("first"), size, longer), _tile_of(F.col("last"), size, longer))
+    )
+    return (
+        runs.select("key", "last", loc.alias("loc"))
+        .groupBy(F.col("loc").cast("int").alias("loc"))
+        .agg(F.min_by("key", "last").alias("min_val"), F.max_by("key", "last").alias("max_val"))
+        .select(
+            "loc",
+            F.when(F.col("loc") <= longer, size + 1).otherwise(size).cast("bigint").alias("cnt_vals"),
+            "min_val",
+            "max_val",
+        )
     )
 
 
@@ -118,14 +131,16 @@ def slice_balance(sliced: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _tile_edges(total: int, tiles: int) -> list[_Edge]:
-    size, longer = divmod(total, tiles)
-    edges, end = [], 0
-    for loc in range(1, min(tiles, total) + 1):
-        start, end = end + 1, end + size + (loc <= longer)
-        count = end - start + 1
-        edges += [_Edge(loc, count, True, start), _Edge(loc, count, False, end)]
-    return edges
+def _tile_of(position: Column, size: int, longer: int) -> Column:
+    """The tile of a position when the first ``longer`` tiles have one row more than ``size``."""
+    past = longer * (size + 1)
+    return F.when(
+        position <= past, _div(position - 1, size + 1) + 1
+    ).otherwise(_div(position - 1 - past, max(size, 1)) + 1 + longer)
+
+
+def _div(value: Column, by: int) -> Column:
+    return F.call_function("div", value, F.lit(by).cast("bigint"))
 
 
 def _narrow(
@@ -162,53 +177,42 @@ def _propose_cuts(
 ) -> dict[int, list[Any]]:
     """Per gap, ascending keys that a sample puts just below and above each wanted position."""
     fraction = min(1.0, sample_keys / sum(g.rows for g in gaps))
-    sample = (
+    wanted = {
+        (i << 40) + rank
+        for i, gap in enumerate(gaps)
+        for position in positions
+        if gap.holds(position)
+        for rank in _sample_ranks(position - gap.before, gap.rows, fraction)
+    }
+    rank = F.row_number().over(W.partitionBy("gap").orderBy("key"))
+    rows = (
         _inside(keys, dtype, gaps)
         .sample(fraction, seed=seed)
         .select(_gap_number(dtype, gaps), "key")
-        .select(
-            "gap",
-            "key",
-            F.row_number().over(W.partitionBy("gap").orderBy("key")).alias("place"),
-            F.count(F.lit(1)).over(W.partitionBy("gap")).alias("all"),
-        )
-    )
-    shares = {
-        (i, round((p - g.before - 0.5) / g.rows, 6) or 1e-7)
-        for i, g in enumerate(gaps)
-        for p in positions
-        if g.holds(p)
-    }
-    wanted = F.array(
-        *[F.struct(F.lit(i).alias("gap"), F.lit(share).alias("share")) for i, share in sorted(shares)]
-    )
-    # Four standard deviations of a position's rank in the sample.
-    slack = 2 * F.sqrt("all")
-
-    def at(rank: Column) -> Column:
-        return F.col("place") == F.ceil(rank)
-
-    def near(w: Column) -> Column:
-        rank = w["share"] * F.col("all")
-        # At the ends of a gap one side is open, so cut at the expected rank as well.
-        open_sided = (rank <= slack) | (rank + slack > F.col("all"))
-        return (w["gap"] == F.col("gap")) & (
-            at(rank - slack) | at(rank + slack) | (open_sided & at(rank))
-        )
-
-    rows = (
-        sample.where(F.col("key").isNotNull() & F.exists(wanted, near))
+        .withColumn("place", F.shiftleft(F.col("gap").cast("bigint"), 40) + rank)
+        .where(F.col("place").isin(*wanted) & F.col("key").isNotNull())
         .select("gap", "place", _portable(F.col("key"), dtype).alias("k"))
         .collect()
     )
     cuts: dict[int, list[Any]] = {}
-    for r in sorted(rows, key=lambda r: (r.gap, r.place)):
+    for r in sorted(rows, key=lambda r: r.place):
         known = cuts.setdefault(r.gap, [])
         if not known or known[-1] != r.k:
             known.append(r.k)
     return cuts
 
 
+def _sample_ranks(position: int, rows: int, fraction: float) -> set[int]:
+    """Ranks in a sample four standard deviations around the expected one of ``position``."""
+    expected = position * fraction
+    slack = 4 * math.sqrt(expected * (1 - fraction))
+    low, high = math.floor(expected - slack), math.ceil(expected + slack)
+    if low >= 1 and high <= rows * fraction:
+        return {low, high}
+    # One side is open at the ends of a gap, so cut at the expected rank as well.
+    return {r for r in (low, max(1, round(expected)), high) if r >= 1}
+
+
 def _count_around(
     keys: DataFrame, dtype: T.DataType, gaps: list[_Gap], cuts: dict[int, list[Any]]
 ) -> tuple[list[_Gap], list[tuple[Any, int, int]]]:
@@ -241,6 +245,8 @@ def _place(key: Column, fences: list[Column]) -> Column:
 
     A search tree, so a row meets only a few comparisons.
     """
+    if len(fences) > TREE_FENCES:
+        return _place_among_many(key, F.array(*fences), len(fences))
 
     def search(first: int, last: int) -> Column:
         if first == last:
@@ -255,30 +261,66 @@ def _place(key: Column, fences: list[Column]) -> Column:
     return F.when(key.isNull(), 0).otherwise(search(0, len(fences)))
 
 
-def _rank(keys: DataFrame, dtype: T.DataType, gaps: list[_Gap], edges: list[_Edge]) -> DataFrame:
-    """The keys at the wanted positions inside ``gaps``."""
-    before = F.array(*[F.lit(g.before).cast("bigint") for g in gaps])
-    wanted = F.array(*[_edge_struct(e) for e in edges]) if edges else _no_edges()
+def _place_among_many(key: Column, fences: Column, count: int) -> Column:
+    """The same by halving steps over the fences as an array; its size does not grow the code."""
+    steps = [1 << i for i in range(count.bit_length() - 1, -1, -1)]
+
+    def advance(passed: Column, step: Column) -> Column:
+        reached = F.get(fences, passed + step - 1) <= key
+        return passed + F.when(reached, step).otherwise(0)
+
+    def finish(passed: Column) -> Column:
+        on_fence = F.get(fences, passed - 1) == key
+        return 2 * passed - F.when(on_fence, 1).otherwise(0)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), advance, finish)
+
+
+def _ranked_runs(keys: DataFrame, dtype: T.DataType, gaps: list[_Gap]) -> DataFrame:
+    """Each distinct key inside ``gaps`` with the first and last position it takes up."""
     counted = (
         _inside(keys, dtype, gaps)
         .groupBy(_gap_number(dtype, gaps), "key")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = F.sum("n").over(W.partitionBy("gap").orderBy("key"))
-    if gaps:
-        upto = upto + F.get(before, F.col("gap"))
-    here = F.filter(
-        wanted,
-        lambda e: (e["position"] > F.col("upto") - F.col("n")) & (e["position"] <= F.col("upto")),
+    before = F.array(*[F.lit(g.before).cast("bigint") for g in gaps] or [F.lit(0).cast("bigint")])
+    last = F.sum("n").over(W.partitionBy("gap").orderBy("key")) + F.get(before, F.col("gap"))
+    return counted.withColumn("last", last).select(
+        "key", (F.col("last") - F.col("n") + 1).alias("first"), "last"
     )
-    return counted.withColumn("upto", upto).select("key", F.inline(here)).drop("position")
+
+
+def _known_runs(spark: SparkSession, dtype: T.DataType, known: dict[int, Any]) -> DataFrame:
+    rows = [
+        F.struct(
+            _literal(key, dtype).alias("key"),
+            F.lit(position).cast("bigint").alias("first"),
+            F.lit(position).cast("bigint").alias("last"),
+        )
+        for position, key in known.items()
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def _inside(keys: DataFrame, dtype: T.DataType, gaps: list[_Gap]) -> DataFrame:
     """The rows of the gaps; their bounds are plain ranges that a file scan can skip by."""
     if not gaps:
         return keys.where(F.lit(False))
-    return keys.where(reduce(or_, [g.contains(F.col("key"), dtype) for g in gaps]))
+    key, group = F.col("key"), math.ceil(len(gaps) / PUSHED_RANGES)
+    ranges = [
+        _Gap(gaps[i].lo, gaps[min(i + group, len(gaps)) - 1].hi).contains(key, dtype)
+        for i in range(0, len(gaps), group)
+    ]
+    inside = keys.where(reduce(or_, ranges))
+    if group == 1:
+        return inside
+    # Ranges of several gaps also hold the keys between them.
+    place = _place(key, [_literal(g.lo, dtype) for g in gaps[1:]])
+    ends = F.array(
+        *[F.lit(None) if g.hi is None else _literal(g.hi, dtype) for g in gaps]
+    )
+    below_end = F.coalesce(key < F.get(ends, F.shiftright(place, 1)), F.lit(True))
+    return inside.where((place % 2 == 0) & below_end)
 
 
 def _gap_number(dtype: T.DataType, gaps: list[_Gap]) -> Column:
@@ -287,32 +329,6 @@ def _gap_number(dtype: T.DataType, gaps: list[_Gap]) -> Column:
     return F.shiftright(place, 1).alias("gap")
 
 
-def _edge_struct(e: _Edge) -> Column:
-    return F.struct(
-        F.lit(e.loc).alias("loc"),
-        F.lit(e.cnt_vals).cast("bigint").alias("cnt_vals"),
-        F.lit(e.is_first).alias("is_first"),
-        F.lit(e.position).cast("bigint").alias("position"),
-    )
-
-
-def _no_edges() -> Column:
-    return F.array().cast("array<struct<loc:int,cnt_vals:bigint,is_first:boolean,position:bigint>>")
-
-
-def _known_edges(spark: SparkSession, dtype: T.DataType, rows: list[tuple]) -> DataFrame:
-    keys = [
-        F.struct(
-            _literal(k, dtype).alias("key"),
-            F.lit(loc).alias("loc"),
-            F.lit(count).cast("bigint").alias("cnt_vals"),
-            F.lit(is_first).alias("is_first"),
-        )
-        for loc, count, is_first, _, k in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*keys)))
-
-
 def _portable(key: Column, dtype: T.DataType) -> Column:
     """A form of the key that goes through the driver and back without loss."""
     if isinstance(dtype, T.TimestampType):
