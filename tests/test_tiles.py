@@ -166,3 +166,20 @@ def test_slices(spark):
         assert r.slice == 1 + sum(r.k is not None and r.k >= s for s in starts)
     balance = {r.slice: tuple(r)[1:] for r in slice_balance(sliced, "k").collect()}
     assert balance == {1: (3, 1, 1), 2: (3, 2, 4), 3: (2, 5, 6)}
+
+
+@pytest.mark.parametrize("tiles", [1, 9, 60])
+def test_slices_of_a_hot_key(spark, tiles):
+    keys = [None, *range(0, 400), *[50] * 500, *range(350, 400)]
+    df = local_frame(spark, [(k,) for k in keys], "k int")
+    found = range_boundaries(df, "k", tiles)
+    starts = [r.min_val for r in found.where("loc > 1").orderBy("loc").collect()]
+    assert tiles == 1 or len(set(starts)) < len(starts)
+    for r in assign_slices(df, "k", found).collect():
+        assert r.slice == 1 + sum(r.k is not None and r.k >= s for s in starts)
+
+
+def test_slices_of_nothing(spark):
+    df = local_frame(spark, [(1,), (None,)], "k int")
+    none = range_boundaries(df.where("k > 1"), "k", 3)
+    assert [r.slice for r in assign_slices(df, "k", none).collect()] == [1, 1]

@@ -116,10 +116,11 @@ def assign_slices(df: DataFrame, key: str, boundaries: DataFrame) -> DataFrame:
         .orderBy("loc").collect()
         if r.k is not None
     ]
-    passed = [
-        F.when(F.col(key) >= _literal(s, dtype), 1).otherwise(0) for s in starts
-    ]
-    return df.withColumn("slice", reduce(lambda a, b: a + b, passed, F.lit(1)))
+    # Equal boundaries (a hot key that fills whole tiles) are passed together.
+    passed = {repr(s): (s, i) for i, s in enumerate(starts, start=1)}
+    place = _place(F.col(key), [_literal(s, dtype) for s, _ in passed.values()])
+    slices = F.array(*[F.lit(1 + i) for i in (0, *(i for _, i in passed.values()))])
+    return df.withColumn("slice", F.get(slices, F.shiftright(place + 1, 1)))
 
 
 def slice_balance(sliced: DataFrame, key: str) -> DataFrame:
