@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tilewright import PlanParams, TableSpec, analyze, build_catalog
 from tilewright.operators import assign_slices, range_boundaries
-from tilewright.plans import analyze_databases, dump_result, load_rules, write_report, write_rules, write_slices
+from tilewright.plans import analyze_databases, dump_result, load_rules, profile_tables, write_report, write_rules, write_slices
 from tilewright.session import local_frame
 from tilewright.sources.catalog import UNBOUNDED
 
@@ -85,3 +85,11 @@ def test_one_database_fails(spark, tmp_path):
     outcome = analyze_databases(spark, {"closed": closed, "shop": shop, "empty": empty}, str(tmp_path))
     assert isinstance(outcome["closed"], ConnectionError) and outcome["empty"] is None
     assert spark.read.json(outcome["shop"]).first().TableName == "t"
+
+
+def test_two_byte_types(spark):
+    frames = {"t": local_frame(spark, [("x" * 700, "x" * 700)], "narrow string, wide string")}
+    unbounded = {"narrow": UNBOUNDED, "wide": UNBOUNDED}
+    specs = {"t": TableSpec(lengths=unbounded, type_names={"wide": "nvarchar"})}
+    profile = profile_tables(spark, build_catalog(spark, frames, specs), {"main.t": frames["t"]})
+    assert {r.LOBColName: r.CountLess1KAndNulls for r in profile.collect()} == {"narrow": 1, "wide": 0}

@@ -18,6 +18,8 @@ from tilewright.sources.catalog import UNBOUNDED
 
 # Type names that count as large objects when they are unbounded.
 LOB_TYPES = ("text", "ntext", "image", "varbinary", "nvarchar", "varchar")
+# Type names whose text takes two bytes per UTF-16 unit.
+WIDE_TYPES = ("ntext", "nvarchar")
 
 # The small-value count is a bigint so that tables beyond 2^31 rows fit.
 LOB_PROFILE = (
@@ -42,6 +44,14 @@ def lob_columns(
     )
 
 
+def wide_columns(columns: DataFrame, types: DataFrame) -> DataFrame:
+    """Columns whose text is stored as UTF-16, by type name."""
+    wide = types.where(F.col("name").isin(*WIDE_TYPES)).select("user_type_id")
+    return columns.join(wide, "user_type_id", "left_semi").select(
+        "object_id", F.col("name").alias("column")
+    )
+
+
 def lob_profile(
     df: DataFrame,
     object_id: int,

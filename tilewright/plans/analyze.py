@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tilewright.operators.lob import dedup_profile, lob_columns, lob_profiles
+from tilewright.operators.lob import dedup_profile, lob_columns, lob_profiles, wide_columns
 from tilewright.operators.report import final_report, table_report
 from tilewright.params import PlanParams
 from tilewright.plans.rules import apply_rules, load_rules
@@ -31,12 +31,20 @@ def profile_tables(
     catalog: Catalog,
     tables: Mapping[str, DataFrame],
     small_bytes: int = 1024,
-    utf16: Mapping[str, Iterable[str]] | None = None,
 ) -> DataFrame:
-    """LOB profile of all tables of the catalog, one row per LOB column."""
+    """LOB profile of all tables of the catalog, one row per LOB column.
+
+    Columns of a two-byte text type are sized as UTF-16, all others as UTF-8.
+    """
     found = lob_columns(catalog.columns, catalog.tables, catalog.schemas, catalog.types)
-    lobs = [tuple(r) for r in found.collect()]  # catalog-sized: names only
-    return dedup_profile(lob_profiles(spark, lobs, tables, small_bytes, utf16))
+    wide = wide_columns(catalog.columns, catalog.types).withColumn("wide", F.lit(True))
+    lobs = found.join(wide, ["object_id", "column"], "left").collect()  # catalog-sized: names only
+    utf16: dict[str, list[str]] = {}
+    for r in lobs:
+        if r.wide:
+            utf16.setdefault(f"{r.schema}.{r.table}", []).append(r.column)
+    named = [(r.object_id, r.schema, r.table, r.column) for r in lobs]
+    return dedup_profile(lob_profiles(spark, named, tables, small_bytes, utf16))
 
 
 def analyze(
@@ -44,7 +52,6 @@ def analyze(
     catalog: Catalog,
     tables: Mapping[str, DataFrame],
     params: PlanParams = PlanParams(),
-    utf16: Mapping[str, Iterable[str]] | None = None,
 ) -> Analysis:
     """Analyse every table of ``catalog``; ``tables`` maps ``schema.table`` to its DataFrame.
 
@@ -52,7 +59,7 @@ def analyze(
     table is scanned once for its profile and, if it is loaded by key range,
     for its boundaries.
     """
-    profile = profile_tables(spark, catalog, tables, params.small_bytes, utf16)
+    profile = profile_tables(spark, catalog, tables, params.small_bytes)
     report = materialize(table_report(catalog, profile, params.size_bounds), "report")
     rules = materialize(load_rules(report, catalog, tables, params), "rules")
     return Analysis(report, rules, final_report(apply_rules(report, rules), params.report_name))
