@@ -27,7 +27,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 EXACT_ROWS = 2_000_000
-SAMPLE_KEYS = 500_000
+# Sampled keys are ranked in one task in the first round, hence the upper bound.
+SAMPLE_KEYS, SAMPLE_KEYS_PER_TILE, MOST_SAMPLE_KEYS = 500_000, 20_000, 5_000_000
 MAX_ROUNDS = 30
 
 # Ranges in one file filter, and fences in one search tree: larger expressions
@@ -63,7 +64,7 @@ def range_boundaries(
     key: str,
     tiles: int,
     exact_rows: int = EXACT_ROWS,
-    sample_keys: int = SAMPLE_KEYS,
+    sample_keys: int | None = None,
 ) -> DataFrame:
     """Row count, first and last key of each of ``tiles`` equal-count tiles in key order.
 
@@ -79,6 +80,8 @@ def range_boundaries(
         positions.add(end + 1)
         end += size + (loc <= longer)
         positions.add(end)
+    if sample_keys is None:
+        sample_keys = min(max(SAMPLE_KEYS, SAMPLE_KEYS_PER_TILE * tiles), MOST_SAMPLE_KEYS)
     gaps, known = _narrow(keys, dtype, total, positions, exact_rows, sample_keys)
 
     # A run of equal keys at positions first..last belongs to one or more tiles.
