@@ -3,7 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry_point
+import oracle
 import oracle_check
+import workload
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,15 +15,16 @@ def con():
     return oracle_check.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.ORACLE))
 def test_matches_sql(spark, con, name):
     df = entry_point.queries()[name](spark, SF_DIR)
     assert oracle_check.differences(con, df, entry_point.oracle_sql()[name]) is None
 
 
 def test_registry():
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) == {"column_stats_sketch"}
+    assert set(workload.QUERIES) - set(oracle.ORACLE) == {"column_stats_sketch"}
     assert not set(entry_point.oracle_sql()) - set(entry_point.queries())
+    assert set(workload.QUERIES) <= set(entry_point.queries())
 
 
 def test_entry(spark):
