@@ -11,7 +11,9 @@ of a cell counts.
 
 from __future__ import annotations
 
+import json
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -24,6 +26,8 @@ from .common import map_columns, portions, store
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 CACHED_CHUNKS = 600_000
 CACHED_LENGTH = 64
+LAST_LATIN = "ɏ"
+JOINED = 200
 
 
 # Tokenizing
@@ -38,18 +42,68 @@ class Encoder:
     def __init__(self, spec: str):
         self.tokenizer = Tokenizer.from_str(spec)
         self.known: dict[str, bytes] = {}
+        self.ends = dict(zip(".,", self.encode_words([".", ","])))
+        self.ends[""] = b""
+        model = json.loads(spec)["model"]
+        suffix = model.get("end_of_word_suffix")
+        self.is_last = np.zeros(max(model["vocab"].values()) + 1, bool)  # tokens that end a word
+        self.is_last[[i for s, i in model["vocab"].items() if suffix and s.endswith(suffix)]] = True
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in encoded]
+
+    def encode_plain(self, words: list[str]) -> list[bytes]:
+        """Like :meth:`encode_words` for words of letters only, many of them as one text.
+
+        Such a word is one unit to the splitter, and its last token is marked as such.
+        """
+        rows = range(0, len(words), JOINED)
+        encoded = self.tokenizer.encode_batch_fast(
+            [" ".join(words[i : i + JOINED]) for i in rows], add_special_tokens=False
+        )
+        ids = np.array([i for e in encoded for i in e.ids], np.uint32)
+        cuts = [0, *(4 * (np.flatnonzero(self.is_last[ids]) + 1)).tolist()]
+        if len(cuts) != len(words) + 1:  # a vocabulary without such marks
+            return self.encode_words(words)
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def stem(self, word: str) -> tuple[str, str]:
+        """A word without case and a last stop or comma, which the vocabulary sets apart."""
+        end = word[-1:] if word[-1:] in self.ends else ""
+        low = word[: len(word) - len(end)].lower()
+        return (low, end) if low.isalpha() and max(low) <= LAST_LATIN else (word, "")
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        stems = {w: self.stem(w) for w in words}
+        new = {stem for stem, _ in stems.values()} - self.known.keys()
+        plain = [s for s in new if s.isalpha() and max(s) <= LAST_LATIN]
+        other = list(new.difference(plain))
+        now = dict(zip(plain, self.encode_plain(plain))) | dict(zip(other, self.encode_words(other)))
+        known = self.known
+        found = {
+            w: (known[stem] if stem in known else now[stem]) + self.ends[end]
+            for w, (stem, end) in stems.items()
+        }
+        return now | found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, four little-endian bytes each."""
-        parts = [text.replace("\n", " ").split(" ") for text in texts]
+        """The ids of each text, four bytes each in the machine's order."""
         if len(self.known) > CACHED_CHUNKS:
             self.known.clear()
-        missing = list({w for words in parts for w in words} - self.known.keys())
-        encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        now = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(missing, encoded)}
-        self.known |= {w: ids for w, ids in now.items() if len(w) <= CACHED_LENGTH}
-        known = self.known
-        return [b"".join([known[w] if w in known else now[w] for w in words]) for words in parts]
+        get = self.known.get
+        parts = [text.replace("\n", " ").split(" ") for text in texts]
+        ids = [list(map(get, words)) for words in parts]
+        missing = {w for words, found in zip(parts, ids) for w, i in zip(words, found) if i is None}
+        now = self.learn(list(missing)) if missing else {}
+        out = []
+        for words, found in zip(parts, ids):
+            if None in found:
+                found = [now[w] if i is None else i for w, i in zip(words, found)]
+            out.append(b"".join(found))
+        self.known |= {w: i for w, i in now.items() if len(w) <= CACHED_LENGTH}
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -79,7 +133,7 @@ def token_pieces(
     """
     with open(tokenizer, encoding="utf-8") as file:
         spec = df.sparkSession.sparkContext.broadcast(file.read())
-    tail, width = np.array([end_id], "<u4").tobytes(), 4 * capacity
+    tail, width = array("I", [end_id]).tobytes(), 4 * capacity
 
     def make():
         encoder = _encoder(spec.value)
