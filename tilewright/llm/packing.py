@@ -18,6 +18,8 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
@@ -88,22 +90,32 @@ class Encoder:
         }
         return now | found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, four bytes each in the machine's order."""
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, as 32-bit numbers.
+
+        The words of all texts are numbered by Arrow; only distinct ones are looked up.
+        """
+        blank = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " ")
+        parts = pc.split_pattern(blank, " ")
+        coded = parts.flatten().dictionary_encode()
+        words, word_of = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         if len(self.known) > CACHED_CHUNKS:
             self.known.clear()
-        get = self.known.get
-        parts = [text.replace("\n", " ").split(" ") for text in texts]
-        ids = [list(map(get, words)) for words in parts]
-        missing = {w for words, found in zip(parts, ids) for w, i in zip(words, found) if i is None}
-        now = self.learn(list(missing)) if missing else {}
-        out = []
-        for words, found in zip(parts, ids):
-            if None in found:
-                found = [now[w] if i is None else i for w, i in zip(words, found)]
-            out.append(b"".join(found))
-        self.known |= {w: i for w, i in now.items() if len(w) <= CACHED_LENGTH}
-        return out
+        ids = list(map(self.known.get, words))
+        missing = [w for w, i in zip(words, ids) if i is None]
+        if missing:
+            now = self.learn(missing)
+            ids = [now[w] if i is None else i for w, i in zip(words, ids)]
+            self.known |= {w: i for w, i in now.items() if len(w) <= CACHED_LENGTH}
+        table = np.frombuffer(b"".join(ids), np.uint32)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = np.cumsum(size) - size
+        size, start = size[word_of], start[word_of]
+        until = np.cumsum(size)
+        place = np.arange(until[-1] if len(until) else 0) + np.repeat(start - until + size, size)
+        flat = table[place]
+        bounds = np.append(0, until)[parts.offsets.to_numpy()]
+        return [flat[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -133,20 +145,20 @@ def token_pieces(
     """
     with open(tokenizer, encoding="utf-8") as file:
         spec = df.sparkSession.sparkContext.broadcast(file.read())
-    tail, width = array("I", [end_id]).tobytes(), 4 * capacity
+    tail = np.array([end_id], np.uint32)
 
     def make():
         encoder = _encoder(spec.value)
 
         def rows(keys, texts):
             texts = [t or "" for t in texts]
-            for first, last in portions(texts):
+            for first, last in portions(texts, 6_000_000):
                 for key, ids in zip(keys[first:last], encoder.encode(texts[first:last])):
-                    ids += tail
-                    for piece, at in enumerate(range(0, len(ids), width)):
-                        part = ids[at : at + width]
-                        held = np.frombuffer(part, "<i4") if keep_ids else None
-                        yield key, piece, at // 4, len(part) // 4, zlib.crc32(part), held
+                    ids = np.concatenate((ids, tail)).astype("<u4")
+                    for piece, at in enumerate(range(0, len(ids), capacity)):
+                        part = ids[at : at + capacity]
+                        held = part.astype(np.int32) if keep_ids else None
+                        yield key, piece, at, len(part), zlib.crc32(part.tobytes()), held
 
         return rows
 
