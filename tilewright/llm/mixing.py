@@ -171,7 +171,8 @@ def slots(sources: DataFrame, block: int, shard_slots: int = 4096, seed: int = 4
     frame = frame.filter("count > 0")
     # Two steps, so that a large source is expanded by many tasks.
     chunks = F.explode(F.sequence(F.lit(0), F.floor((F.col("count") - 1) / CHUNK)))
-    frame = frame.select("*", chunks.alias("chunk")).repartition("source", "chunk")
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    frame = frame.select("*", chunks.alias("chunk")).repartition(tasks, "source", "chunk")
     first = F.col("chunk") * CHUNK
     last = F.least(first + CHUNK, F.col("count")) - 1
     frame = frame.select("*", F.explode(F.sequence(first, last)).alias("slot"))
@@ -184,7 +185,9 @@ def slots(sources: DataFrame, block: int, shard_slots: int = 4096, seed: int = 4
         F.least(length, F.col("rest") - before)
     )
     shard = F.pmod(F.xxhash64(F.lit(seed + 1), "source", "slot"), "shards")
-    return frame.select("source", "turn", "block", taken.alias("taken"), shard.alias("shard"))
+    frame = frame.select("source", "turn", "block", taken.alias("taken"), shard.alias("shard"))
+    # Written, so that joins are planned by its true size, which a few rows of sources hide.
+    return store(frame, "mix-slots")
 
 
 def shard_counts(slot_frame: DataFrame) -> DataFrame:
