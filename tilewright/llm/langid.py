@@ -21,6 +21,7 @@ BEGIN, END = 2, 3  # code points that stand for a word's borders
 MIX = np.uint64(0x9E3779B97F4A7C15)
 CACHED_WORDS = 600_000
 CACHED_LENGTH = 64
+THINNING = 1 << 30
 
 
 def code_points(words: list[str], order: int) -> np.ndarray:
@@ -207,7 +208,7 @@ def held_out(id_col: Column, folds: int = 4, fold: int = 2) -> Column:
     return F.coalesce(rest == fold, F.lit(False))
 
 
-def fit(df: DataFrame, sample: int = 800, order: int = 4) -> tuple[Identifier, Calibration] | None:
+def fit(df: DataFrame, sample: int = 500, order: int = 4) -> tuple[Identifier, Calibration] | None:
     """Models and calibration from at most ``sample`` documents of each language in ``df``.
 
     ``df`` has ``doc_id``, ``text`` and ``lang``. The documents with the least hashes of
@@ -216,7 +217,11 @@ def fit(df: DataFrame, sample: int = 800, order: int = 4) -> tuple[Identifier, C
     """
     chosen = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     labelled = df.filter("lang is not null and text is not null")
-    ids = labelled.select("doc_id", "lang", chosen.alias("_n")).filter(F.col("_n") <= sample)
+    # Thinned by hash to some times the sample first, so that no task ranks a whole language.
+    sizes = store(labelled.groupBy("lang").agg(F.count("*").alias("_size")), "langid-sizes")
+    wanted = F.lit(4.0 * sample * THINNING) / F.col("_size")
+    thinned = labelled.join(sizes, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(THINNING)) <= wanted)
+    ids = thinned.select("doc_id", "lang", chosen.alias("_n")).filter(F.col("_n") <= sample)
     ids = store(ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct(), "langid-ids")
     part = labelled.join(ids, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
     back = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(5)) == 0
@@ -264,7 +269,7 @@ def identify_languages(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    sample: int = 800,
+    sample: int = 500,
     order: int = 4,
 ) -> DataFrame:
     """Predict the language of every whole text of ``df``.
