@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 from .common import map_columns, portions, store
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
-CACHED_CHUNKS = 600_000
+CACHED_CHUNKS = 400_000
 CACHED_LENGTH = 64
 LAST_LATIN = "ɏ"
 JOINED = 200
