@@ -1,0 +1,385 @@
+"""The operators on small hand-made rows and against brute force on the smallest tables."""
+
+import collections
+import hashlib
+import html as entities
+import re
+import zlib
+
+import corpus_pipeline
+import numpy as np
+import oracle_check
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tilewright.llm import (
+    html,
+    langid,
+    licenses,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    queries,
+    secrets,
+    simhash,
+    token_counts,
+)
+from tilewright.session import local_frame
+from tokenizers import Tokenizer
+
+SF = "/root/testdata/sf0.001"
+DDL = "doc_id long, text string, lang string, source string, n_chars long, size string, taken int"
+LONG = "word " * 30_000 + "x" * 20_000
+ODD = [
+    (1, "The quick brown fox jumps over the lazy dog. " * 5, "en", "a", 1, "s", 1),
+    (1, "The quick brown fox jumps over the lazy dog. " * 5, "en", "a", 1, "s", 1),
+    (2, None, None, None, None, None, None),
+    (3, "", "en", "b", 0, "s", 2),
+    (4, " \n\t ", "de", None, 4, "s", 3),
+    (None, "der die das und " * 9, "de", "a", 5, None, 4),
+    (5, LONG, "en", "c", len(LONG), "s", 5),
+    (6, "1234 !? 5678", "en", "c", 12, "s", 5),
+]
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text for r in docs.collect()}
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return local_frame(spark, ODD, DDL)
+
+
+def words_of(text):
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_sql(spark, name):
+    con = oracle_check.connect(SF)
+    assert oracle_check.differences(con, queries.QUERIES[name](spark, SF), queries.ORACLE[name]) is None
+
+
+@pytest.mark.parametrize("name", [n for n in queries.QUERIES if n[:4] not in ("op7_", "op10")])
+def test_odd_rows(spark, odd, tmp_path, name):
+    """Every row gets a result; an empty table gives an empty one with the same columns."""
+    odd.write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.QUERIES[name](spark, str(tmp_path))
+    ids = collections.Counter(r.doc_id for r in found.collect())
+    wanted = collections.Counter(row[0] for row in ODD)
+    assert set(ids) == set(wanted) and all(ids[i] >= n for i, n in wanted.items())
+    odd.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    none = queries.QUERIES[name](spark, f"{tmp_path}/none")
+    assert none.columns == found.columns and none.count() == 0
+
+
+def test_language_accuracy(spark, docs):
+    found = langid.identify_languages(docs, sample=60).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in found if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in found)
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.95 * len(held)
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_language_of_nothing(odd):
+    found = {r.doc_id: r for r in langid.identify_languages(odd).collect()}
+    assert [found[i].lang_pred for i in (2, 3, 4, 6)] == ["und"] * 4
+    unlabelled = odd.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in langid.identify_languages(unlabelled).collect()} == {"und"}
+
+
+def test_kneser_ney_sums_to_one():
+    models = langid.Models({"x": {"ab": 3, "ac": 1, "b": 2}})
+    chances = [np.exp(models.score([w])[0, 0]) for w in ("", "a", "b", "c", "ab", "ac")]
+    assert all(0 < c < 1 for c in chances) and sum(chances) < 1
+    assert chances[4] > chances[5] > chances[1]
+
+
+def test_token_counts(spark, docs, texts):
+    tokenizer = Tokenizer.from_file(BYTES)
+    for r in token_counts.count_tokens(docs, BYTES).collect():
+        n = len(tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(texts[r.doc_id].encode()), n, n > 512)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "", "  a   b\n\n c \n\nd\te  ", "a\n   c", "x  \ny <|endoftext|> z<|endoftext|>", "'s it's we'll   ",
+        "a" * 3000, "日本語 テスト ١٢٣ 𞤀𞤁 ", "  x y  　z", "\x1c a \x1d\nb", " \n a", "é é", "\r\n\r\n x\r\n",
+    ],
+)
+def test_tokenizers_agree(text):
+    for path, count in ((BYTES, lambda t: token_counts.Counter(open(BYTES).read()).count([t])[0]),
+                        (WORDS, lambda t: packing.Encoder(open(WORDS).read()).encode([t])[0].tolist())):
+        want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+        assert count(text) in (len(want), want)
+
+
+def test_secrets_by_hand(spark):
+    key = "AKIA" + "Q" * 16
+    text = f'é password = "abcDEF123456" token=short {key} AKIASHORT 0123456789abcdef API_key:0123456789abcdef0'
+    found = secrets.find_secrets(local_frame(spark, [(1, text)], "doc_id long, text string")).first()
+    spans = [("assign", m) for m in re.finditer(r'password = "abcDEF123456|API_key:\w+', text)]
+    spans += [("access", re.search(key, text))]
+    spans += [("hex", m) for m in re.finditer(r"[0-9a-f]{16,}", text)]
+    order = ["assign", "access", "hex"]
+    spans.sort(key=lambda s: (s[1].start(), order.index(s[0])))
+    listing = ",".join(f"{k}:{m.start()}:{m.end()}" for k, m in spans)
+    assert (found.n_assign, found.n_access, found.n_hex) == (2, 1, 2)
+    assert found.base_sha256 == hashlib.sha256(listing.encode()).hexdigest()
+
+
+def test_automata_tell_formats():
+    rng = np.random.default_rng(1)
+    keys = ["AKIA" + "".join(rng.choice(list("ABCDEFGHIJ0123456789"), 16)) for _ in range(200)]
+    plain = ["".join(rng.choice(list("etaoinshrdlu"), 18)) for _ in range(200)]
+    model = secrets.FormatModel({"access": keys[:150]}, plain[:150])
+    assert all(model.is_credential(k) for k in keys[150:])
+    assert not any(model.is_credential(w) for w in plain[150:])
+    assert len(secrets.Automaton(keys).states) > 1
+
+
+def test_masking(spark):
+    rows = [(1, "x", "a token=abcdefghijkl b", 22), (2, "y", "clean", 5), (3, "z", None, None)]
+    out = secrets.redact_secrets(local_frame(spark, rows, "doc_id long, source string, text string, n_chars long"))
+    assert sorted(map(tuple, out.collect())) == [(1, "x", "a [SECRET] b", 12), *rows[1:]]
+
+
+def test_packing(docs, texts):
+    rows = packing.pack_documents(docs, WORDS, cell_size=60).collect()
+    tokenizer = Tokenizer.from_file(WORDS)
+    ids = {i: tokenizer.encode(t, add_special_tokens=False).ids + [1] for i, t in texts.items()}
+    held, bins = collections.Counter(), collections.defaultdict(list)
+    for r in rows:
+        part = ids[r.doc_id][r.start : r.start + r.length]
+        assert len(part) == r.length and r.start == 4096 * r.piece
+        assert r.ids_crc32 == zlib.crc32(np.array(part, "<u4").tobytes())
+        held[r.doc_id] += r.length
+        bins[r.sequence_id].append((r.offset, r.length))
+    assert held == {i: len(x) for i, x in ids.items()}
+    for parts in bins.values():
+        assert [o for o, _ in sorted(parts)] == list(np.cumsum([0] + [n for _, n in sorted(parts)]))[:-1]
+        assert sum(n for _, n in parts) <= 4096
+    assert len(bins) <= 1.05 * sum(held.values()) / 4096 + 4
+
+
+def test_crossover_keeps_every_piece():
+    rng = np.random.default_rng(0)
+    lengths = rng.integers(1, 60, 200).tolist()
+    parents = [packing.Packing.of(np.arange(200), lengths), packing.Packing(200)]
+    parents[1].best_fit(list(range(200)), lengths, 100)
+    child = packing.crossover(*parents, lengths, 100, rng)
+    assert sorted(i for b in child.bins for i in b) == list(range(200))
+    assert child.load == [sum(lengths[i] for i in b) for b in child.bins] and max(child.load) <= 100
+
+
+def test_sequences_round_trip(spark, docs):
+    placed = packing.pack_pieces(packing.token_pieces(docs.limit(40), WORDS))
+    whole = {r.sequence_id: r.ids for r in packing.build_sequences(placed).collect()}
+    for r in placed.collect():
+        assert whole[r.sequence_id][r.offset : r.offset + r.length] == r.ids
+
+
+def test_quality_keeps_rows(docs, odd):
+    kept = quality.keep_good(docs)
+    verdict = {r.doc_id for r in quality.quality_rules(docs).collect() if r.kept}
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == verdict
+    assert quality.keep_good(odd).columns == odd.columns
+
+
+def test_cascade_order_changes_no_verdict(docs):
+    frame = quality.measures(docs)
+    rules = quality.extra_rules()
+    names = sorted(rules)
+    both = [quality.cascade(rules, order).isNull().alias(c) for c, order in (("a", names), ("b", names[::-1]))]
+    assert frame.select(*both).filter("a <> b").count() == 0
+
+
+def test_mixing(docs, texts):
+    rows = mixing.mix(docs, block=64).collect()
+    assert [tuple(r) for r in sorted(rows)] == [tuple(r) for r in sorted(mixing.mix(docs, block=64).collect())]
+    sizes = {r.doc_id: len(words_of(texts[r.doc_id])) for r in rows}
+    assert all(r["size"] == sizes[r.doc_id] and 0 <= r.taken <= 2 * r["size"] for r in rows)
+    source_size, taken, target = collections.Counter(), collections.Counter(), {}
+    for r in rows:
+        source_size[r.source] += r["size"]
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert target == pytest.approx(brute_targets(source_size))
+    assert all(abs(taken[s] - target[s]) <= 1 for s in target)
+
+
+def brute_targets(sizes):
+    names = sorted(sizes)
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    target, left, free = {}, 1.5 * sum(sizes.values()), set(names)
+    while True:
+        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = {s for s in free if share[s] > 2 * sizes[s]}
+        if not over:
+            return target | share
+        target |= {s: 2.0 * sizes[s] for s in over}
+        left -= sum(2 * sizes[s] for s in over)
+        free -= over
+
+
+def test_permutation(spark):
+    for n in (1, 2, 7, 64, 100):
+        x, size, key = F.col("id"), F.lit(n).cast("long"), F.lit(5)
+        forth = mixing.permuted(x, size, key)
+        rows = spark.range(n).select("id", forth.alias("to")).select(
+            "id", "to", mixing.permuted(F.col("to"), size, key, inverse=True).alias("back")
+        ).collect()
+        assert sorted(r.to for r in rows) == list(range(n)) and all(r.id == r.back for r in rows)
+
+
+def test_mixed_documents(docs):
+    taken = {r.doc_id: r.taken for r in mixing.mix(docs, block=64).collect() if r.taken}
+    out = mixing.mixed_documents(docs, block=64)
+    found = collections.Counter()
+    for r in out.collect():
+        found[r.doc_id] += len(words_of(r.text))
+        assert r.n_chars == len(r.text)
+    assert out.columns == docs.columns and found == taken
+
+
+def test_pages(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    raw = {r.page_id: r.html for r in pages.collect()}
+    for r in html.extract_text(pages).collect():
+        article = re.search(r"<article>(.*?)(</article>|<footer>|$)", raw[r.page_id], re.S)[1]
+        blocks = re.split(r"</?(?:p|h1)>", article)
+        lines = [" ".join(entities.unescape(re.sub(r"<br>|</?b>", " ", b)).split()) for b in blocks]
+        assert r.text == "\n".join(x for x in lines if x) and r.n_chars == len(r.text)
+
+
+def test_page_by_hand(spark):
+    page = """<html><body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href=/>Home</a></ul></nav>
+    <div id="cookie-notice">We use cookies for many things, please accept all of them now</div><main><article class=post>
+    <h1>Title &eacute;</h1><p>First&nbsp;para <script>var x="</p>";</script>goes  on<br>&lt;b&gt; <b>bold</b>.<p>Of.
+    <div class="advert">Buy this great product, it is good for you</div><ul><li>one<li>two</ul><form><input><button>Go</button>
+    </form><p>Last.</article><section class="comments"><article class="comment"><p>A long comment by a reader, on and on.</p>
+    </article></section></main><aside><p>Related</p></aside><footer>me</footer></body></html>"""
+    rows = [(1, "u", page, "x"), (2, None, None, "x"), (3, "u", "", "x"), (3, "u", "", "x"), (None, "u", "<p>a<p>b", "x")]
+    found = html.extract_text(local_frame(spark, rows, "page_id long, url string, html string, text string"))
+    texts = {r.page_id: r.text for r in found.collect()}
+    assert texts[1] == "Title é\nFirst para goes on <b> bold.\nOf.\none\ntwo\nLast."
+    assert texts[2] == texts[3] == "" and texts[None] == "a\nb" and found.count() == 5
+
+
+def test_simhash(docs, texts):
+    rows = simhash.near_duplicates(docs).collect()
+    prints = {}
+    for r in rows:
+        words = words_of(re.sub("[A-Z]", lambda m: m[0].lower(), texts[r.doc_id]))
+        shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+        hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+        bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        assert r.fingerprint == format(bits, "016x")
+        prints[r.doc_id] = bits
+    assert {r.doc_id: r.component_id for r in rows} == brute_components(prints, 2)
+
+
+def brute_components(prints, distance):
+    label = {i: i for i in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a in prints:
+            for b in prints:
+                if (prints[a] ^ prints[b]).bit_count() <= distance and label[b] < label[a]:
+                    label[a], changed = label[b], True
+    return label
+
+
+def test_hot_parts_lose_no_link(spark):
+    """A thousand fingerprints around one centre, with groups far above the limit."""
+    rng = np.random.default_rng(3)
+    prints = {i: int(sum(1 << int(b) for b in set(rng.integers(0, 64, 3)))) for i in range(300)}
+    distinct = sorted(set(prints.values()))
+    frame = local_frame(spark, [(v - (v >> 63 << 64),) for v in distinct], "bits long")
+    found = simhash.components(simhash.links(frame, group_limit=20))
+    roots = {r.node & (2**64 - 1): r.root for r in found.collect()}
+    want = brute_components(dict(enumerate(distinct)), 2)
+    groups = collections.defaultdict(set)
+    for i, v in enumerate(distinct):
+        groups[want[i]].add(roots.get(v, ("alone", v)))
+    assert all(len(g) == 1 for g in groups.values()) and len({min(map(str, g)) for g in groups.values()}) == len(groups)
+
+
+def test_keep_one(docs, odd):
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in simhash.near_duplicates(docs).collect() if r.doc_id == r.component_id}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(ids)
+    assert collections.Counter(r.doc_id for r in simhash.keep_one(odd).collect()) == {1: 1, 2: 1, None: 1, 5: 1, 6: 1}
+
+
+def test_licenses(spark):
+    mit = " ".join(licenses.RULES[0][1])
+    rows = [
+        (1, f"Copyright me.\n{mit} THE SOFTWARE"), (2, "x\nreleased  under the MIT license\nLicensed under CC BY-NC 4.0."),
+        (3, None), (4, "A licence to drive."), (4, "A licence to drive."),
+    ]
+    found = licenses.scan_licenses(local_frame(spark, rows, "doc_id long, text string")).collect()
+    got = sorted((r.doc_id, r.n_statements, r.licenses) for r in found)
+    assert got == [(1, 1, "MIT"), (2, 2, "CC-BY-NC-4.0,MIT"), (3, 0, ""), (4, 0, ""), (4, 0, "")]
+
+
+def test_neighbours(spark):
+    table = spark.read.parquet(f"{SF}/embeddings.parquet")
+    rows = sorted((r.vec_id, r.embedding) for r in table.collect())
+    ids = np.array([i for i, _ in rows])
+    vectors = neighbours.unit(np.array([v for _, v in rows], float))
+    found = collections.defaultdict(dict)
+    for r in neighbours.nearest(table, block=200).collect():
+        found[r.query_id][r.rank] = (r.vec_id, r.score)
+    hits = total = 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        scores = vectors @ vectors[q]
+        scores[q] = -2
+        best = set(ids[np.argsort(-scores, kind="stable")[:5]].tolist())
+        hits += len(best & {v for v, _ in found[ids[q]].values()})
+        total += 5
+        assert all(s == pytest.approx(scores[list(ids).index(v)]) for v, s in found[ids[q]].values())
+    assert hits >= 0.9 * total
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]),
+            (6, [None, 1.0]), (7, [inf, 1.0]), (8, [-1.0, 0.0]), (50, [0.0, 0.0]), (None, [1.0, 1.0]), (9, [1.0])]
+    frame = local_frame(spark, rows, "vec_id long, embedding array<float>")
+    found = [tuple(r) for r in neighbours.nearest(frame).orderBy("query_id", "rank").collect()]
+    assert found == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 8, -1.0)]
+    assert neighbours.nearest(frame.limit(0)).count() == 0
+
+
+def test_pipeline(spark, docs):
+    """Each stage against its operator; the last one packs all that the mix holds."""
+    frame, seen = docs, {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, frame, SF)
+        if name != "packing":
+            assert out.columns == docs.columns
+        frame = local_frame(spark, [tuple(r) for r in out.collect()], out.schema)
+        seen[name] = frame
+    good = {r.doc_id for r in quality.quality_rules(docs).collect() if r.kept}
+    assert {r.doc_id for r in seen["quality_rules"].collect()} == good
+    assert not [r for r in seen["secret_scan"].collect() if secrets.base_spans(r.text)]
+    tokenizer = Tokenizer.from_file(WORDS)
+    tokens = sum(len(tokenizer.encode(r.text, add_special_tokens=False).ids) + 1 for r in seen["mixing"].collect())
+    assert sum(r.length for r in seen["packing"].collect()) == tokens
+    assert corpus_pipeline.run(spark, SF).count() == seen["packing"].count()
