@@ -250,9 +250,9 @@ def _ntile(table: str, key: str, tiles: int) -> str:
 from (select {key} as k, ntile({tiles}) over (order by {key}) as loc from {table}) group by loc"""
 
 
-def _longest(table: str, column: str) -> str:
+def _declared(table: str, column: str) -> str:
     return f"""select {OBJECT_ID[table]}::int as object_id, 'main' as schema, '{table}' as "table",
-  '{column}' as "column" from {table} having max(strlen({column})) > 8000"""
+  '{column}' as "column" """
 
 
 def _leading_key(table: str) -> str:
@@ -312,7 +312,7 @@ from orders s full outer join loaded t on s.o_orderkey = t.o_orderkey
 where s.o_orderkey is null or t.o_orderkey is null
   or {" or ".join(f"s.{c} is distinct from t.{c}" for c in _ORDER_VALUES)}"""
 
-_LINE = "l_orderkey, l_linenumber, l_quantity, l_returnflag, l_shipdate"
+_LINE = ", ".join(COLUMNS["lineitem"].split())
 COMPARE_ROWS = f"""with lines as (select {_LINE} from lineitem),
 loaded as (
   select * from lines where l_returnflag <> 'R'
@@ -331,9 +331,9 @@ _SLICED_LINES = """select l_orderkey, (1 + (select count(*) from
   from lineitem"""
 
 ORACLE: dict[str, str] = {
-    "lob_columns": _union([_longest(t, c) for t, cs in STRINGS.items() for c in cs]),
+    "lob_columns": _union([_declared(t, c) for t, c in LOBS]),
     "lob_profile": f"with {PROFILE} select * from profile",
-    "lob_profile_dedup": _union([_profile("documents", "text"), _profile("pages", "html")]),
+    "lob_profile_dedup": _union([_profile(t, c) for t, c in LOBS]),
     "partition_info": f"with {COUNTS}\n{PARTITION_INFO}",
     "size_class": f'with {COUNTS}\nselect object_id, rows, {SIZE_CLASS} as "TableSize" from ({PARTITION_INFO})',
     "tile_count": f"""with {COUNTS}
@@ -387,6 +387,9 @@ where schema_name not in ('information_schema', 'pg_catalog')
     "name_search": "select p_partkey, p_name from part where contains(lower(p_name), lower('RED'))",
     "compare_tables": COMPARE_TABLES,
     "compare_rows": COMPARE_ROWS,
+    "compare_tables_repeated": """select l_orderkey, 'changed' as status, count(*) as source_rows,
+  count(*) as target_rows, 'l_quantity' as changed_columns
+from lineitem where l_returnflag = 'R' group by l_orderkey""",
     "compare_lobs": """select doc_id, 'changed' as status, 1::bigint as source_rows, 1::bigint as target_rows,
   'text' as changed_columns
 from documents where lang = 'fr' and text <> upper(text)""",
@@ -403,3 +406,4 @@ from documents where lang = 'fr' and text <> upper(text)""",
         [_stats(t, c, c == "embedding") for t, cs in COLUMNS.items() for c in cs.split()]
     ),
 }
+ORACLE["column_stats_sketch"] = ORACLE["column_stats"]

@@ -34,6 +34,23 @@ def test_repeated_key(spark):
     assert compared(spark, source, target) == {1: ("changed", 2, 1, "a")}
 
 
+def test_repeated_key_paired_anew(spark):
+    source, target = [(1, "1", 2.0), (1, "2", 1.0)], [(1, "1", 1.0), (1, "2", 2.0)]
+    assert compared(spark, source, target) == {1: ("changed", 2, 2, "a,b")}
+
+
+def test_repeated_key_middle_value(spark):
+    source = [(1, "1", 1.0), (1, "5", 2.0), (1, "9", 3.0)]
+    target = [(1, "1", 2.0), (1, "6", 3.0), (1, "9", 4.0)]
+    assert compared(spark, source, target) == {1: ("changed", 3, 3, "a,b")}
+
+
+def test_other_columns_are_an_error(spark):
+    one, other = local_frame(spark, [(1,)], "k int"), local_frame(spark, [(1, 2)], "k int, extra int")
+    with pytest.raises(ValueError, match="extra"):
+        compare_rows(one, other)
+
+
 def test_digest(spark):
     source = [(1, "x" * 9999, 1.0), (2, "y", 2.0), (3, None, 3.0)]
     target = [(1, "x" * 9998, 1.0), (2, "y", 2.0), (3, "", 3.0)]

@@ -22,7 +22,7 @@ def test_matches_sql(spark, con, name):
 
 
 def test_registry():
-    assert set(workload.QUERIES) - set(oracle.ORACLE) == {"column_stats_sketch"}
+    assert set(workload.QUERIES) == set(oracle.ORACLE)
     assert not set(entry_point.oracle_sql()) - set(entry_point.queries())
     assert set(workload.QUERIES) <= set(entry_point.queries())
 
@@ -36,17 +36,3 @@ def test_entry(spark):
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in wanted]
     rows = df.collect()
     assert [r.rows for r in rows] == sorted((r.rows for r in rows), reverse=True)
-
-
-def test_sketch_is_close(spark):
-    exact = entry_point.queries()["column_stats"](spark, SF_DIR).collect()
-    sketch = {
-        (r.table_name, r.column_name): r
-        for r in entry_point.queries()["column_stats_sketch"](spark, SF_DIR).collect()
-    }
-    for r in exact:
-        other = sketch[r.table_name, r.column_name]
-        assert abs(other.distinct_count - r.distinct_count) <= 0.1 * r.distinct_count
-        assert (other.row_count, other.null_count, other.min_value, other.max_value) == (
-            r.row_count, r.null_count, r.min_value, r.max_value,
-        )

@@ -38,7 +38,7 @@ def test_dump(spark, tmp_path):
     now = datetime.datetime(2024, 5, 6, 7, 8, 9)
     report = make_report(spark, report_row(1, "a", 5))
     path = dump_result(report, str(tmp_path), "shop", now)
-    assert os.path.basename(path) == "shop_script_results_20240506_070809"
+    assert os.path.basename(path) == "shop-2024-05-06T070809"
     assert spark.read.json(path).first().TableName == "a"
     assert dump_result(report.where("ID > 1"), str(tmp_path), "none", now) is None
     assert os.listdir(tmp_path) == [os.path.basename(path)]

@@ -1,8 +1,10 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from tilewright.operators import leading_key_column, lob_columns, partition_info, user_schemas
-from tilewright.session import local_frame, materialize, shared_folder, union_small
+from tilewright.session import local_frame, materialize, shared_folder
 from tilewright.sources import (
     POSTGRES,
     SQL_SERVER,
@@ -31,9 +33,9 @@ def test_build_catalog(spark):
         "b": local_frame(spark, [(1, "x"), (2, "y" * 8001)], "id int, measured string"),
         "a": local_frame(spark, [(1, "x", 1), (2, None, 1), (3, "z", 2)], "id int, short string, p int"),
     }
-    specs = {"b": TableSpec(key=["id"]), "a": TableSpec(partition_by=F.col("p"), lengths={"short": UNBOUNDED})}
+    specs = {"b": TableSpec(key=["id"]), "a": TableSpec(partition_by=F.col("p"), lengths={"short": 8})}
     c = build_catalog(spark, frames, specs)
-    assert lobs_of(c) == [("a", "short"), ("b", "measured")]
+    assert lobs_of(c) == [("b", "measured")]
     assert {r.name: r.object_id for r in c.tables.collect()} == {"a": 1001, "b": 1002}
     info = {r.object_id: (r.rows, r.PartitionCount) for r in partition_info(c.tables, c.indexes, c.partitions).collect()}
     assert info == {1001: (3, 2), 1002: (2, 0)}
@@ -41,17 +43,17 @@ def test_build_catalog(spark):
     assert keys == {"a": None, "b": "id"}
 
 
-def test_measured_length(spark):
-    frames = {"t": local_frame(spark, [("é",), (None,)], "v string"), "empty": local_frame(spark, [], "v string")}
-    c = build_catalog(spark, frames)
-    lengths = {r.object_id: r.max_length for r in c.columns.collect()}
-    assert lengths == {1001: 0, 1002: 2}
+def test_undeclared_length_is_unbounded(spark):
+    frames = {"t": local_frame(spark, [("x",), (None,)], "v string"), "empty": local_frame(spark, [], "v string")}
+    assert lobs_of(build_catalog(spark, frames)) == [("empty", "v"), ("t", "v")]
 
 
-def test_declared_lengths_cost_no_scan(spark, tmp_path):
+def test_columns_cost_no_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     local_frame(spark, [("x",)], "v string").write.parquet(path)
-    c = build_catalog(spark, {"t": spark.read.parquet(path)}, {"t": TableSpec(lengths={"v": 64})})
+    c = build_catalog(spark, {"t": spark.read.parquet(path)}, {})
+    keys = leading_key_column(c)._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" not in keys and lobs_of(c) == [("t", "v")]
     assert "Scan parquet" not in c.columns._jdf.queryExecution().executedPlan().toString()
 
 
@@ -176,9 +178,10 @@ def test_name_lists(spark, monkeypatch):
     assert [r[0] for r in read_schemas(spark, postgres).collect()] == ["public"]
 
 
-def test_long_unions_are_stored(spark):
-    parts = [spark.range(i, i + 1) for i in range(70)]
-    df = union_small(parts, "many")
-    assert sorted(r.id for r in df.collect()) == list(range(70))
-    assert len(df.inputFiles()) == 3
-    assert union_small(parts[:3], "few").count() == 3
+def test_many_tables_write_nothing(spark):
+    frames = {f"t{i:02}": spark.range(i) for i in range(40)}
+    before = set(os.listdir(shared_folder(spark))) if os.path.isdir(shared_folder(spark)) else set()
+    catalog = build_catalog(spark, frames)
+    assert sum(r.rows for r in catalog.partitions.collect()) == sum(range(40))
+    after = set(os.listdir(shared_folder(spark))) if os.path.isdir(shared_folder(spark)) else set()
+    assert after == before

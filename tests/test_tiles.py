@@ -118,16 +118,32 @@ def test_larger_narrowing(spark):
 
 def test_bad_cuts_stay_exact(spark, monkeypatch):
     """Cuts far from the wanted positions cost rounds, not exactness."""
-    turns = []
+    turns, real = [], tiles_module._propose_cuts
 
     def propose(keys, dtype, gaps, positions, sample_keys, seed):
         turns.append(seed)
-        return {0: [min(seed, 399)]} if gaps[0].lo is None or gaps[0].lo < seed else {}
+        return real(keys, dtype, gaps, positions, sample_keys, seed) if seed >= 3 else {0: [399 - seed]}
 
     monkeypatch.setattr(tiles_module, "_propose_cuts", propose)
     df = spark.range(400).select(F.col("id").alias("k"))
     assert boundaries(df, 3, exact_rows=10) == by_ntile(range(400), 3)
-    assert len(turns) == tiles_module.MAX_ROUNDS
+    assert len(turns) > 3
+
+
+def test_many_nulls_cost_no_rounds(spark, monkeypatch):
+    turns, real = [], tiles_module._propose_cuts
+
+    def propose(*args, **options):
+        turns.append(1)
+        return real(*args, **options)
+
+    monkeypatch.setattr(tiles_module, "_propose_cuts", propose)
+    df = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("a.b"))
+    found = range_boundaries(df, "a.b", 4, exact_rows=3_000, sample_keys=4_000).orderBy("loc").collect()
+    assert [tuple(r) for r in found] == [
+        (1, 5000, None, None), (2, 5000, None, None), (3, 5000, 0, 9998), (4, 5000, 10000, 19998),
+    ]
+    assert len(turns) <= 3
 
 
 def test_ranges_reach_the_scan(spark, tmp_path):
@@ -137,7 +153,6 @@ def test_ranges_reach_the_scan(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<k:bigint>" in plan
     assert "GreaterThan(k," in plan and "LessThan(k," in plan
-    assert "SinglePartition" not in plan
 
 
 def test_ranked_rows_are_bounded(spark):

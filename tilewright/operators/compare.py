@@ -19,10 +19,14 @@ def compare_rows(
 
     ``source_surplus`` and ``target_surplus`` say how many more times the row
     occurs there. Columns in ``digest`` are compared and returned as SHA-256,
-    which keeps large objects out of the shuffle.
+    which keeps large objects out of the shuffle. Both sides need the same columns,
+    in any order; others are an error that names them.
     """
     digest = set(digest)
     columns = source.columns
+    if set(columns) != set(target.columns):
+        only = sorted(set(columns) ^ set(target.columns))
+        raise ValueError(f"columns on one side only: {', '.join(only)}")
     surplus = (
         _signed(source, columns, digest, 1)
         .unionByName(_signed(target, columns, digest, -1))
@@ -45,33 +49,39 @@ def compare_tables(
 ) -> DataFrame:
     """Keys whose rows differ: missing in the target, extra in it, or changed.
 
-    ``changed_columns`` lists the differing columns in table order. Keys are
-    expected to be unique; for a repeated one the surplus counts tell how many
-    rows are unmatched, and a column counts as changed if the smallest or
-    largest unmatched value, or the presence of nulls, differs.
+    ``changed_columns`` lists the differing columns in table order. For a repeated
+    key the unmatched rows of both sides are compared: a column counts as changed if
+    the values occur in different proportions there, told by two independent sums of
+    hashes. If none does, values have only been paired anew, and the columns that
+    hold several values among those rows are listed.
     """
     values = [c for c in source.columns if c not in set(keys)]
     rows = compare_rows(source, target, digest)
-    in_source, in_target = F.col("source_surplus") > 0, F.col("target_surplus") > 0
     measures = [
         F.sum("source_surplus").alias("source_rows"),
         F.sum("target_surplus").alias("target_rows"),
     ]
-    changed = []
+    changed, varied = [], []
     for i, c in enumerate(values):
-        for side, present in (("s", in_source), ("t", in_target)):
-            value = F.when(present, F.col(_name(c)))
-            measures += [
-                F.min(value).alias(f"__{side}min{i}"),
-                F.max(value).alias(f"__{side}max{i}"),
-                F.max(F.when(present, F.col(_name(c)).isNull())).alias(f"__{side}null{i}"),
-            ]
-        same = [F.col(f"__s{m}{i}").eqNullSafe(F.col(f"__t{m}{i}")) for m in ("min", "max", "null")]
-        changed.append(F.when(~(same[0] & same[1] & same[2]), F.lit(c)))
+        for seed in (0, 1):
+            hashed = F.pmod(F.xxhash64(F.lit(seed), F.col(_name(c))), F.lit(1 << 32))
+            for side in ("source", "target"):
+                total = F.sum((hashed * F.col(f"{side}_surplus")).cast("decimal(28,0)"))
+                measures.append(total.alias(f"__{side}{seed}_{i}"))
+            measures.append((F.min(hashed) != F.max(hashed)).alias(f"__varied{seed}_{i}"))
+        differs = [
+            F.col(f"__source{s}_{i}") * F.col("target_rows").cast("decimal(10,0)")
+            != F.col(f"__target{s}_{i}") * F.col("source_rows").cast("decimal(10,0)")
+            for s in (0, 1)
+        ]
+        changed.append(F.when(differs[0] | differs[1], F.lit(c)))
+        varied.append(F.when(F.col(f"__varied0_{i}") | F.col(f"__varied1_{i}"), F.lit(c)))
     both = (F.col("source_rows") > 0) & (F.col("target_rows") > 0)
     status = (
         F.when(both, "changed").when(F.col("source_rows") > 0, "missing").otherwise("extra")
     )
+    listed = F.concat_ws(",", *changed)
+    listed = F.when(listed != "", listed).otherwise(F.concat_ws(",", *varied))
     return (
         rows.groupBy(*[_name(k) for k in keys])
         .agg(*measures)
@@ -80,7 +90,7 @@ def compare_tables(
             status.alias("status"),
             "source_rows",
             "target_rows",
-            F.when(both, F.concat_ws(",", *changed)).otherwise("").alias("changed_columns"),
+            F.when(both, listed).otherwise("").alias("changed_columns"),
         )
     )
 

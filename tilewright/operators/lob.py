@@ -13,7 +13,7 @@ from tilewright.functions.columns import (
     whole_kb,
     whole_mb,
 )
-from tilewright.session import local_frame, union_small
+from tilewright.session import local_frame, union_all
 from tilewright.sources.catalog import UNBOUNDED
 
 # Type names that count as large objects when they are unbounded.
@@ -110,7 +110,7 @@ def lob_profiles(
     ]
     if not parts:
         return local_frame(spark, [], LOB_PROFILE)
-    return union_small(parts, "profile")
+    return union_all(parts)
 
 
 def dedup_profile(profile: DataFrame) -> DataFrame:

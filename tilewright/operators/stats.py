@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tilewright.session import union_small
+from tilewright.session import union_all
 
 
 def sequence_positions(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -15,7 +15,7 @@ def sequence_positions(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame
     ``tables`` maps a name to (DataFrame, key column); only the key is read.
     """
     parts = [
-        df.agg(F.max(key).cast("bigint").alias("last_value")).select(
+        df.agg(F.max("`" + key.replace("`", "``") + "`").cast("bigint").alias("last_value")).select(
             F.lit(name).alias("table_name"),
             F.lit(key).alias("key_column"),
             "last_value",
@@ -23,7 +23,7 @@ def sequence_positions(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame
         )
         for name, (df, key) in tables.items()
     ]
-    return union_small(parts, "sequences")
+    return union_all(parts)
 
 
 # Size of a distinct-count sketch: 2^14 registers, a relative error of about 1 %.

@@ -17,8 +17,9 @@ Any cut keys give the right result: a bad sample costs a round, not exactness.
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Iterable
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -29,7 +30,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 EXACT_ROWS = 2_000_000
 # Sampled keys are ranked in one task in the first round, hence the upper bound.
 SAMPLE_KEYS, SAMPLE_KEYS_PER_TILE, MOST_SAMPLE_KEYS = 500_000, 20_000, 5_000_000
-MAX_ROUNDS = 30
 
 # Ranges in one file filter, and fences in one search tree: larger expressions
 # would leave compiled code, so beyond that ranges are merged and trees replaced.
@@ -39,7 +39,7 @@ TREE_FENCES = 24
 
 @dataclass(frozen=True)
 class _Gap:
-    """The rows strictly between two keys; with ``lo`` None it starts at the null keys."""
+    """The rows strictly between two keys; with ``lo`` None it starts behind the null keys."""
 
     lo: Any
     hi: Any
@@ -54,9 +54,8 @@ class _Gap:
         if self.lo is not None:
             bounds.append(key > _literal(self.lo, dtype))
         if self.hi is not None:
-            below = key < _literal(self.hi, dtype)
-            bounds.append(key.isNull() | below if self.lo is None else below)
-        return reduce(and_, bounds) if bounds else F.lit(True)
+            bounds.append(key < _literal(self.hi, dtype))
+        return reduce(and_, bounds) if bounds else key.isNotNull()
 
 
 def range_boundaries(
@@ -71,9 +70,9 @@ def range_boundaries(
     Equal to grouping by ``ntile(tiles)`` over the key; null keys come first.
     With fewer rows than tiles there is one tile per row. Only the key is read.
     """
-    keys = df.select(F.col(key).alias("key"))
+    keys = df.select(F.col(_quoted(key)).alias("key"))
     dtype = keys.schema["key"].dataType
-    total = df.count()
+    total, present = keys.agg(F.count(F.lit(1)), F.count("key")).first()
     size, longer = divmod(total, tiles)
     positions, end = set(), 0
     for loc in range(1, min(tiles, total) + 1):
@@ -82,7 +81,7 @@ def range_boundaries(
         positions.add(end)
     if sample_keys is None:
         sample_keys = min(max(SAMPLE_KEYS, SAMPLE_KEYS_PER_TILE * tiles), MOST_SAMPLE_KEYS)
-    gaps, known = _narrow(keys, dtype, total, positions, exact_rows, sample_keys)
+    gaps, known = _narrow(keys, dtype, total, positions, exact_rows, sample_keys, total - present)
 
     # A run of equal keys at positions first..last belongs to one or more tiles.
     runs = _ranked_runs(keys, dtype, gaps)
@@ -121,7 +120,7 @@ def assign_slices(df: DataFrame, key: str, boundaries: DataFrame) -> DataFrame:
     ]
     # Equal boundaries (a hot key that fills whole tiles) are passed together.
     passed = {repr(s): (s, i) for i, s in enumerate(starts, start=1)}
-    place = _place(F.col(key), [_literal(s, dtype) for s, _ in passed.values()])
+    place = _place(F.col(_quoted(key)), [_literal(s, dtype) for s, _ in passed.values()])
     slices = F.array(*[F.lit(1 + i) for i in (0, *(i for _, i in passed.values()))])
     return df.withColumn("slice", F.get(slices, F.shiftright(place + 1, 1)))
 
@@ -130,8 +129,8 @@ def slice_balance(sliced: DataFrame, key: str) -> DataFrame:
     """Rows, smallest and largest key of each slice."""
     return sliced.groupBy("slice").agg(
         F.count(F.lit(1)).alias("cnt_vals"),
-        F.min(key).alias("min_val"),
-        F.max(key).alias("max_val"),
+        F.min(_quoted(key)).alias("min_val"),
+        F.max(_quoted(key)).alias("max_val"),
     )
 
 
@@ -154,28 +153,44 @@ def _narrow(
     positions: set[int],
     exact_rows: int,
     sample_keys: int,
+    nulls: int = 0,
 ) -> tuple[list[_Gap], dict[int, Any]]:
-    """Gaps that hold the wanted positions, and the positions already settled with their key."""
-    gaps, known = [_Gap(None, None, 0, total)], {}
-    for turn in range(MAX_ROUNDS):
+    """Gaps that hold the wanted positions, and the positions already settled with their key.
+
+    Null keys are one run at the front, settled from the start.
+    """
+    known: dict[int, Any] = {p: None for p in positions if p <= nulls}
+    open_positions = sorted(positions - known.keys())
+    gaps = [_Gap(None, None, nulls, total - nulls)] if open_positions else []
+    for turn in itertools.count():
         if sum(g.rows for g in gaps) <= exact_rows:
             break
-        open_positions = positions - known.keys()
         cuts = _propose_cuts(keys, dtype, gaps, open_positions, sample_keys, seed=turn)
         parts, runs = _count_around(keys, dtype, gaps, cuts)
+        ends = [before + rows for _, before, rows in runs]
         for position in open_positions:
-            for run_key, before, rows in runs:
-                if before < position <= before + rows:
-                    known[position] = run_key
-        gaps = [g for g in parts if any(g.holds(p) for p in positions - known.keys())]
+            at = bisect_left(ends, position)  # runs and parts are in order of position
+            if at < len(runs) and runs[at][1] < position:
+                known[position] = runs[at][0]
+        open_positions = [p for p in open_positions if p not in known]
+        gaps = [g for g in parts if _any_inside(open_positions, g)]
     return gaps, known
 
 
+def _any_inside(positions: list[int], gap: _Gap) -> bool:
+    at = bisect_right(positions, gap.before)
+    return at < len(positions) and positions[at] <= gap.before + gap.rows
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _propose_cuts(
     keys: DataFrame,
     dtype: T.DataType,
     gaps: list[_Gap],
-    positions: Iterable[int],
+    positions: list[int],
     sample_keys: int,
     seed: int,
 ) -> dict[int, list[Any]]:
@@ -184,8 +199,9 @@ def _propose_cuts(
     wanted = {
         (i << 40) + rank
         for i, gap in enumerate(gaps)
-        for position in positions
-        if gap.holds(position)
+        for position in positions[
+            bisect_right(positions, gap.before) : bisect_right(positions, gap.before + gap.rows)
+        ]
         for rank in _sample_ranks(position - gap.before, gap.rows, fraction)
     }
     rank = F.row_number().over(W.partitionBy("gap").orderBy("key"))
@@ -346,6 +362,8 @@ def _portable(key: Column, dtype: T.DataType) -> Column:
 
 def _literal(value: Any, dtype: T.DataType) -> Column:
     """The key that ``_portable`` made ``value`` from, as a constant of the key's type."""
+    if value is None:
+        return F.lit(None).cast(dtype)
     if isinstance(dtype, T.TimestampType):
         return F.timestamp_micros(F.lit(value).cast("bigint"))
     if isinstance(dtype, T.BinaryType):

@@ -16,7 +16,7 @@ from tilewright.operators.keys import leading_key_column
 from tilewright.operators.report import rollup_by_table
 from tilewright.operators.tiles import range_boundaries
 from tilewright.params import PlanParams
-from tilewright.session import CONCURRENT_PLANS, local_frame, union_all, union_small
+from tilewright.session import CONCURRENT_PLANS, local_frame, union_all
 from tilewright.sources.catalog import Catalog
 
 RULES = (
@@ -191,7 +191,7 @@ def _with_boundaries(chosen: DataFrame, tables: Mapping[str, DataFrame]) -> Data
         return known.withColumn("boundaries", F.lit(None).cast("string"))
     with ThreadPoolExecutor(CONCURRENT_PLANS) as pool:
         parts = list(pool.map(boundaries, wanted))
-    return known.join(union_small(parts, "boundaries"), ["SchemaName", "TableName"], "left")
+    return known.join(union_all(parts), ["SchemaName", "TableName"], "left")
 
 
 def _boundary_json(found: DataFrame) -> Column:

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -34,9 +32,7 @@ def build_session(
     return builder.getOrCreate()
 
 
-# Tables that share one plan, and plans that run at the same time.
-TABLES_PER_PLAN = 32
-CONCURRENT_PLANS = 4
+CONCURRENT_PLANS = 4  # plans that run at the same time
 
 
 def local_frame(spark: SparkSession, rows: Iterable[tuple], schema: str | T.StructType) -> DataFrame:
@@ -52,15 +48,12 @@ def local_frame(spark: SparkSession, rows: Iterable[tuple], schema: str | T.Stru
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a local run without one gets its own."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tilewright-"))
-    return context.getCheckpointDir()
+    """The folder named in ``spark.checkpoint.dir``, else one in the session's warehouse.
+
+    Every executor reaches either; a folder local to one machine is never used.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stored"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -69,10 +62,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Meant for catalog-sized results that several later steps read, such as the
     report: the scans of the user tables behind it then run once. The files
     survive the loss of an executor, and their size is known to the optimizer.
+    They are removed when the session ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -82,26 +78,3 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
         return parts[0]
     half = len(parts) // 2
     return union_all(parts[:half]).unionByName(union_all(parts[half:]), allowMissingColumns=True)
-
-
-def union_small(parts: Sequence[DataFrame], name: str) -> DataFrame:
-    """Union of many small results, each computed from a table of its own.
-
-    Planning time grows faster than the number of tables in a plan. A long list
-    is therefore computed a few tables at a time and stored in the shared folder.
-    """
-    if len(parts) <= TABLES_PER_PLAN:
-        return union_all(parts)
-    spark, schema = parts[0].sparkSession, parts[0].schema
-    folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    batches = {
-        f"{folder}/{i}": parts[i : i + TABLES_PER_PLAN]
-        for i in range(0, len(parts), TABLES_PER_PLAN)
-    }
-
-    def store(path: str) -> None:
-        union_all(batches[path]).coalesce(1).write.parquet(path)
-
-    with ThreadPoolExecutor(CONCURRENT_PLANS) as pool:
-        list(pool.map(store, batches))
-    return spark.read.schema(schema).parquet(*batches)

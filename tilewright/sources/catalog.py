@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from tilewright.session import local_frame, union_small
+from tilewright.session import local_frame, union_all
 
 COLUMNS = "object_id int, column_id int, name string, user_type_id int, max_length int"
 TABLES = "object_id int, schema_id int, name string, is_ms_shipped int"
@@ -44,8 +44,6 @@ TYPE_IDS = {
 }
 
 UNBOUNDED = -1
-# A longer string cannot be declared with a length and has to be unbounded.
-LONGEST_DECLARABLE = 8000
 
 
 @dataclass(frozen=True)
@@ -73,7 +71,7 @@ class TableSpec:
     """What a bare DataFrame does not say about itself.
 
     ``lengths`` maps a string or binary column to its declared length, with
-    ``UNBOUNDED`` for no limit; a column left out is measured. ``type_names``
+    ``UNBOUNDED`` for no limit; one left out has no limit either. ``type_names``
     replaces the type name derived from the Spark type.
     """
 
@@ -95,15 +93,15 @@ def build_catalog(
     """Describe ``frames`` (table name to DataFrame), object ids in name order.
 
     Row counts come from ``count(*)``, which reads only file footers for
-    Parquet. Partition rows group by the partition expression alone. Only
-    columns without a declared length cost a scan of their values. A catalog of
-    many tables is counted while it is built. Spark does not enforce keys; with ``check_keys`` a key that holds nulls is not marked
-    as primary, at the price of a scan of the key columns.
+    Parquet. Partition rows group by the partition expression alone. Columns are
+    described by what is declared; no values are read. Spark does not enforce keys;
+    with ``check_keys`` a key that holds nulls is not marked as primary, at the
+    price of a scan of the key columns.
     """
     specs = specs or {}
     ids = {name: first_object_id + i for i, name in enumerate(sorted(frames))}
     columns, tables, indexes, index_columns = [], [], [], []
-    measured, checked, partitions = [], [], []
+    checked, partitions = [], []
     for name, object_id in ids.items():
         df, spec = frames[name], specs.get(name, TableSpec())
         index_id = 1 if spec.key else 0  # clustered on the key, or a heap
@@ -116,23 +114,17 @@ def build_catalog(
         positions = {c: i for i, c in enumerate(df.columns, start=1)}
         for i, key in enumerate(spec.key, start=1):
             index_columns.append((object_id, index_id, i, positions[key]))
-        unknown = {}
         for f in df.schema.fields:
             type_id = TYPE_IDS[spec.type_names.get(f.name, _type_name(f.dataType))]
             length = _length(f.dataType, spec.lengths.get(f.name))
-            if length is None:
-                unknown[f.name] = (positions[f.name], type_id)
-            else:
-                columns.append((object_id, positions[f.name], f.name, type_id, length))
-        if unknown:
-            measured.append(_measured_columns(df, object_id, unknown))
+            columns.append((object_id, positions[f.name], f.name, type_id, length))
     return Catalog(
-        columns=_with(local_frame(spark, columns, COLUMNS), measured, "columns"),
+        columns=local_frame(spark, columns, COLUMNS),
         tables=local_frame(spark, tables, TABLES),
         schemas=local_frame(spark, [(schema_id, schema)], SCHEMAS),
         types=local_frame(spark, [(i, n) for n, i in TYPE_IDS.items()], TYPES),
-        indexes=_with(local_frame(spark, indexes, INDEXES), checked, "indexes"),
-        partitions=union_small(partitions, "partitions"),
+        indexes=union_all([local_frame(spark, indexes, INDEXES), *checked]),
+        partitions=union_all(partitions),
         index_columns=local_frame(spark, index_columns, INDEX_COLUMNS),
     )
 
@@ -180,10 +172,6 @@ def session_databases(spark: SparkSession) -> DataFrame:
     return local_frame(spark, names, "schema_name string")
 
 
-def _with(known: DataFrame, found: list[DataFrame], name: str) -> DataFrame:
-    return known.unionByName(union_small(found, name)) if found else known
-
-
 def _checked_index(
     df: DataFrame, object_id: int, index_id: int, key: Sequence[str]
 ) -> DataFrame:
@@ -203,8 +191,8 @@ def _partition_rows(
         number = F.lit(1)
     else:
         counted = df.groupBy(partition_by.alias("p")).agg(F.count(F.lit(1)).alias("rows"))
-        # One row per partition of one table: small, whatever the table holds.
-        number = F.row_number().over(W.orderBy("p"))
+        # Numbers only tell partitions apart, so no order over all of them is needed.
+        number = F.monotonically_increasing_id() + 1
     return counted.select(
         F.lit(object_id).alias("object_id"),
         F.lit(index_id).alias("index_id"),
@@ -213,26 +201,6 @@ def _partition_rows(
     )
 
 
-def _measured_columns(
-    df: DataFrame, object_id: int, unknown: Mapping[str, tuple[int, int]]
-) -> DataFrame:
-    """Length of each column from one scan: its longest value, or unbounded beyond the limit."""
-    longest = df.agg(*[F.max(F.octet_length(F.col(_quoted(c)))).alias(c) for c in unknown])
-    rows = [
-        F.struct(
-            F.lit(object_id).alias("object_id"),
-            F.lit(position).alias("column_id"),
-            F.lit(c).alias("name"),
-            F.lit(type_id).alias("user_type_id"),
-            F.when(F.col(_quoted(c)) > LONGEST_DECLARABLE, UNBOUNDED)
-            .otherwise(F.coalesce(F.col(_quoted(c)), F.lit(0)))
-            .alias("max_length"),
-        )
-        for c, (position, type_id) in unknown.items()
-    ]
-    return longest.select(F.inline(F.array(*rows)))
-
-
 def _type_name(dtype: T.DataType) -> str:
     for spark_type, name in (
         (T.StringType, "varchar"),
@@ -254,11 +222,11 @@ def _type_name(dtype: T.DataType) -> str:
     return "json"
 
 
-def _length(dtype: T.DataType, declared: int | None) -> int | None:
+def _length(dtype: T.DataType, declared: int | None) -> int:
     if declared is not None:
         return declared
     if isinstance(dtype, (T.StringType, T.BinaryType)):
-        return None
+        return UNBOUNDED
     widths = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.BooleanType: 1, T.DateType: 3}
     return widths.get(type(dtype), 8)
 

@@ -102,22 +102,22 @@ def by_full_name(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {f"{SCHEMA}.{t}": df for t, df in frames.items()}
 
 
-def specs(frames: dict[str, DataFrame], declared: bool = True) -> dict[str, TableSpec]:
-    """Keys and partitions of the test tables, with or without declared string lengths."""
+def specs(frames: dict[str, DataFrame]) -> dict[str, TableSpec]:
+    """Keys, partitions and declared string lengths of the test tables."""
     parted = {"events": F.to_date("ts"), "documents": F.col("lang")}
     found = {}
     for t, df in frames.items():
         lengths = {}
         for name, dtype in df.dtypes:
-            if declared and dtype == "string":
+            if dtype == "string":
                 lengths[name] = UNBOUNDED if name in UNBOUNDED_COLUMNS.get(t, ()) else 64
-        if t == "documents" and declared:
+        if t == "documents":
             lengths["source"] = 16
         found[t] = TableSpec(
             key=(KEYS[t],) if t in KEYS else (),
             partition_by=parted.get(t),
             lengths=lengths,
-            type_names={"source": "text"} if t == "documents" and declared else {},
+            type_names={"source": "text"} if t == "documents" else {},
         )
     return found
 
@@ -162,7 +162,7 @@ class Bed:
 
 def q_lob_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = load(spark, sf_dir)
-    c = build_catalog(spark, frames, specs(frames, declared=False), schema=SCHEMA)
+    c = build_catalog(spark, frames, specs(frames), schema=SCHEMA)
     return lob_columns(c.columns, c.tables, c.schemas, c.types)
 
 
@@ -172,9 +172,10 @@ def q_lob_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_lob_profile_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = load(spark, sf_dir, ["documents", "pages"])
-    twice = [("documents", "text"), ("pages", "html"), ("documents", "text"), ("pages", "html")]
-    lobs = [(1001 + TABLES.index(t), SCHEMA, t, c) for t, c in twice]
+    frames = load(spark, sf_dir)
+    c = build_catalog(spark, frames, specs(frames), schema=SCHEMA)
+    found = lob_columns(c.columns, c.tables, c.schemas, c.types).collect()
+    lobs = [(r.object_id, r.schema, r.table, r.column) for r in found] * 2
     return dedup_profile(lob_profiles(spark, lobs, by_full_name(frames)))
 
 
@@ -325,18 +326,23 @@ def q_compare_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_compare_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with a return lost, and first lines loaded twice."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
-    )
+    lines = table(spark, sf_dir, "lineitem")
     target = lines.where("l_returnflag <> 'R'").unionByName(
         lines.where("l_returnflag = 'N' AND l_linenumber = 1")
     )
     return compare_rows(lines, target)
 
 
+def q_compare_tables_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by order, which repeats: quantities of returned lines are one more in the copy."""
+    lines = table(spark, sf_dir, "lineitem")
+    more = F.when(F.col("l_returnflag") == "R", F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    return compare_tables(lines, lines.withColumn("l_quantity", more), ["l_orderkey"])
+
+
 def q_compare_lobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """French documents loaded in capitals, compared by digest."""
-    source = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    source = table(spark, sf_dir, "documents")
     target = source.withColumn(
         "text", F.when(F.col("lang") == "fr", F.upper("text")).otherwise(F.col("text"))
     )
@@ -364,8 +370,15 @@ def q_column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_column_stats_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = load(spark, sf_dir)
-    return union_all([column_stats(frames[t], t) for t in TABLES])
+    """The sketch, its distinct count told by whether it is within 5 % of the exact one."""
+    sketch = union_all([column_stats(df, t) for t, df in load(spark, sf_dir).items()])
+    exact = q_column_stats(spark, sf_dir).select(
+        "table_name", "column_name", F.col("distinct_count").alias("exact")
+    )
+    off = F.abs(F.col("distinct_count") - F.col("exact"))
+    return sketch.join(exact, ["table_name", "column_name"]).withColumn(
+        "distinct_count", F.when(off <= 0.05 * F.col("exact"), F.col("exact")).otherwise(-1)
+    ).drop("exact")
 
 
 def sliced(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
@@ -425,6 +438,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "name_search": q_name_search,
     "compare_tables": q_compare_tables,
     "compare_rows": q_compare_rows,
+    "compare_tables_repeated": q_compare_tables_repeated,
     "compare_lobs": q_compare_lobs,
     "lob_split": q_lob_split,
     "sequence_positions": q_sequence_positions,
