@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 from .common import map_columns, portions, store
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 600_000
 CACHED_LENGTH = 64
 LAST_LATIN = "ɏ"
 JOINED = 200
@@ -99,14 +99,13 @@ class Encoder:
         parts = pc.split_pattern(blank, " ")
         coded = parts.flatten().dictionary_encode()
         words, word_of = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
         ids = list(map(self.known.get, words))
         missing = [w for w, i in zip(words, ids) if i is None]
         if missing:
             now = self.learn(missing)
             ids = [now[w] if i is None else i for w, i in zip(words, ids)]
-            self.known |= {w: i for w, i in now.items() if len(w) <= CACHED_LENGTH}
+            if len(self.known) < CACHED_CHUNKS:  # the first words hold all frequent ones, so they stay
+                self.known |= {w: i for w, i in now.items() if len(w) <= CACHED_LENGTH}
         table = np.frombuffer(b"".join(ids), np.uint32)
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         start = np.cumsum(size) - size
