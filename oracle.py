@@ -359,6 +359,11 @@ select object_id, rows, least(10, rows // 10000 + 1)::int as tiles,
     "range_boundaries_narrowed": _ntile("lineitem", "l_orderkey", 10),
     "range_boundaries_narrowed_time": _ntile("events", "ts", 10),
     "range_boundaries_narrowed_text": _ntile("events", "event_type", 6),
+    "range_boundaries_nulls": """select loc::int as loc, count(*)::bigint as cnt_vals, min(k) as min_val, max(k) as max_val
+from (
+  select k, ntile(9) over (order by k nulls first) as loc
+  from (select case when l_returnflag <> 'N' then l_orderkey end as k from lineitem)
+) group by loc""",
     "assign_slices": """with starts as (
   select loc, min(k) as b from (select o_orderdate as k, ntile(10) over (order by o_orderdate) as loc from orders) group by loc
 )

@@ -97,7 +97,7 @@ def test_rules_fewer_rows(bed, report):
         ("customer", "c_custkey", 10, [150, 300, 450, 600, 750, 900, 1050, 1200, 1350]),
     ],
 )
-@pytest.mark.parametrize("limits", [{}, {"exact_rows": 50, "sample_keys": 100}])
+@pytest.mark.parametrize("limits", [{}, {"cuts": 5}])
 def test_boundaries(spark, name, key, tiles, starts, limits):
     found = range_boundaries(table(spark, SF_DIR, name), key, tiles, **limits)
     assert [r.min_val for r in found.where("loc > 1").orderBy("loc").collect()] == starts

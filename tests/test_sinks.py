@@ -5,7 +5,7 @@ from fixtures import make_catalog, make_report, report_row
 from pyspark.sql import functions as F
 
 from tilewright import PlanParams, TableSpec, analyze, build_catalog
-from tilewright.operators import assign_slices, range_boundaries
+from tilewright.operators import assign_slices, column_stats, range_boundaries
 from tilewright.plans import analyze_databases, dump_result, load_rules, profile_tables, write_report, write_rules, write_slices
 from tilewright.session import local_frame
 from tilewright.sources.catalog import UNBOUNDED
@@ -93,3 +93,23 @@ def test_two_byte_types(spark):
     specs = {"t": TableSpec(lengths=unbounded, type_names={"wide": "nvarchar"})}
     profile = profile_tables(spark, build_catalog(spark, frames, specs), {"main.t": frames["t"]})
     assert {r.LOBColName: r.CountLess1KAndNulls for r in profile.collect()} == {"narrow": 1, "wide": 0}
+
+
+def test_slice_files_do_not_multiply(spark, tmp_path):
+    """Few files a slice however many tasks read the table."""
+    path = str(tmp_path / "slices")
+    df = spark.range(4_000, numPartitions=40).select(F.col("id").alias("k"))
+    write_slices(assign_slices(df, "k", range_boundaries(df, "k", 4)), path)
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert 4 <= len(files) <= 8
+
+
+def test_exact_statistics_shuffle_no_values(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(0.0, "long " * 99, [1, None]), (-0.0, "long " * 99, [1]), (None, None, None), (2.0, "", [None])]
+    local_frame(spark, rows, "x double, body string, items array<int>").write.parquet(path)
+    stats = column_stats(spark.read.parquet(path), "t", exact_distinct=True)
+    assert "Expand" not in stats._jdf.queryExecution().executedPlan().toString()
+    assert {r.column_name: (r.null_count, r.distinct_count) for r in stats.collect()} == {
+        "x": (1, 2), "body": (1, 2), "items": (1, 3),
+    }

@@ -1,9 +1,12 @@
+import datetime
 import os
+from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tilewright.operators import leading_key_column, lob_columns, partition_info, user_schemas
+from tilewright.operators import leading_key_column, lob_columns, partition_info, range_boundaries, user_schemas
 from tilewright.session import local_frame, materialize, shared_folder
 from tilewright.sources import (
     POSTGRES,
@@ -154,15 +157,57 @@ def test_jdbc_tables():
     assert set(read_tables(reader, SERVER, ["dbo.a", "dbo.b"])) == {"dbo.a", "dbo.b"}
     whole = read_table(reader, SERVER, "dbo.a")
     assert whole["dbtable"] == "dbo.a" and whole["fetchsize"] == "10000"
-    parts = read_table(reader, SERVER, "dbo.a", key="id", boundaries=[10, 20])
-    assert parts["predicates"] == ["id < 10 OR id IS NULL", "id >= 10 AND id < 20", "id >= 20"]
 
 
-@pytest.mark.parametrize("boundaries", [[5], [3, 7]])
-def test_predicates_cover_every_row_once(spark, boundaries):
-    df = local_frame(spark, [(k,) for k in [None, 1, 3, 5, 6, 7, 9]], "k int")
-    parts = [df.where(p).count() for p in jdbc.slice_predicates("k", boundaries)]
-    assert len(parts) == len(boundaries) + 1 and sum(parts) == 7
+def test_sliced_tables(spark):
+    found = range_boundaries(spark.range(30).withColumnRenamed("id", "k]"), "k]", 3)
+    reader = Reader()
+    parts = read_tables(reader, SERVER, ["dbo.a", "dbo.b"], {"dbo.a": ("k]", found)})
+    assert parts["dbo.a"]["predicates"] == [
+        "([k]]] < 10 OR [k]]] IS NULL)", "([k]]] >= 10 AND [k]]] < 20)", "([k]]] >= 20)",
+    ]
+    assert "predicates" not in parts["dbo.b"]
+
+
+KEYS = {
+    "int": [None, 1, 3, 3, 3, 3, 3, 9, 12, 70],
+    "decimal(12,2)": [None, Decimal("-1.50"), Decimal("0.25"), Decimal("7.00"), Decimal("7.01"), None, Decimal("9")],
+    "double": [0.1, -2.5, 1e300, None, 3.0, 1e-7],
+    "string": [None, "", "it's", "O'Neil", "Zoë", "a", "B", "é", "中", 'x"y', "a", "b"],
+    "date": [None, datetime.date(1969, 12, 31), datetime.date(2020, 2, 29), datetime.date(2024, 1, 1)],
+    "timestamp": [None, datetime.datetime(2020, 1, 1, 0, 0, 0, 1), datetime.datetime(2020, 1, 1), datetime.datetime(2021, 6, 5, 4)],
+    "boolean": [True, False, None, True, False, True],
+}
+
+
+@pytest.mark.parametrize("dtype", KEYS)
+def test_predicates_cover_every_row_once(spark, dtype):
+    """The server's SQL, run by another engine with the same forms."""
+    keys = KEYS[dtype] * 3
+    kind = dtype.replace("timestamp", "timestamp_ntz")
+    df = local_frame(spark, [(k,) for k in keys], f"k {kind}")
+    plain = {**POSTGRES, "text_order": "C"}
+    predicates = jdbc.range_predicates(plain, "k", range_boundaries(df, "k", 4))
+    assert 2 <= len(predicates) <= 4
+    with duckdb.connect() as db:
+        db.execute(f"create table t (k {'varchar' if dtype == 'string' else dtype})")
+        db.executemany("insert into t values (?)", [(k,) for k in keys])
+        counts = [db.execute(f"select count(*) from t where {p}").fetchone()[0] for p in predicates]
+    assert sum(counts) == len(keys) and min(counts) > 0
+
+
+def test_predicates_by_dialect(spark):
+    df = local_frame(spark, [(k,) for k in [b"a", b"b", b"c"]], "k binary")
+    found = range_boundaries(df, "k", 2)
+    assert jdbc.range_predicates(SQL_SERVER, "k", found)[1] == "([k] >= 0x63)"
+    assert jdbc.range_predicates(POSTGRES, 'k"', found)[1] == "(\"k\"\"\" >= decode('63', 'hex'))"
+    text = range_boundaries(local_frame(spark, [("a",), ("b",)], "k string"), "k", 2)
+    assert jdbc.range_predicates(SQL_SERVER, "k", text) == [
+        "([k] COLLATE Latin1_General_100_BIN2 < N'b' OR [k] IS NULL)",
+        "([k] COLLATE Latin1_General_100_BIN2 >= N'b')",
+    ]
+    nothing = range_boundaries(spark.range(0), "id", 2)
+    assert jdbc.range_predicates(POSTGRES, "id", nothing) == ["1 = 1"]
 
 
 def test_name_lists(spark, monkeypatch):

@@ -10,7 +10,7 @@ from tilewright.operators import assign_slices, range_boundaries, slice_balance
 from tilewright.operators import tiles as tiles_module
 from tilewright.session import local_frame
 
-TIGHT = {"exact_rows": 5, "sample_keys": 20}
+TIGHT = {"cuts": 3}
 
 
 def by_ntile(keys, tiles, null_first=True):
@@ -21,7 +21,8 @@ def by_ntile(keys, tiles, null_first=True):
     for loc in range(1, tiles + 1):
         n = size + (loc <= longer)
         if n:
-            found.append((loc, n, ordered[at], ordered[at + n - 1]))
+            present = [k for k in ordered[at : at + n] if k is not None] or [None]
+            found.append((loc, n, present[0], present[-1]))
         at += n
     return found
 
@@ -31,7 +32,7 @@ def boundaries(df, tiles, **limits):
     return sorted(tuple(r) for r in rows)
 
 
-@pytest.mark.parametrize("limits", [{}, TIGHT], ids=["direct", "narrowed"])
+@pytest.mark.parametrize("limits", [{}, TIGHT], ids=["many cuts", "few cuts"])
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     keys=st.lists(st.integers(-20, 20) | st.integers(-(2**62), 2**62), max_size=60),
@@ -60,12 +61,12 @@ def test_key_types(spark, dtype):
     keys = [TYPES[dtype](draw) for _ in range(400)]
     if dtype == "timestamp":
         df = local_frame(spark, [(k,) for k in keys], "k timestamp_ntz").select(F.col("k").cast("timestamp"))
-        df_found = range_boundaries(df, "k", 4, exact_rows=40, sample_keys=60).withColumns(
+        df_found = range_boundaries(df, "k", 4, cuts=9).withColumns(
             {c: F.col(c).cast("timestamp_ntz") for c in ("min_val", "max_val")}
         )
     else:
         df = local_frame(spark, [(k,) for k in keys], f"k {dtype}")
-        df_found = range_boundaries(df, "k", 4, exact_rows=40, sample_keys=60)
+        df_found = range_boundaries(df, "k", 4, cuts=9)
     plain = lambda v: bytes(v) if isinstance(v, bytearray) else v
     found = sorted(tuple(map(plain, r)) for r in df_found.collect())
     assert found == by_ntile(keys, 4)
@@ -80,23 +81,29 @@ def test_null_and_hot_keys(spark):
 
 
 def test_many_tiles(spark):
-    """More gaps and fences than fit one filter and one search tree."""
+    """More ranges than fit one filter."""
     keys = [None] * 500 + [i * 7 % 20_011 for i in range(20_000)] + [11] * 3_000
     df = local_frame(spark, [(k,) for k in keys], "k bigint")
     ordered = by_ntile(keys, 60)
-    for limits in ({}, {"exact_rows": 8_000, "sample_keys": 4_000}, {"exact_rows": 100, "sample_keys": 6_000}):
+    for limits in ({}, {"cuts": 1}, {"cuts": 90}, {"cuts": 1_000}):
         found = {r[0]: tuple(r) for r in range_boundaries(df, "k", 60, **limits).collect()}
         assert [found[i] for i in range(1, 61)] == ordered
 
 
-@pytest.mark.parametrize("count", [1, 24, 25, 63, 64, 100])
+@pytest.mark.parametrize("count", [0, 1, 2, 24, 63, 64, 100])
 def test_places(spark, count):
     fences = [3 * i for i in range(count)]
     df = local_frame(spark, [(k,) for k in [None, *range(-2, 3 * count + 2)]], "k bigint")
-    place = tiles_module._place(F.col("k"), [F.lit(f).cast("bigint") for f in fences])
-    for k, at in df.select("k", place).collect():
-        below = 0 if k is None else sum(f < k for f in fences)
-        assert at == 2 * below + (k in fences)
+    placed = tiles_module._placed(df, "k", [str(f) for f in fences], df.schema["k"].dataType, "place")
+    for k, at in placed.collect():
+        below = sum(f < k for f in fences) if k is not None else None
+        assert at == (0 if k is None else 2 * below + 1 + (k in fences))
+
+
+def test_ten_thousand_tiles(spark):
+    df = spark.range(30_000).select(F.abs(F.xxhash64("id")).alias("k"))
+    keys = [r.k for r in df.collect()]
+    assert boundaries(df, 10_000) == by_ntile(keys, 10_000)
 
 
 def test_nothing_but_one_key(spark):
@@ -106,61 +113,60 @@ def test_nothing_but_one_key(spark):
 
 
 def test_larger_narrowing(spark):
-    """A third of the rows on one key; the rounds leave only the gaps that matter."""
+    """A third of the rows on one key."""
     df = spark.range(300_000).select(
         F.when(F.col("id") % 3 == 0, 77).otherwise(F.abs(F.xxhash64("id")) % 1_000_003).alias("k")
     )
-    found = boundaries(df, 10, exact_rows=2_000, sample_keys=5_000)
+    found = boundaries(df, 10, cuts=700)
     counts = {r.k: r["count"] for r in df.groupBy("k").count().collect()}
     keys = [k for k in sorted(counts) for _ in range(counts[k])]
     assert found == by_ntile(keys, 10)
 
 
-def test_bad_cuts_stay_exact(spark, monkeypatch):
-    """Cuts far from the wanted positions cost rounds, not exactness."""
-    turns, real = [], tiles_module._propose_cuts
-
-    def propose(keys, dtype, gaps, positions, sample_keys, seed):
-        turns.append(seed)
-        return real(keys, dtype, gaps, positions, sample_keys, seed) if seed >= 3 else {0: [399 - seed]}
-
-    monkeypatch.setattr(tiles_module, "_propose_cuts", propose)
+@pytest.mark.parametrize("cuts", [[], ["399"], ["-5", "1000"], ["7", "8", "9"]])
+def test_bad_cuts_stay_exact(spark, monkeypatch, cuts):
+    monkeypatch.setattr(tiles_module, "_propose_cuts", lambda *_: cuts)
     df = spark.range(400).select(F.col("id").alias("k"))
-    assert boundaries(df, 3, exact_rows=10) == by_ntile(range(400), 3)
-    assert len(turns) > 3
+    assert boundaries(df, 3) == by_ntile(range(400), 3)
 
 
-def test_many_nulls_cost_no_rounds(spark, monkeypatch):
-    turns, real = [], tiles_module._propose_cuts
-
-    def propose(*args, **options):
-        turns.append(1)
-        return real(*args, **options)
-
-    monkeypatch.setattr(tiles_module, "_propose_cuts", propose)
-    df = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("a.b"))
-    found = range_boundaries(df, "a.b", 4, exact_rows=3_000, sample_keys=4_000).orderBy("loc").collect()
+def test_many_nulls_and_a_dotted_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(20_000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("a.b")).write.parquet(path)
+    found = range_boundaries(spark.read.parquet(path), "a.b", 4).orderBy("loc").collect()
     assert [tuple(r) for r in found] == [
         (1, 5000, None, None), (2, 5000, None, None), (3, 5000, 0, 9998), (4, 5000, 10000, 19998),
     ]
-    assert len(turns) <= 3
 
 
 def test_ranges_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10_000).select(F.col("id").alias("k"), F.lit("wide").alias("other")).write.parquet(path)
-    found = range_boundaries(spark.read.parquet(path), "k", 4, exact_rows=5_000, sample_keys=2_000)
+    found = range_boundaries(spark.read.parquet(path), "k", 4, cuts=100)
     plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
     assert "ReadSchema: struct<k:bigint>" in plan
     assert "GreaterThan(k," in plan and "LessThan(k," in plan
 
 
-def test_ranked_rows_are_bounded(spark):
+def test_ranking_is_spread_and_bounded(spark):
     keys = spark.range(50_000).select(F.hash("id").alias("key"))
-    positions = {1, 12_500, 12_501, 25_000, 25_001, 50_000}
-    gaps, known = tiles_module._narrow(keys, keys.schema["key"].dataType, 50_000, positions, 500, 2_000)
-    assert 0 < sum(g.rows for g in gaps) <= 500
-    assert all(any(g.holds(p) for g in gaps) for p in positions - known.keys())
+    dtype = keys.schema["key"].dataType
+    fences = tiles_module._propose_cuts(keys, dtype, 50_000, 200)
+    placed = tiles_module._placed(keys, "key", fences, dtype, "place")
+    rows_at = {r.place: r["count"] for r in placed.groupBy("place").count().collect()}
+    known, unsettled = tiles_module._settle(rows_at, fences, 50_000, 10)
+    assert 150 <= len(fences) <= 300 and 8 <= len(unsettled) <= 20
+    assert sum(rows_at[p] for p in unsettled) < 50_000 // 4
+    ranked = tiles_module._ranked_runs(keys, dtype, fences, unsettled)
+    distinct = placed.where(F.col("place").isin(*unsettled)).select("key").distinct()
+    assert ranked.count() == distinct.count()
+
+
+def test_filters_do_not_unroll_the_search(spark):
+    df = spark.range(3_000).select(F.col("id").alias("k"))
+    sliced = assign_slices(df, "k", range_boundaries(df, "k", 300))
+    assert sliced.where("slice = 7 OR slice > 299").count() == 20
 
 
 def test_slices_need_no_exchange(spark, tmp_path):

@@ -2,6 +2,7 @@ from tilewright.functions.columns import (
     byte_length,
     contains_ignore_case,
     exact_kb,
+    quoted,
     size_class,
     tile_count,
     whole_average,
@@ -11,6 +12,7 @@ __all__ = [
     "byte_length",
     "contains_ignore_case",
     "exact_kb",
+    "quoted",
     "size_class",
     "tile_count",
     "whole_average",

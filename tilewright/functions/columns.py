@@ -58,3 +58,8 @@ def contains_ignore_case(col: Column, text: str) -> Column:
 
 def _div(col: Column, by: int) -> Column:
     return F.call_function("div", col.cast("bigint"), F.lit(by).cast("bigint"))
+
+
+def quoted(name: str) -> str:
+    """A column name that is taken as it is, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from tilewright.functions.columns import (
     byte_length,
     exact_kb,
+    quoted,
     whole_average,
     whole_kb,
     whole_mb,
@@ -69,7 +70,7 @@ def lob_profile(
     names = list(dict.fromkeys(cols))
     sizes = df.select(
         *[
-            byte_length(F.col(_quoted(c)), c in utf16).cast("bigint").alias(f"s{i}")
+            byte_length(F.col(quoted(c)), c in utf16).cast("bigint").alias(f"s{i}")
             for i, c in enumerate(names)
         ]
     )
@@ -126,7 +127,7 @@ def lob_split(
     df: DataFrame, col: str, small_bytes: int = 1024, utf16: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with a small (or null) value and rows with a large one, each as a plain filter."""
-    large = byte_length(F.col(_quoted(col)), utf16) > small_bytes
+    large = byte_length(F.col(quoted(col)), utf16) > small_bytes
     return df.where(F.coalesce(~large, F.lit(True))), df.where(large)
 
 
@@ -143,7 +144,3 @@ def _profile_row(object_id: int, name: str, i: int) -> Column:
         whole_mb(average).alias("AvgSizeMB"),
         whole_mb(smallest).alias("MinSizeMB"),
     )
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

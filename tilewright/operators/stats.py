@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tilewright.functions.columns import quoted
 from tilewright.session import union_all
 
 
@@ -15,7 +16,7 @@ def sequence_positions(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame
     ``tables`` maps a name to (DataFrame, key column); only the key is read.
     """
     parts = [
-        df.agg(F.max("`" + key.replace("`", "``") + "`").cast("bigint").alias("last_value")).select(
+        df.agg(F.max(quoted(key)).cast("bigint").alias("last_value")).select(
             F.lit(name).alias("table_name"),
             F.lit(key).alias("key_column"),
             "last_value",
@@ -33,24 +34,22 @@ SKETCH_LOG_SIZE = 14
 def column_stats(df: DataFrame, name: str, exact_distinct: bool = False) -> DataFrame:
     """Rows, nulls, smallest, largest and distinct values of every column, from one scan.
 
-    The distinct count is a sketch unless ``exact_distinct`` is set, which
-    shuffles the distinct values of every column. Nested columns have no
-    smallest and largest value, and maps no distinct count.
+    The distinct count is a sketch unless ``exact_distinct`` is set. Then a second scan
+    shuffles the distinct values of every column, as text if they have a fixed size and
+    as SHA-256 otherwise. Nested columns have no smallest and largest value, and maps no
+    distinct count.
     """
     measures = [F.count(F.lit(1)).alias("n")]
-    nothing = F.lit(None).cast("string")
+    nothing = F.lit(None)
     for i, f in enumerate(df.schema.fields):
-        col = F.col("`" + f.name.replace("`", "``") + "`")
-        if isinstance(f.dataType, (T.MapType, T.VariantType)):
-            distinct = nothing.cast("bigint")
-        else:
-            distinct = F.count_distinct(col) if exact_distinct else _sketched_count(col)
+        col = F.col(quoted(f.name))
+        sketched = not exact_distinct and _countable(f.dataType)
         plain = not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
         measures += [
             F.count(col).alias(f"present{i}"),
-            (F.min(col).cast("string") if plain else nothing).alias(f"min{i}"),
-            (F.max(col).cast("string") if plain else nothing).alias(f"max{i}"),
-            distinct.alias(f"distinct{i}"),
+            (F.min(col).cast("string") if plain else nothing.cast("string")).alias(f"min{i}"),
+            (F.max(col).cast("string") if plain else nothing.cast("string")).alias(f"max{i}"),
+            (_sketched_count(col) if sketched else nothing.cast("bigint")).alias(f"distinct{i}"),
         ]
     rows = [
         F.struct(
@@ -64,7 +63,54 @@ def column_stats(df: DataFrame, name: str, exact_distinct: bool = False) -> Data
         )
         for i, f in enumerate(df.schema.fields)
     ]
-    return df.agg(*measures).select(F.inline(F.array(*rows)))
+    stats = df.agg(*measures).select(F.inline(F.array(*rows)))
+    if not exact_distinct:
+        return stats
+    countable = F.lit(None).cast("bigint")
+    for f in df.schema.fields:
+        if _countable(f.dataType):
+            countable = F.when(F.col("column_name") == f.name, 0).otherwise(countable)
+    return stats.join(_exact_counts(df), "column_name", "left").select(
+        *[
+            F.coalesce("exact", countable).alias(c) if c == "distinct_count" else F.col(c)
+            for c in stats.columns
+        ]
+    )
+
+
+def _countable(dtype: T.DataType) -> bool:
+    return not isinstance(dtype, (T.MapType, T.VariantType))
+
+
+def _exact_counts(df: DataFrame) -> DataFrame:
+    """Distinct values per column that has any; one narrow row per column and distinct value is shuffled."""
+    values = [
+        F.struct(F.lit(f.name).alias("column_name"), _identity(F.col(quoted(f.name)), f.dataType).alias("value"))
+        for f in df.schema.fields
+        if _countable(f.dataType)
+    ]
+    if not values:
+        return df.sparkSession.createDataFrame([], "column_name string, exact bigint")
+    return (
+        df.select(F.inline(F.array(*values)))
+        .where("value IS NOT NULL")
+        .groupBy("column_name", "value")
+        .agg(F.lit(1))
+        .groupBy("column_name")
+        .agg(F.count(F.lit(1)).alias("exact"))
+    )
+
+
+def _identity(col: Column, dtype: T.DataType) -> Column:
+    """Short text that is the same for equal values only."""
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return (col + F.lit(0.0)).cast("string")  # both zeros are one value
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return F.sha2(col.cast("binary"), 256)
+    if isinstance(dtype, (T.ArrayType, T.StructType)):
+        options = {"ignoreNullFields": "false"}
+        return F.when(col.isNotNull(), F.sha2(F.to_json(F.struct(col.alias("v")), options), 256))
+    return col.cast("string")
 
 
 def _sketched_count(col: Column) -> Column:

@@ -1,99 +1,74 @@
 """Equal-count key ranges of a table, exact and without ordering the table.
 
 ``ntile`` over a whole table sends every row to one task. Here the first and
-last key of each tile are looked up as order statistics instead:
-
-1.  While more than ``exact_rows`` rows are in question, a sample proposes cut
-    keys around each wanted position and one scan counts the rows below and at
-    them. Only the gaps that hold a wanted position stay in question, so each
-    round shrinks them by about two orders of magnitude, and their bounds are
-    filters that reach the file scan. A few cut keys per tile and their counts
-    are all that comes to the driver.
-2.  The remaining rows are counted per distinct key (combined before the
-    shuffle, so a hot key is one row) and ranked, at most ``exact_rows`` of them.
-
-Any cut keys give the right result: a bad sample costs a round, not exactness.
+last key of each tile are looked up as order statistics, in three scans of the
+key whatever its values:
+
+1.  A sample proposes cut keys, some for each tile and more for more rows.
+2.  The rows between and on the cuts are counted. Null keys and keys that are
+    cuts take up known positions from here on.
+3.  Only ranges that hold a wanted position are read again. Their rows are counted
+    per distinct key (combined before the shuffle, so a hot key is one row) and
+    ranked range by range, each in a task of its own.
+
+Any cut keys give the right result: a bad sample costs time, not exactness. The
+driver holds the cut keys and one count for each.
 """
 
 from __future__ import annotations
 
-import itertools
+import json
 import math
-from bisect import bisect_left, bisect_right
-from dataclasses import dataclass
+from bisect import bisect_left
 from functools import reduce
 from operator import and_, or_
-from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-EXACT_ROWS = 2_000_000
-# Sampled keys are ranked in one task in the first round, hence the upper bound.
-SAMPLE_KEYS, SAMPLE_KEYS_PER_TILE, MOST_SAMPLE_KEYS = 500_000, 20_000, 5_000_000
+from tilewright.functions.columns import quoted
+from tilewright.session import local_frame
 
-# Ranges in one file filter, and fences in one search tree: larger expressions
-# would leave compiled code, so beyond that ranges are merged and trees replaced.
-PUSHED_RANGES = 16
-TREE_FENCES = 24
-
-
-@dataclass(frozen=True)
-class _Gap:
-    """The rows strictly between two keys; with ``lo`` None it starts behind the null keys."""
-
-    lo: Any
-    hi: Any
-    before: int = 0
-    rows: int = 0
-
-    def holds(self, position: int) -> bool:
-        return self.before < position <= self.before + self.rows
+# Cut keys: so many for each tile, and one for so many rows up to a number that
+# keeps the plan small.
+CUTS_PER_TILE, ROWS_PER_CUT, MOST_CUTS_FOR_ROWS = 4, 100_000, 16_384
+SAMPLE_PER_CUT = 10
 
-    def contains(self, key: Column, dtype: T.DataType) -> Column:
-        bounds = []
-        if self.lo is not None:
-            bounds.append(key > _literal(self.lo, dtype))
-        if self.hi is not None:
-            bounds.append(key < _literal(self.hi, dtype))
-        return reduce(and_, bounds) if bounds else key.isNotNull()
+# Ranges in one file filter; beyond that neighbouring ones are merged.
+PUSHED_RANGES = 16
 
 
-def range_boundaries(
-    df: DataFrame,
-    key: str,
-    tiles: int,
-    exact_rows: int = EXACT_ROWS,
-    sample_keys: int | None = None,
-) -> DataFrame:
-    """Row count, first and last key of each of ``tiles`` equal-count tiles in key order.
+def range_boundaries(df: DataFrame, key: str, tiles: int, cuts: int | None = None) -> DataFrame:
+    """Row count, least and greatest key of each of ``tiles`` equal-count tiles in key order.
 
-    Equal to grouping by ``ntile(tiles)`` over the key; null keys come first.
+    Equal to grouping by ``ntile(tiles)`` over the key; null keys come first, and are
+    neither least nor greatest beside others.
     With fewer rows than tiles there is one tile per row. Only the key is read.
+    ``cuts`` is the number of cut keys, which only the cost depends on.
     """
-    keys = df.select(F.col(_quoted(key)).alias("key"))
+    keys = df.select(F.col(quoted(key)).alias("key"))
     dtype = keys.schema["key"].dataType
-    total, present = keys.agg(F.count(F.lit(1)), F.count("key")).first()
+    total = keys.count()
     size, longer = divmod(total, tiles)
-    positions, end = set(), 0
-    for loc in range(1, min(tiles, total) + 1):
-        positions.add(end + 1)
-        end += size + (loc <= longer)
-        positions.add(end)
-    if sample_keys is None:
-        sample_keys = min(max(SAMPLE_KEYS, SAMPLE_KEYS_PER_TILE * tiles), MOST_SAMPLE_KEYS)
-    gaps, known = _narrow(keys, dtype, total, positions, exact_rows, sample_keys, total - present)
+    if cuts is None:
+        cuts = CUTS_PER_TILE * tiles + min(total // ROWS_PER_CUT, MOST_CUTS_FOR_ROWS)
+    fences = _propose_cuts(keys, dtype, total, cuts)
+    counted = _placed(keys, "key", fences, dtype, "place").groupBy("place").count().collect()
 
     # A run of equal keys at positions first..last belongs to one or more tiles.
-    runs = _ranked_runs(keys, dtype, gaps)
-    if known:
-        runs = runs.unionByName(_known_runs(df.sparkSession, dtype, known))
+    known, unsettled = _settle({r["place"]: r["count"] for r in counted}, fences, total, tiles)
+    runs = _ranked_runs(keys, dtype, fences, unsettled).unionByName(
+        local_frame(df.sparkSession, known, "key string, first bigint, last bigint").withColumn(
+            "key", _from_text(F.col("key"), dtype)
+        )
+    )
     loc = F.explode(
         F.sequence(_tile_of(F.col("first"), size, longer), _tile_of(F.col("last"), size, longer))
     )
+    last = F.when(F.col("key").isNotNull(), F.col("last"))
     return (
         runs.select("key", "last", loc.alias("loc"))
         .groupBy(F.col("loc").cast("int").alias("loc"))
-        .agg(F.min_by("key", "last").alias("min_val"), F.max_by("key", "last").alias("max_val"))
+        .agg(F.min_by("key", last).alias("min_val"), F.max_by("key", last).alias("max_val"))
         .select(
             "loc",
             F.when(F.col("loc") <= longer, size + 1).otherwise(size).cast("bigint").alias("cnt_vals"),
@@ -107,30 +82,31 @@ def assign_slices(df: DataFrame, key: str, boundaries: DataFrame) -> DataFrame:
     """Add the ``slice`` each row is loaded in: slice t holds the keys from tile t's first
     key up to, not including, the first key of tile t+1. Null keys are in slice 1.
 
-    The boundaries (one key per tile) become literals, so no join is needed. To
-    write slices, partition the output by ``slice`` without a shuffle on it: a
-    hot key then stays spread over the tasks that read it.
+    The boundaries (one key per tile) become constants, so no join is needed.
     """
     dtype = df.schema[key].dataType
-    starts = [
-        r.k
-        for r in boundaries.where("loc > 1").select("loc", _portable(F.col("min_val"), dtype).alias("k"))
-        .orderBy("loc").collect()
-        if r.k is not None
-    ]
     # Equal boundaries (a hot key that fills whole tiles) are passed together.
-    passed = {repr(s): (s, i) for i, s in enumerate(starts, start=1)}
-    place = _place(F.col(_quoted(key)), [_literal(s, dtype) for s, _ in passed.values()])
-    slices = F.array(*[F.lit(1 + i) for i in (0, *(i for _, i in passed.values()))])
-    return df.withColumn("slice", F.get(slices, F.shiftright(place + 1, 1)))
+    passed = {text: i for i, text in enumerate(tile_starts(boundaries, dtype), start=1)}
+    place, slices = f"_place_of_{key}", _constant_array([1, *(1 + i for i in passed.values())], "array<int>")
+    return (
+        _placed(df, key, list(passed), dtype, place)
+        .withColumn("slice", F.get(slices, F.shiftright(F.greatest(F.col(quoted(place)), F.lit(1)), 1)))
+        .drop(place)
+    )
+
+
+def tile_starts(boundaries: DataFrame, dtype: T.DataType) -> list[str]:
+    """The first keys of all tiles but the first as text, in order, without nulls."""
+    starts = boundaries.where("loc > 1 AND min_val IS NOT NULL").orderBy("loc")
+    return [r.k for r in starts.select(_to_text(F.col("min_val"), dtype).alias("k")).collect()]
 
 
 def slice_balance(sliced: DataFrame, key: str) -> DataFrame:
     """Rows, smallest and largest key of each slice."""
     return sliced.groupBy("slice").agg(
         F.count(F.lit(1)).alias("cnt_vals"),
-        F.min(_quoted(key)).alias("min_val"),
-        F.max(_quoted(key)).alias("max_val"),
+        F.min(quoted(key)).alias("min_val"),
+        F.max(quoted(key)).alias("max_val"),
     )
 
 
@@ -146,226 +122,132 @@ def _div(value: Column, by: int) -> Column:
     return F.call_function("div", value, F.lit(by).cast("bigint"))
 
 
-def _narrow(
-    keys: DataFrame,
-    dtype: T.DataType,
-    total: int,
-    positions: set[int],
-    exact_rows: int,
-    sample_keys: int,
-    nulls: int = 0,
-) -> tuple[list[_Gap], dict[int, Any]]:
-    """Gaps that hold the wanted positions, and the positions already settled with their key.
+def _propose_cuts(keys: DataFrame, dtype: T.DataType, total: int, cuts: int) -> list[str]:
+    """About ``cuts`` ascending keys at even distances in a sample, as text.
 
-    Null keys are one run at the front, settled from the start.
+    The sample grows with the number of cuts only; the cuts alone come to the driver.
     """
-    known: dict[int, Any] = {p: None for p in positions if p <= nulls}
-    open_positions = sorted(positions - known.keys())
-    gaps = [_Gap(None, None, nulls, total - nulls)] if open_positions else []
-    for turn in itertools.count():
-        if sum(g.rows for g in gaps) <= exact_rows:
-            break
-        cuts = _propose_cuts(keys, dtype, gaps, open_positions, sample_keys, seed=turn)
-        parts, runs = _count_around(keys, dtype, gaps, cuts)
-        ends = [before + rows for _, before, rows in runs]
-        for position in open_positions:
-            at = bisect_left(ends, position)  # runs and parts are in order of position
-            if at < len(runs) and runs[at][1] < position:
-                known[position] = runs[at][0]
-        open_positions = [p for p in open_positions if p not in known]
-        gaps = [g for g in parts if _any_inside(open_positions, g)]
-    return gaps, known
-
-
-def _any_inside(positions: list[int], gap: _Gap) -> bool:
-    at = bisect_right(positions, gap.before)
-    return at < len(positions) and positions[at] <= gap.before + gap.rows
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _propose_cuts(
-    keys: DataFrame,
-    dtype: T.DataType,
-    gaps: list[_Gap],
-    positions: list[int],
-    sample_keys: int,
-    seed: int,
-) -> dict[int, list[Any]]:
-    """Per gap, ascending keys that a sample puts just below and above each wanted position."""
-    fraction = min(1.0, sample_keys / sum(g.rows for g in gaps))
-    wanted = {
-        (i << 40) + rank
-        for i, gap in enumerate(gaps)
-        for position in positions[
-            bisect_right(positions, gap.before) : bisect_right(positions, gap.before + gap.rows)
-        ]
-        for rank in _sample_ranks(position - gap.before, gap.rows, fraction)
-    }
-    rank = F.row_number().over(W.partitionBy("gap").orderBy("key"))
-    rows = (
-        _inside(keys, dtype, gaps)
-        .sample(fraction, seed=seed)
-        .select(_gap_number(dtype, gaps), "key")
-        .withColumn("place", F.shiftleft(F.col("gap").cast("bigint"), 40) + rank)
-        .where(F.col("place").isin(*wanted) & F.col("key").isNotNull())
-        .select("gap", "place", _portable(F.col("key"), dtype).alias("k"))
-        .collect()
+    fraction = min(1.0, SAMPLE_PER_CUT * cuts / max(total, 1))
+    step = F.greatest(F.lit(1), F.call_function("div", F.size("sample"), F.lit(cuts))).alias("step")
+    chosen = (
+        keys.where("key IS NOT NULL")
+        .sample(fraction, seed=0)
+        .agg(F.sort_array(F.collect_list("key")).alias("sample"))
+        .select("sample", step)
+        .select(F.array_distinct(F.filter("sample", lambda _, i: i % F.col("step") == 0)).alias("cuts"))
     )
-    cuts: dict[int, list[Any]] = {}
-    for r in sorted(rows, key=lambda r: r.place):
-        known = cuts.setdefault(r.gap, [])
-        if not known or known[-1] != r.k:
-            known.append(r.k)
-    return cuts
-
-
-def _sample_ranks(position: int, rows: int, fraction: float) -> set[int]:
-    """Ranks in a sample four standard deviations around the expected one of ``position``."""
-    expected = position * fraction
-    slack = 4 * math.sqrt(expected * (1 - fraction))
-    low, high = math.floor(expected - slack), math.ceil(expected + slack)
-    if low >= 1 and high <= rows * fraction:
-        return {low, high}
-    # One side is open at the ends of a gap, so cut at the expected rank as well.
-    return {r for r in (low, max(1, round(expected)), high) if r >= 1}
-
-
-def _count_around(
-    keys: DataFrame, dtype: T.DataType, gaps: list[_Gap], cuts: dict[int, list[Any]]
-) -> tuple[list[_Gap], list[tuple[Any, int, int]]]:
-    """Split each gap at its cuts: the gaps in between, and the run of rows equal to each cut."""
-    fences = []
-    for i, gap in enumerate(gaps):
-        if i > 0:
-            fences.append(gap.lo)
-        fences += cuts.get(i, [])
-    place = _place(F.col("key"), [_literal(f, dtype) for f in fences])
-    counted = _inside(keys, dtype, gaps).groupBy(place.alias("place")).count().collect()
-    rows_at = {r["place"]: r["count"] for r in counted}
-
-    parts, runs, j = [], [], 0
-    for i, gap in enumerate(gaps):
-        if i > 0:
-            j += 1
-        lo, before = gap.lo, gap.before
-        for cut in cuts.get(i, []):
-            below, equal = rows_at.get(2 * j, 0), rows_at.get(2 * j + 1, 0)
-            parts.append(_Gap(lo, cut, before, below))
-            runs.append((cut, before + below, equal))
-            lo, before, j = cut, before + below + equal, j + 1
-        parts.append(_Gap(lo, gap.hi, before, rows_at.get(2 * j, 0)))
-    return parts, runs
-
-
-def _place(key: Column, fences: list[Column]) -> Column:
-    """Where a key lies among ascending fences: 2j below the j-th, 2j+1 on it; nulls are at 0.
-
-    A search tree, so a row meets only a few comparisons.
-    """
-    if len(fences) > TREE_FENCES:
-        return _place_among_many(key, F.array(*fences), len(fences))
-
-    def search(first: int, last: int) -> Column:
-        if first == last:
-            return F.lit(2 * first)
-        middle = (first + last) // 2
-        return (
-            F.when(key < fences[middle], search(first, middle))
-            .when(key == fences[middle], 2 * middle + 1)
-            .otherwise(search(middle + 1, last))
-        )
-
-    return F.when(key.isNull(), 0).otherwise(search(0, len(fences)))
-
+    return list(chosen.select(F.transform("cuts", lambda k: _to_text(k, dtype)).alias("k")).first().k)
 
-def _place_among_many(key: Column, fences: Column, count: int) -> Column:
-    """The same by halving steps over the fences as an array; its size does not grow the code."""
-    steps = [1 << i for i in range(count.bit_length() - 1, -1, -1)]
 
-    def advance(passed: Column, step: Column) -> Column:
-        reached = F.get(fences, passed + step - 1) <= key
-        return passed + F.when(reached, step).otherwise(0)
+def _placed(df: DataFrame, key: str, fences: list[str], dtype: T.DataType, name: str) -> DataFrame:
+    """Add where a key lies among ascending fences: 0 if null, 2j + 1 just below the j-th
+    (from 0), 2j + 2 on it.
 
-    def finish(passed: Column) -> Column:
-        on_fence = F.get(fences, passed - 1) == key
-        return 2 * passed - F.when(on_fence, 1).otherwise(0)
-
-    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), advance, finish)
-
-
-def _ranked_runs(keys: DataFrame, dtype: T.DataType, gaps: list[_Gap]) -> DataFrame:
-    """Each distinct key inside ``gaps`` with the first and last position it takes up."""
-    counted = (
-        _inside(keys, dtype, gaps)
-        .groupBy(_gap_number(dtype, gaps), "key")
-        .agg(F.count(F.lit(1)).alias("n"))
+    A binary search with one projection per step: compiled code that looks up a constant
+    array, whatever the number of fences.
+    """
+    if not fences:
+        return df.withColumn(name, F.when(F.col(quoted(key)).isNull(), 0).otherwise(1))
+    table, value, passed = _fence_array(fences, dtype), F.col(quoted(key)), F.col(quoted(name))
+    df = df.withColumn(name, F.lit(0))
+    for power in range(len(fences).bit_length() - 1, -1, -1):
+        reached = F.get(table, passed + ((1 << power) - 1)) <= value
+        df = df.withColumn(name, passed + F.when(reached, 1 << power).otherwise(0))
+    on_fence = F.coalesce(F.get(table, passed - 1) == value, F.lit(False))
+    place = F.when(value.isNull(), 0).otherwise(2 * passed + F.when(on_fence, 0).otherwise(1))
+    # Through the generator no filter on the place is pushed down: it would unroll the search.
+    others = [F.col(quoted(c)) for c in df.columns if c != name]
+    return df.select(*others, F.explode(F.array(place)).alias(name))
+
+
+def _settle(
+    rows_at: dict[int, int], fences: list[str], total: int, tiles: int
+) -> tuple[list[tuple[str | None, int, int]], dict[int, int]]:
+    """Runs of one key that hold a wanted position, and the places that must be ranked
+    with the rows before each."""
+    size, longer = divmod(total, tiles)
+    positions, end = [], 0
+    for loc in range(1, min(tiles, total) + 1):
+        positions.append(end + 1)
+        end += size + (loc <= longer)
+        positions.append(end)
+    nulls = rows_at.get(0, 0)
+    if 0 < nulls < total:  # the least key may be in the middle of a tile
+        positions = sorted({*positions, nulls + 1})
+    known, unsettled, before = [], {}, 0
+    for place in sorted(rows_at):
+        rows = rows_at[place]
+        at = bisect_left(positions, before + 1)
+        if at < len(positions) and positions[at] <= before + rows:
+            if place % 2:
+                unsettled[place] = before
+            else:
+                known.append((fences[place // 2 - 1] if place else None, before + 1, before + rows))
+        before += rows
+    return known, unsettled
+
+
+def _ranked_runs(
+    keys: DataFrame, dtype: T.DataType, fences: list[str], unsettled: dict[int, int]
+) -> DataFrame:
+    """Each distinct key at the unsettled places with the first and last position it takes up."""
+    before = _constant_array(
+        [unsettled.get(place) for place in range(2 * len(fences) + 2)], "array<bigint>"
     )
-    before = F.array(*[F.lit(g.before).cast("bigint") for g in gaps] or [F.lit(0).cast("bigint")])
-    last = F.sum("n").over(W.partitionBy("gap").orderBy("key")) + F.get(before, F.col("gap"))
+    before = F.get(before, F.col("place"))
+    placed = _placed(_inside(keys, dtype, fences, sorted(unsettled)), "key", fences, dtype, "place")
+    counted = placed.where(before.isNotNull()).groupBy("place", "key").agg(F.count(F.lit(1)).alias("n"))
+    last = F.sum("n").over(W.partitionBy("place").orderBy("key")) + before
     return counted.withColumn("last", last).select(
         "key", (F.col("last") - F.col("n") + 1).alias("first"), "last"
     )
 
 
-def _known_runs(spark: SparkSession, dtype: T.DataType, known: dict[int, Any]) -> DataFrame:
-    rows = [
-        F.struct(
-            _literal(key, dtype).alias("key"),
-            F.lit(position).cast("bigint").alias("first"),
-            F.lit(position).cast("bigint").alias("last"),
-        )
-        for position, key in known.items()
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
-
-
-def _inside(keys: DataFrame, dtype: T.DataType, gaps: list[_Gap]) -> DataFrame:
-    """The rows of the gaps; their bounds are plain ranges that a file scan can skip by."""
-    if not gaps:
+def _inside(keys: DataFrame, dtype: T.DataType, fences: list[str], places: list[int]) -> DataFrame:
+    """At least the rows at these places, by plain ranges that a file scan can skip by."""
+    if not places:
         return keys.where(F.lit(False))
-    key, group = F.col("key"), math.ceil(len(gaps) / PUSHED_RANGES)
-    ranges = [
-        _Gap(gaps[i].lo, gaps[min(i + group, len(gaps)) - 1].hi).contains(key, dtype)
-        for i in range(0, len(gaps), group)
-    ]
-    inside = keys.where(reduce(or_, ranges))
-    if group == 1:
-        return inside
-    # Ranges of several gaps also hold the keys between them.
-    place = _place(key, [_literal(g.lo, dtype) for g in gaps[1:]])
-    ends = F.array(
-        *[F.lit(None) if g.hi is None else _literal(g.hi, dtype) for g in gaps]
-    )
-    below_end = F.coalesce(key < F.get(ends, F.shiftright(place, 1)), F.lit(True))
-    return inside.where((place % 2 == 0) & below_end)
+    group = math.ceil(len(places) / PUSHED_RANGES)
+    ranges = []
+    for i in range(0, len(places), group):
+        first, last = places[i] // 2, places[min(i + group, len(places)) - 1] // 2
+        bounds = [F.col("key").isNotNull()]
+        if first > 0:
+            bounds.append(F.col("key") > _from_text(F.lit(fences[first - 1]), dtype))
+        if last < len(fences):
+            bounds.append(F.col("key") < _from_text(F.lit(fences[last]), dtype))
+        ranges.append(reduce(and_, bounds))
+    return keys.where(reduce(or_, ranges))
 
 
-def _gap_number(dtype: T.DataType, gaps: list[_Gap]) -> Column:
-    """Which of the ascending gaps a key inside them lies in."""
-    place = _place(F.col("key"), [_literal(g.lo, dtype) for g in gaps[1:]])
-    return F.shiftright(place, 1).alias("gap")
+# Keys go through the driver as text, without loss.
 
 
-def _portable(key: Column, dtype: T.DataType) -> Column:
-    """A form of the key that goes through the driver and back without loss."""
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(key)
+def _to_text(key: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BinaryType):
         return F.hex(key)
-    if isinstance(dtype, (T.DateType, T.TimestampNTZType, T.DecimalType)):
-        return key.cast("string")
-    return key
+    if isinstance(dtype, T.TimestampType):  # seconds, whatever the time zone
+        return (F.unix_micros(key).cast("decimal(20,0)") / 1_000_000).cast("decimal(20,6)").cast("string")
+    return key.cast("string")
 
 
-def _literal(value: Any, dtype: T.DataType) -> Column:
-    """The key that ``_portable`` made ``value`` from, as a constant of the key's type."""
-    if value is None:
-        return F.lit(None).cast(dtype)
+def _from_text(text: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.BinaryType):
+        return F.unhex(text)
     if isinstance(dtype, T.TimestampType):
-        return F.timestamp_micros(F.lit(value).cast("bigint"))
+        return text.cast("decimal(20,6)").cast(dtype)
+    return text.cast(dtype)
+
+
+def _fence_array(fences: list[str], dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BinaryType):
-        return F.unhex(F.lit(value))
-    return F.lit(value).cast(dtype)
+        return F.array(*[F.unhex(F.lit(f)) for f in fences])
+    table = _constant_array(fences, "array<string>")
+    if isinstance(dtype, T.TimestampType):
+        table = table.cast("array<decimal(20,6)>")
+    return table.cast(T.ArrayType(dtype))
+
+
+def _constant_array(values: list, dtype: str) -> Column:
+    """One constant, in place of one expression per element."""
+    return F.from_json(F.lit(json.dumps(values)), dtype)

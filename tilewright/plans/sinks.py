@@ -43,5 +43,9 @@ def dump_result(
 
 
 def write_slices(sliced: DataFrame, path: str) -> None:
-    """One folder per slice, without moving rows between tasks first."""
-    sliced.write.mode("overwrite").partitionBy("slice").parquet(path)
+    """One folder per slice, in files of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+
+    Rows are clustered by slice first, so that a task writes few files; adaptive execution
+    splits a slice that is too large for one task, as with a hot key, and joins small ones.
+    """
+    sliced.hint("rebalance", F.col("slice")).write.mode("overwrite").partitionBy("slice").parquet(path)

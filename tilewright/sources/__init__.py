@@ -9,6 +9,7 @@ from tilewright.sources.jdbc import (
     POSTGRES,
     SQL_SERVER,
     JdbcServer,
+    range_predicates,
     read_catalog,
     read_databases,
     read_query,
@@ -24,6 +25,7 @@ __all__ = [
     "JdbcServer",
     "TableSpec",
     "build_catalog",
+    "range_predicates",
     "read_catalog",
     "read_databases",
     "read_query",

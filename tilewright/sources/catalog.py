@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
+from tilewright.functions.columns import quoted
 from tilewright.session import local_frame, union_all
 
 COLUMNS = "object_id int, column_id int, name string, user_type_id int, max_length int"
@@ -175,7 +176,7 @@ def session_databases(spark: SparkSession) -> DataFrame:
 def _checked_index(
     df: DataFrame, object_id: int, index_id: int, key: Sequence[str]
 ) -> DataFrame:
-    complete = reduce(lambda a, b: a & b, [F.col(_quoted(k)).isNotNull() for k in key])
+    complete = reduce(lambda a, b: a & b, [F.col(quoted(k)).isNotNull() for k in key])
     return df.agg(F.min(complete).alias("complete")).select(
         F.lit(object_id).alias("object_id"),
         F.lit(index_id).alias("index_id"),
@@ -234,7 +235,3 @@ def _length(dtype: T.DataType, declared: int | None) -> int:
 def _declared_length(data_type: str) -> int:
     kind, _, rest = data_type.partition("(")
     return int(rest.rstrip(")")) if kind in ("varchar", "char") and rest else UNBOUNDED
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

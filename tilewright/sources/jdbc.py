@@ -6,21 +6,27 @@ connection before an action runs, and credentials are only handed to Spark.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tilewright.operators.names import user_databases, user_pg_databases, user_schemas
 from tilewright.sources.catalog import Catalog
 
-# JDBC driver classes, URL forms, default databases and database lists.
+# JDBC driver classes, URL forms, default databases, database lists and SQL forms.
 SQL_SERVER = {
     "driver": "com.microsoft.sqlserver.jdbc.SQLServerDriver",
     "url": "jdbc:sqlserver://{host}:{port};databaseName={database};encrypt=true",
     "port": 1433,
     "database": "master",
     "databases": "SELECT name, state_desc FROM sys.databases",
+    "quotes": "[]",
+    "text": "N'{}'",
+    "text_order": "Latin1_General_100_BIN2",
+    "time": "CAST('{}' AS datetime2(6))",
+    "binary": "0x{}",
+    "booleans": ("0", "1"),
 }
 POSTGRES = {
     "driver": "org.postgresql.Driver",
@@ -28,6 +34,12 @@ POSTGRES = {
     "port": 5432,
     "database": "postgres",
     "databases": "SELECT datname, datistemplate, datallowconn FROM pg_database",
+    "quotes": '""',
+    "text": "'{}'",
+    "text_order": '"C"',
+    "time": "CAST('{}' AS timestamp)",
+    "binary": "decode('{}', 'hex')",
+    "booleans": ("false", "true"),
 }
 SCHEMA_LIST = "SELECT schema_name FROM information_schema.schemata"
 
@@ -89,30 +101,74 @@ def read_table(
     server: JdbcServer,
     table: str,
     key: str | None = None,
-    boundaries: list | None = None,
+    boundaries: DataFrame | None = None,
     fetch_size: int = 10_000,
 ) -> DataFrame:
     """A table as a DataFrame, read in one slice per key range when boundaries are given.
 
-    The boundaries are literals of the server's SQL (quote text and dates);
-    slices are half open, and the first one also takes null keys.
+    ``boundaries`` is what ``range_boundaries`` returns for the key.
     """
     reader_options = {**server.options(), "fetchsize": str(fetch_size)}
-    if not key or not boundaries:
+    predicates = range_predicates(server.kind, key, boundaries) if key and boundaries is not None else []
+    if len(predicates) < 2:
         return spark.read.format("jdbc").options(**reader_options).option("dbtable", table).load()
     url = reader_options.pop("url")
-    return spark.read.jdbc(
-        url, table, predicates=slice_predicates(key, boundaries), properties=reader_options
-    )
-
-
-def slice_predicates(key: str, boundaries: list) -> list[str]:
-    first = [f"{key} < {boundaries[0]} OR {key} IS NULL"]
-    middle = [f"{key} >= {lo} AND {key} < {hi}" for lo, hi in zip(boundaries, boundaries[1:])]
-    return first + middle + [f"{key} >= {boundaries[-1]}"]
+    return spark.read.jdbc(url, table, predicates=predicates, properties=reader_options)
 
 
 def read_tables(
-    spark: SparkSession, server: JdbcServer, names: Iterable[str]
+    spark: SparkSession,
+    server: JdbcServer,
+    names: Iterable[str],
+    ranges: Mapping[str, tuple[str, DataFrame]] | None = None,
 ) -> dict[str, DataFrame]:
-    return {name: read_table(spark, server, name) for name in names}
+    """Tables by name; those in ``ranges`` (key and boundaries) are read in slices."""
+    ranges = ranges or {}
+    return {name: read_table(spark, server, name, *ranges.get(name, ())) for name in names}
+
+
+def range_predicates(kind: dict, key: str, boundaries: DataFrame) -> list[str]:
+    """One server predicate per key range; together they hold every row once.
+
+    Ranges are half open, the first one also takes null keys, and equal boundaries (of a
+    hot key) give no empty range. Text is compared in the order of its code points, as
+    Spark does, whatever the column's collation. Times are those of the session's zone,
+    in which Spark reads columns without one.
+    """
+    dtype = boundaries.schema["min_val"].dataType
+    starts = boundaries.where("loc > 1 AND min_val IS NOT NULL").orderBy("loc")
+    literal = _literal_maker(kind, dtype)
+    rows = starts.select(_as_text(F.col("min_val"), dtype).alias("k")).collect()
+    values = list(dict.fromkeys(literal(r.k) for r in rows))
+    name = _quoted_name(kind, key)
+    column = f"{name} COLLATE {kind['text_order']}" if isinstance(dtype, T.StringType) else name
+    if not values:
+        return ["1 = 1"]
+    first = [f"({column} < {values[0]} OR {name} IS NULL)"]
+    middle = [f"({column} >= {lo} AND {column} < {hi})" for lo, hi in zip(values, values[1:])]
+    return first + middle + [f"({column} >= {values[-1]})"]
+
+
+def _quoted_name(kind: dict, name: str) -> str:
+    before, after = kind["quotes"]
+    return before + name.replace(after, after * 2) + after
+
+
+def _as_text(key: Column, dtype: T.DataType) -> Column:
+    return F.hex(key) if isinstance(dtype, T.BinaryType) else key.cast("string")
+
+
+def _literal_maker(kind: dict, dtype: T.DataType):
+    if isinstance(dtype, T.NumericType):
+        return str
+    if isinstance(dtype, T.BooleanType):
+        return lambda text: kind["booleans"][text == "true"]
+    if isinstance(dtype, T.DateType):
+        return "CAST('{}' AS date)".format
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return kind["time"].format
+    if isinstance(dtype, T.BinaryType):
+        return kind["binary"].format
+    if isinstance(dtype, T.StringType):
+        return lambda text: kind["text"].format(text.replace("'", "''"))
+    raise TypeError(f"no key ranges for keys of type {dtype.simpleString()}")

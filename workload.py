@@ -258,6 +258,12 @@ def boundaries(name: str, key: str, tiles: int, **limits: int) -> Callable:
     return run
 
 
+def q_range_boundaries_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the keys are null."""
+    key = F.when(F.col("l_returnflag") != "N", F.col("l_orderkey")).alias("returned_order")
+    return range_boundaries(table(spark, sf_dir, "lineitem").select(key), "returned_order", 9)
+
+
 def q_user_databases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One database per customer; some nations hold the server's own."""
     nation = F.col("c_nationkey")
@@ -421,15 +427,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_boundaries_ties": boundaries("lineitem", "l_quantity", 7),
     "range_boundaries_text": boundaries("customer", "c_name", 10),
     "range_boundaries_time": boundaries("orders", "o_orderdate", 10),
-    "range_boundaries_narrowed": boundaries(
-        "lineitem", "l_orderkey", 10, exact_rows=1000, sample_keys=2000
-    ),
-    "range_boundaries_narrowed_time": boundaries(
-        "events", "ts", 10, exact_rows=500, sample_keys=1000
-    ),
-    "range_boundaries_narrowed_text": boundaries(
-        "events", "event_type", 6, exact_rows=500, sample_keys=1000
-    ),
+    "range_boundaries_narrowed": boundaries("lineitem", "l_orderkey", 10, cuts=200),
+    "range_boundaries_narrowed_time": boundaries("events", "ts", 10, cuts=100),
+    "range_boundaries_narrowed_text": boundaries("events", "event_type", 6, cuts=100),
+    "range_boundaries_nulls": q_range_boundaries_nulls,
     "assign_slices": q_assign_slices,
     "slice_balance": q_slice_balance,
     "user_databases": q_user_databases,
