@@ -4,6 +4,7 @@ import collections
 import hashlib
 import html as entities
 import re
+import textwrap
 import zlib
 
 import corpus_pipeline
@@ -338,6 +339,20 @@ def test_licenses(spark):
     assert got == [(1, 1, "MIT"), (2, 2, "CC-BY-NC-4.0,MIT"), (3, 0, ""), (4, 0, ""), (4, 0, "")]
 
 
+@pytest.mark.parametrize("prefix", ["", "# ", " * ", "// ", "REM "])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_wrapped_licenses(prefix, end):
+    """A text keeps its identifiers behind comment signs and at any line width."""
+    for name, sentences in licenses.RULES:
+        known = [licenses.sentence_ids()[licenses.normalise(s)] for s in sentences]
+        for width in (40, 72):
+            lines = ["Copyright 2020 somebody", *textwrap.wrap(" ".join(sentences), width), "", "More."]
+            text = end.join((prefix + line).rstrip() for line in lines)
+            assert licenses.identified(text) == "-" + "".join(f"<{i}>" for i in known) + "-", (name, text)
+    parted = licenses.RULES[0][1][0].replace("charge, to", f"charge,{end}{prefix}{end}to")
+    assert licenses.identified(parted) == "-"
+
+
 def test_neighbours(spark):
     table = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = sorted((r.vec_id, r.embedding) for r in table.collect())

@@ -1,15 +1,20 @@
 """License scans by sentence rules.
 
 Texts are cut into sentences and normalised. A sentence that belongs to a known
-license becomes an identifier; all others vanish. What is left of a text is a short
+license, on one line or wrapped over several, becomes an identifier; all others vanish. What is left of a text is a short
 sequence of identifiers with gaps, in which ordered rules are recognised, longest
 first: a full license text before the notice that is part of it.
 """
 
 from __future__ import annotations
 
+import re
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import map_columns
+
 # Licenses in the order of their rules. A rule is the sentences that must
 # follow each other, as published; further ones may stand in between only where "..." does.
 RULES: list[tuple[str, list[str]]] = [
@@ -56,10 +61,13 @@ RULES: list[tuple[str, list[str]]] = [
 ]
 
 # Every sentence of the rules holds one of these; other texts need no closer look.
-HINT = r"(?i)licen[sc]e|copyright|permission|redistribut|public\s+domain|anyone\s+is\s+free"
-# A sentence ends at a line's end, or at its stop before a blank.
-SENTENCE_END = r"[.!?:]+[\x20\x09-\x0D]+|[\n\r]+"
-SYMBOLS = r"[^a-z0-9]+"
+HINT = r"(?i)licen[sc]e|copyright|permission|redistribut|public\W+domain|anyone\W+is\W+free"
+# A sentence can end at a line's end, or at its stop before a blank. A known one may also
+# go on there: only an empty line, one of symbols alone included, parts it for sure.
+SENTENCE_END = re.compile(r"([.!?:]+[\x20\x09-\x0D]+|[\n\r]+)")
+EMPTY_LINE = re.compile(r"(?:\r\n|[\n\r])[\x20\x09-\x0D]*?(?:\r\n|(?<!\r)\n|\r(?!\n))")
+# Signs of a comment vanish with all symbols; these two are words.
+COMMENT = re.compile(r"[^\w]*(?:rem|REM|dnl)(?=\s)")
 
 
 def normalise(sentence: str) -> str:
@@ -85,19 +93,56 @@ def rule_sequences() -> list[tuple[str, str]]:
     return [(name, "".join(f"<{i}>" for i in ids)) for name, ids in rules]
 
 
-def identified(text: Column) -> Column:
+@cache
+def sentence_tree() -> dict:
+    """The known sentences word by word; None leads from a last word to the identifier."""
+    tree: dict = {}
+    for sentence, number in sentence_ids().items():
+        node = tree
+        for word in sentence.split():
+            node = node.setdefault(word, {})
+        node[None] = number
+    return tree
+
+
+def paragraphs(text: str) -> list[list[list[str]]]:
+    """Words of the parts between possible sentence ends, by paragraph."""
+    found: list[list[list[str]]] = [[]]
+    pieces = SENTENCE_END.split(text)
+    for at in range(0, len(pieces), 2):
+        piece = pieces[at]
+        if at and pieces[at - 1][-1] in "\n\r":
+            piece = COMMENT.sub("", piece, count=1) if COMMENT.match(piece) else piece
+        if words := normalise(piece).split():
+            found[-1].append(words)
+        if found[-1] and (not words or at + 1 < len(pieces) and EMPTY_LINE.search(pieces[at + 1])):
+            found.append([])
+    return found
+
+
+def known_run(parts: list[list[str]], start: int) -> tuple[int, int] | None:
+    """The longest known sentence made of whole parts from ``start`` on: identifier and end."""
+    node, best = sentence_tree(), None
+    for at in range(start, len(parts)):
+        for word in parts[at]:
+            node = node.get(word)
+            if node is None:
+                return best
+        if None in node:
+            best = node[None], at + 1
+    return best
+
+
+def identified(text: str) -> str:
     """A text's recognised sentences as a string of identifiers; a dash is a gap of others."""
-    known = sentence_ids()
-    sentences = F.transform(
-        F.split(text, SENTENCE_END), lambda s: F.trim(F.regexp_replace(F.lower(s), SYMBOLS, " "))
-    )
-    sentences = F.filter(sentences, lambda s: s != "")
-    names = F.create_map(*(F.lit(x) for s, i in known.items() for x in (s, f"<{i}>")))
-    # The map is looked into for known sentences only: a set test goes first.
-    marks = F.transform(
-        sentences, lambda s: F.when(s.isin(list(known)), F.element_at(names, s)).otherwise("-")
-    )
-    return F.regexp_replace(F.array_join(marks, ""), "-+", "-")
+    marks = []
+    for parts in paragraphs(text):
+        at = 0
+        while at < len(parts):
+            run = known_run(parts, at)
+            marks.append(f"<{run[0]}>" if run else "-")
+            at = run[1] if run else at + 1
+    return re.sub("-+", "-", "".join(marks))
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,7 +152,9 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     repeats counted), ``licenses`` (names in order of code point, comma-joined, each once,
     empty if none) and ``license_ids`` (identifiers in order with gaps as dashes).
 
-    Case, punctuation and spacing do not matter. Line ends end sentences. A null or empty
+    Case, punctuation, spacing and the signs of comments do not matter. A sentence may be
+    wrapped over lines, but not over an empty one, and begins and ends at the border of a
+    line or of a sentence. A null or empty
     text states nothing. Null ids stay null, repeated rows give one row each, an empty
     table an empty result. Rules are applied in order; a sentence used by one rule is not
     used by a later one. Only the id and the text are read.
@@ -116,7 +163,15 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.when(F.rlike(F.col(f"`{text_col}`"), F.lit(HINT)), F.col(f"`{text_col}`")).alias("_text"),
     )
-    rows = rows.select("doc_id", F.coalesce(identified(F.col("_text")), F.lit("")).alias("_ids"))
+
+    def make():
+        def identify(ids, texts):
+            for key, text in zip(ids, texts):
+                yield key, identified(text or "")
+
+        return identify
+
+    rows = map_columns(rows, "doc_id long, _ids string", make)
     # One step per rule: what a rule meets is counted and taken away. Texts without
     # any identifier, nearly all, pass by a single test.
     stated = F.struct(F.col("_ids").alias("left"), F.array().cast("array<string>").alias("names"), F.lit(0).alias("n"))
