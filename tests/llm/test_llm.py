@@ -348,9 +348,65 @@ def test_wrapped_licenses(prefix, end):
         for width in (40, 72):
             lines = ["Copyright 2020 somebody", *textwrap.wrap(" ".join(sentences), width), "", "More."]
             text = end.join((prefix + line).rstrip() for line in lines)
-            assert licenses.identified(text) == "-" + "".join(f"<{i}>" for i in known) + "-", (name, text)
+            assert licenses.identified(text)[0] == "-" + "".join(f"<{i}>" for i in known) + "-", (name, text)
     parted = licenses.RULES[0][1][0].replace("charge, to", f"charge,{end}{prefix}{end}to")
-    assert licenses.identified(parted) == "-"
+    assert licenses.identified(parted)[0] == "-"
+
+
+BSD = """Copyright (c) 2020, Somebody
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+{}Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+{}Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+{}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+THIRD = """Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_published_licenses(spark):
+    """Each rule finds its own text, and texts are found as they are published."""
+    texts = [
+        (name, " ".join("Other words." if s == "..." else s.replace("{}", "the holder") for s in sentences))
+        for name, sentences in licenses.RULES + licenses.PUBLISHED
+    ]
+    for a, b, c in (("1. ", "2. ", "3. "), ("1) ", "2) ", "3) "), ("(a) ", "(b) ", "(c) "), ("* ", "* ", "* ")):
+        texts.append(("BSD-2-Clause", BSD.format(a, b, "")))
+        for holder in ("the copyright holder", "Example Inc."):
+            texts.append(("BSD-3-Clause", BSD.format(a, b, c + THIRD.format(holder))))
+    texts += [("GPL-3.0", GPL), ("MPL-2.0", MPL)]
+    texts += [(name, "".join(f" * {line}\n" for line in text.split("\n"))) for name, text in texts]
+    frame = local_frame(spark, [(i, text) for i, (_, text) in enumerate(texts)], "doc_id long, text string")
+    for r in licenses.scan_licenses(frame).collect():
+        assert (r.licenses, r.n_statements) == (texts[r.doc_id][0], 1), texts[r.doc_id]
 
 
 def test_neighbours(spark):

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import map_columns
 
 # Licenses in the order of their rules. A rule is the sentences that must
-# follow each other, as published; further ones may stand in between only where "..." does.
+# follow each other; the SQL of this scan has the same ones.
 RULES: list[tuple[str, list[str]]] = [
     ("MIT", [
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
@@ -60,6 +60,18 @@ RULES: list[tuple[str, list[str]]] = [
     ("CC0-1.0", ["This work is dedicated to the public domain under CC0 1.0."]),
 ]
 
+# Rules beside those, as the published texts have them. "..." is a gap of other sentences,
+# {} stands for up to 12 words, such as a holder's name.
+_BSD = RULES[1][1]
+_GPL = RULES[3][1]
+PUBLISHED: list[tuple[str, list[str]]] = [
+    ("BSD-3-Clause", [*_BSD, "Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."]),
+    ("BSD-3-Clause", [*_BSD, "The name of {} may not be used to endorse or promote products derived from this software without specific prior written permission."]),
+    ("BSD-3-Clause", [*_BSD, "Neither the name of {} nor the names of contributors may be used to endorse or promote products derived from this software without specific prior written permission."]),
+    ("GPL-3.0", [_GPL[0], "...", _GPL[1]]),
+    ("MPL-2.0", ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."]),
+]
+
 # Every sentence of the rules holds one of these; other texts need no closer look.
 HINT = r"(?i)licen[sc]e|copyright|permission|redistribut|public\W+domain|anyone\W+is\W+free"
 # A sentence can end at a line's end, or at its stop before a blank. A known one may also
@@ -67,6 +79,10 @@ HINT = r"(?i)licen[sc]e|copyright|permission|redistribut|public\W+domain|anyone\
 SENTENCE_END = re.compile(r"([.!?:]+[\x20\x09-\x0D]+|[\n\r]+)")
 EMPTY_LINE = re.compile(r"(?:\r\n|[\n\r])[\x20\x09-\x0D]*?(?:\r\n|(?<!\r)\n|\r(?!\n))")
 # Signs of a comment vanish with all symbols; these two are words.
+# The number of a list's entry, alone or before its text.
+NUMBER = re.compile(r"[0-9]{1,2}|[a-z]|[ivx]{2,4}")
+NUMBERED = re.compile(r"[^\w]*(?:[0-9]{1,2}|[A-Za-z]|[ivx]{2,4})\)\s")
+WILD = 12  # words at most
 COMMENT = re.compile(r"[^\w]*(?:rem|REM|dnl)(?=\s)")
 
 
@@ -93,11 +109,33 @@ def rule_sequences() -> list[tuple[str, str]]:
     return [(name, "".join(f"<{i}>" for i in ids)) for name, ids in rules]
 
 
+@cache
+def all_ids() -> dict[str, int]:
+    """The sentences of all rules with their identifiers; those of ``RULES`` come first."""
+    known = sentence_ids()
+    for _, sentences in PUBLISHED:
+        for sentence in sentences:
+            if sentence != "...":
+                known.setdefault(" {} ".join(map(normalise, sentence.split("{}"))), len(known) + 1)
+    return known
+
+
+def all_sequences() -> list[tuple[str, str]]:
+    """All rules as license and pattern of identifiers, longest first, else as listed."""
+    known, rules = all_ids(), []
+    for name, sentences in RULES + PUBLISHED:
+        keys = [s if s == "..." else " {} ".join(map(normalise, s.split("{}"))) for s in sentences]
+        pattern = "".join("-*" if key == "..." else f"<{known[key]}>" for key in keys)
+        rules.append((name, pattern, pattern.count("<")))
+    rules.sort(key=lambda rule: -rule[2])
+    return [(name, pattern) for name, pattern, _ in rules]
+
+
 @cache
 def sentence_tree() -> dict:
     """The known sentences word by word; None leads from a last word to the identifier."""
     tree: dict = {}
-    for sentence, number in sentence_ids().items():
+    for sentence, number in all_ids().items():
         node = tree
         for word in sentence.split():
             node = node.setdefault(word, {})
@@ -113,8 +151,11 @@ def paragraphs(text: str) -> list[list[list[str]]]:
         piece = pieces[at]
         if at and pieces[at - 1][-1] in "\n\r":
             piece = COMMENT.sub("", piece, count=1) if COMMENT.match(piece) else piece
-        if words := normalise(piece).split():
-            found[-1].append(words)
+        words = normalise(piece).split()
+        if NUMBERED.match(piece):
+            found[-1].append(words[:1])
+        if rest := words[1:] if NUMBERED.match(piece) else words:
+            found[-1].append(rest)
         if found[-1] and (not words or at + 1 < len(pieces) and EMPTY_LINE.search(pieces[at + 1])):
             found.append([])
     return found
@@ -122,27 +163,49 @@ def paragraphs(text: str) -> list[list[list[str]]]:
 
 def known_run(parts: list[list[str]], start: int) -> tuple[int, int] | None:
     """The longest known sentence made of whole parts from ``start`` on: identifier and end."""
-    node, best = sentence_tree(), None
-    for at in range(start, len(parts)):
-        for word in parts[at]:
-            node = node.get(word)
-            if node is None:
-                return best
-        if None in node:
-            best = node[None], at + 1
+    tree, best = sentence_tree(), None
+    open_ = [(tree, start, 0)]
+    seen = set()
+    while open_:
+        node, at, word = open_.pop()
+        if at < len(parts) and word == len(parts[at]):
+            at, word = at + 1, 0
+        if (id(node), at, word) in seen:
+            continue
+        seen.add((id(node), at, word))
+        if None in node and word == 0 and (best is None or at > best[1]):
+            best = node[None], at
+        if at == len(parts):
+            continue
+        if parts[at][word] in node:
+            open_.append((node[parts[at][word]], at, word + 1))
+        if "{}" in node:
+            for _ in range(WILD):
+                at, word = (at, word + 1) if word + 1 < len(parts[at]) else (at + 1, 0)
+                open_.append((node["{}"], at, word))
+                if at == len(parts):
+                    break
     return best
 
 
-def identified(text: str) -> str:
-    """A text's recognised sentences as a string of identifiers; a dash is a gap of others."""
+def identified(text: str) -> tuple[str, str]:
+    """A text's recognised sentences as a string of identifiers; a dash is a gap of others.
+
+    The second string is what rules are matched in: numbers of list entries make no gap.
+    """
     marks = []
     for parts in paragraphs(text):
         at = 0
         while at < len(parts):
-            run = known_run(parts, at)
-            marks.append(f"<{run[0]}>" if run else "-")
-            at = run[1] if run else at + 1
-    return re.sub("-+", "-", "".join(marks))
+            if run := known_run(parts, at):
+                marks.append(f"<{run[0]}>")
+                at = run[1]
+            else:
+                number = len(parts[at]) == 1 and NUMBER.fullmatch(parts[at][0])
+                marks.append("#" if number else "-")
+                at += 1
+    found = "".join(marks)
+    return re.sub("[-#]+", "-", found), re.sub("-+", "-", found.replace("#", ""))
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -167,22 +230,21 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def make():
         def identify(ids, texts):
             for key, text in zip(ids, texts):
-                yield key, identified(text or "")
+                yield key, *identified(text or "")
 
         return identify
 
-    rows = map_columns(rows, "doc_id long, _ids string", make)
+    rows = map_columns(rows, "doc_id long, _ids string, _match string", make)
     # One step per rule: what a rule meets is counted and taken away. Texts without
     # any identifier, nearly all, pass by a single test.
-    stated = F.struct(F.col("_ids").alias("left"), F.array().cast("array<string>").alias("names"), F.lit(0).alias("n"))
-    rules = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(s).alias("ids")) for n, s in rule_sequences()))
+    stated = F.struct(F.col("_match").alias("left"), F.array().cast("array<string>").alias("names"), F.lit(0).alias("n"))
+    rules = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(s).alias("ids")) for n, s in all_sequences()))
 
     def apply(so_far: Column, rule: Column) -> Column:
-        left = F.replace(so_far["left"], rule["ids"], F.lit("-"))
-        lost = F.length(so_far["left"]) - F.length(left)
-        met = lost / (F.length(rule["ids"]) - 1)
-        names = F.when(lost > 0, F.concat(so_far["names"], F.array(rule["name"]))).otherwise(so_far["names"])
-        return F.struct(left.alias("left"), names.alias("names"), (so_far["n"] + met.cast("int")).alias("n"))
+        left = F.regexp_replace(so_far["left"], rule["ids"], F.lit("-"))
+        met = F.regexp_count(so_far["left"], rule["ids"])
+        names = F.when(met > 0, F.concat(so_far["names"], F.array(rule["name"]))).otherwise(so_far["names"])
+        return F.struct(left.alias("left"), names.alias("names"), (so_far["n"] + met).alias("n"))
 
     rows = rows.withColumn("_met", F.when(F.col("_ids").contains("<"), F.aggregate(rules, stated, apply)))
     names = F.array_join(F.sort_array(F.array_distinct("_met.names")), ",")
