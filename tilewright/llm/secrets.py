@@ -4,12 +4,14 @@ Fixed patterns find the base spans. A bounded sample of what they found, labelle
 kind, trains one automaton per kind: a prefix tree whose statistically compatible
 states are merged. Ordinary long tokens train one more. Every other token that could
 be a credential is scored by how much likelier its format is under a credential
-automaton than under the ordinary one, and added where that passes a threshold.
+automaton than under the ordinary one, and added where that passes a threshold, which
+kept-back credentials and the bulk of ordinary tokens set.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
 from collections import defaultdict
@@ -31,6 +33,8 @@ LEAST_ASSIGNED, LEAST_ACCESS = 12, 18
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 CONFIDENCE = 0.05  # of the test that keeps two states apart
+FEW = 8  # credentials of a kind, of which none is kept back
+ROUNDS = 8  # of taking credentials out of the ordinary sample
 UNSEEN = math.log(1e-4)  # a symbol that a state never emitted
 
 Span = tuple[str, int, int, str]
@@ -173,22 +177,76 @@ class Automaton:
         return (total + self.stop[state]) / (len(word) + 1)
 
 
+def digest(value: str) -> int:
+    """A number of 63 bits that orders values evenly."""
+    return int.from_bytes(hashlib.blake2b(value.encode(), digest_size=8).digest()) >> 1
+
+
+def beyond(values: list[float], sign: int) -> float:
+    """A bound that the bulk of some values stays under (1) or above (-1).
+
+    It rests on the median and the quartile of the far side only, so that strangers on
+    the near side, if less than half of all, hardly move it. It is never beyond all
+    but a fiftieth of the values.
+    """
+    ordered = sorted(sign * v for v in values)
+    middle = ordered[len(ordered) // 2]
+    far = middle + 6 * (middle - ordered[len(ordered) // 4])
+    return sign * min(far, ordered[-1 - len(ordered) // 50])
+
+
 class FormatModel:
-    """Credential automata against the ordinary one, with the threshold between them."""
+    """Credential automata against the ordinary one, with the thresholds between them.
+
+    A quarter of each kind's credentials is kept back from training. A token passes for a
+    kind if its score is one that kept-back credentials reach, and its margin over the
+    ordinary automaton lies between theirs and those of the bulk of ordinary tokens, each
+    judged by an automaton that did not see it. Ordinary samples are unlabelled, so those
+    that pass are taken out and the rest trains anew. Without ordinary tokens none passes.
+    """
 
     def __init__(self, credentials: dict[str, list[str]], ordinary: list[str]):
-        self.credential = [Automaton(sorted(words)) for _, words in sorted(credentials.items()) if words]
-        self.ordinary = Automaton(sorted(ordinary)) if ordinary else None
-        self.threshold = 0.0
-        if self.credential and ordinary:
-            self.threshold = max(0.0, *(self.margin(w) for w in ordinary))
+        self.kinds: list[tuple[Automaton, float, float]] = []  # with least score and margin
+        self.ordinary = None
+        if not ordinary:
+            return
+        kinds = []
+        for _, words in sorted(credentials.items()):
+            words = sorted(set(words), key=digest)
+            if words:
+                few = len(words) < FEW
+                trained = Automaton(sorted(words if few else [w for i, w in enumerate(words) if i % 4]))
+                held = words if few else words[::4]
+                kinds.append((trained, held, beyond([trained.score(w) for w in held], -1)))
+        words = sorted(set(ordinary), key=digest)
+        strange: set[str] = set()
+        for _ in range(ROUNDS):
+            plain = [w for w in words if w not in strange]
+            halves = [plain[::2], plain[1::2] or plain]
+            automata = [Automaton(sorted(half)) for half in halves]
+            unseen = {w: automata[1 - i].score(w) for i, half in enumerate(halves) for w in half}
+            self.kinds = []
+            for trained, held, least in kinds:
+                bulk = beyond([trained.score(w) - score for w, score in unseen.items()], 1)
+                margins = sorted(trained.score(w) - max(a.score(w) for a in automata) for w in held)
+                reached = margins[len(margins) // 10]
+                self.kinds.append((trained, least, max(0.0, bulk, (bulk + reached) / 2 if reached > bulk else bulk)))
+            scores = {w: unseen.get(w, automata[0].score(w)) for w in words}
+            found = {w for w in words if self.passes(w, scores[w])}
+            if found <= strange or len(found | strange) == len(words):
+                break
+            strange |= found
+        self.ordinary = Automaton(sorted(w for w in words if w not in strange))
 
-    def margin(self, word: str) -> float:
-        plain = self.ordinary.score(word) if self.ordinary else UNSEEN
-        return max(a.score(word) for a in self.credential) - plain
+    def passes(self, word: str, plain: float) -> bool:
+        for trained, least, margin in self.kinds:
+            score = trained.score(word)
+            if score >= least and score - plain > margin:
+                return True
+        return False
 
     def is_credential(self, word: str) -> bool:
-        return bool(self.credential) and self.margin(word) > self.threshold
+        return self.ordinary is not None and self.passes(word, self.ordinary.score(word))
 
 
 # Spark
@@ -197,29 +255,39 @@ class FormatModel:
 def learn_formats(df: DataFrame, id_col: str, text_col: str, sample: int = 400) -> FormatModel:
     """Train on at most ``sample`` distinct credentials of each kind and as many ordinary tokens.
 
-    The sample is the values with the least hashes, taken over all documents.
+    The sample is the values with the least digests, taken over all documents.
     """
 
     def make():
+        least = {kind: ([], set()) for kind in (*KINDS[:3], "ordinary")}  # digests: a heap and a set
+
+        def chosen(kind, value):
+            """Whether a value may be in the sample, by what this task has seen."""
+            heap, held = least[kind]
+            number = digest(value)
+            if number in held or len(heap) >= sample and number > -heap[0]:
+                return None
+            heapq.heappush(heap, -number)
+            held.add(number)
+            if len(heap) > sample:
+                held.discard(-heapq.heappop(heap))
+            return kind, number, value
+
         def rows(_, texts):
-            values = set()
             for text in texts:
                 base = base_spans(text or "")
-                values.update((kind, value) for kind, _, _, value in base)
-                # A fixed share of all ordinary tokens, told by their own digest.
-                for _, _, value in candidates(text or "", base):
-                    if hashlib.blake2b(value.encode(), digest_size=1).digest()[0] < 16:
-                        values.add(("ordinary", value))
-            yield from values
+                found = [chosen(kind, value) for kind, _, _, value in base]
+                found += [chosen("ordinary", value) for _, _, value in candidates(text or "", base)]
+                yield from filter(None, found)
 
         return rows
 
     chosen = df.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`"))
-    values = map_columns(chosen, "kind string, value string", make).distinct()
-    order = W.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
+    values = map_columns(chosen, "kind string, digest long, value string", make).distinct()
+    order = W.partitionBy("kind").orderBy("digest", "value")
     picked = values.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample)
     words = defaultdict(list)
-    for kind, value, _ in picked.collect():
+    for kind, _, value, _ in picked.collect():
         words[kind].append(value)
     ordinary = words.pop("ordinary", [])
     return FormatModel(dict(words), ordinary)
