@@ -313,6 +313,22 @@ def test_page_by_hand(spark):
     assert texts[2] == texts[3] == "" and texts[None] == "a\nb" and found.count() == 5
 
 
+LINE = "This is a sentence of the article that goes on for quite some time, so that it is dense. "
+MENU = "<div><ul><li><a href=/a>Home</a><li><a href=/b>News</a><li><a href=/c>More</a></ul></div>"
+
+
+@pytest.mark.parametrize("inner", ["section", "div", "fieldset", "table", "blockquote", "details"])
+@pytest.mark.parametrize("first, middle, last", [(1, 3, 1), (1, 8, 1), (2, 2, 3), (1, 1, 6), (6, 4, 0)])
+def test_pages_of_plain_containers(inner, first, middle, last):
+    """Without <article> or <main>, text before and after the largest part of an article belongs to it."""
+    parts = [[f"{at}{i}. {LINE * 2}".strip() for i in range(n)] for at, n in zip("abc", (first, middle, last))]
+    before, held, after = ("".join(f"<p>{x}</p>" for x in part) for part in parts)
+    if inner == "table":
+        held = "".join(f"<tr><td>{x}</td></tr>" for x in parts[1])
+    page = f"<body>{MENU}<div id=content><h1>Title</h1>{before}<{inner}>{held}</{inner}>{after}<p>End.</p></div>{MENU}</body>"
+    assert html.main_text(page) == "\n".join(["Title", *sum(parts, []), "End."])
+
+
 def test_simhash(docs, texts):
     rows = simhash.near_duplicates(docs).collect()
     prints = {}

@@ -3,8 +3,9 @@
 The standard library's parser streams events. Text between two block borders is a
 line, with the number of tags met in it. The ratios of text to tags along the page,
 smoothed by a Gaussian, fall into two clusters; lines of the denser one that stand in
-no menu, footer or the like mark the content, and the smallest part of the page that
-holds most of them gives the article: all of its lines.
+no menu, footer or the like mark the content. The deepest part of the page that holds
+most of them lies in the article: the <article> or <main> around it, or else the
+smallest part that holds all of them. All lines of that are the text.
 """
 
 from __future__ import annotations
@@ -202,7 +203,7 @@ def main_text(html: str, most: float = 0.6) -> str:
     ratio = smooth(np.array([len(text) / tags for text, tags, _, _ in lines]))
     border = two_clusters(ratio)
     dense = [i for i in inside if ratio[i] > border] or inside
-    # Per container the dense lines in it; the deepest one with most of their text is the article.
+    # Per container the dense lines in it; the deepest one with most of their text is in the article.
     size: dict[int, int] = {}
     count: dict[int, int] = {}
     for i in dense:
@@ -216,8 +217,11 @@ def main_text(html: str, most: float = 0.6) -> str:
         return "\n".join(lines[i][0] for i in inside)
     path = next(lines[i][2] for i in dense if anchor in lines[i][2])
     around = [n for n in path[: path.index(anchor) + 1] if n in parser.articles]
-    anchor = around[-1] if around else anchor
-    return "\n".join(lines[i][0] for i in inside if anchor in lines[i][2])
+    if around:
+        anchor = around[-1]
+    else:
+        anchor = max((n for n in count if count[n] == len(dense)), default=None)
+    return "\n".join(lines[i][0] for i in inside if anchor is None or anchor in lines[i][2])
 
 
 def extract_text(
