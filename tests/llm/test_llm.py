@@ -329,6 +329,30 @@ def test_pages_of_plain_containers(inner, first, middle, last):
     assert html.main_text(page) == "\n".join(["Title", *sum(parts, []), "End."])
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class=content-sidebar-wrap>{}</div><div class=sidebar><p>Other</p></div>",
+        "<div class='page no-sidebar'><div id=content>{}</div><div class=widget><p>Other</p></div></div>",
+        "<form id=aspnetForm><div><ul><li><a href=/>Home</a></ul></div><div id=content>{}</div></form>",
+        "<form><nav>Menu</nav><main class=x>{}</main></form>",
+        "<div class=has-sidebar><article>{}</article></div><div class=comments><p>" + LINE * 20 + "</p></div>",
+        "<article>{}</article><div class=related-posts><p>" + LINE * 20 + "</p></div><form><p>Search</p></form>",
+    ],
+)
+@pytest.mark.parametrize("title", ["<h1>Title</h1>", "<div class=entry-header><h1>Title</h1></div>"])
+def test_names_are_hints(page, title):
+    """An element that holds the content is no aside for its name or for being a form."""
+    parts = [f"{i}. {LINE}".strip() for i in range(4)]
+    text = html.main_text(f"<html><body>{page.format(title + ''.join(f'<p>{x}</p>' for x in parts))}</body></html>")
+    assert text == "\n".join(["Title", *parts])
+
+
+def test_header_of_an_article():
+    text = html.main_text(f"<header><h1>Site</h1></header><article><header><h1>T</h1><p>By me</p></header><p>{LINE}</article>")
+    assert text == f"T\nBy me\n{LINE.strip()}"
+
+
 def test_simhash(docs, texts):
     rows = simhash.near_duplicates(docs).collect()
     prints = {}

@@ -3,7 +3,8 @@
 The standard library's parser streams events. Text between two block borders is a
 line, with the number of tags met in it. The ratios of text to tags along the page,
 smoothed by a Gaussian, fall into two clusters; lines of the denser one that stand in
-no menu, footer or the like mark the content. The deepest part of the page that holds
+no menu, footer or the like mark the content. Names, forms and headers are hints only: an
+element that holds the content by its dense text or its marks is none. The deepest part of the page that holds
 most of them lies in the article: the <article> or <main> around it, or else the
 smallest part that holds all of them. All lines of that are the text.
 """
@@ -30,6 +31,7 @@ DROPPED = frozenset(
     "menu nav noscript object optgroup option script search select style svg template textarea title "
     "video".split()
 )
+HINTS = frozenset(["form", "header"])  # of those dropped, the ones that can hold an article or its title
 ARTICLES = frozenset(["article", "main"])
 CONTAINERS = frozenset("article body center details dir div fieldset main section table td".split())
 SAME = {
@@ -50,36 +52,41 @@ ASIDE_NAMES = frozenset(
 ASIDE_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split()
 )
+# Of these, names that wrap no article however much text they hold.
+NEVER_NAMES = frozenset(
+    "comment commentlist comments consent cookie cookies disqus gdpr replies reply respond".split()
+)
 WORD = re.compile(r"[a-z0-9]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
-def is_aside(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether an element is kept out of the article by its tag or its attributes."""
-    if tag in DROPPED:
-        return True
+def is_aside(tag: str, attrs: list[tuple[str, str | None]]) -> str:
+    """Whether an element is kept out of the article: "" for no, "sure", or "hint" where its content decides."""
+    if tag in DROPPED and tag not in HINTS:
+        return "sure"
     if tag in ("html", "body", "h1", "main"):
-        return False
+        return ""
     if tag == "article":  # readers' comments are often marked up as articles
         words = WORD.findall(f"{dict(attrs).get('class')} {dict(attrs).get('id')}".lower())
-        return "comment" in words or "comments" in words
+        return "sure" if "comment" in words or "comments" in words else ""
+    found = "hint" if tag in HINTS else ""
     for name, value in attrs:
         if name == "hidden":
-            return True
+            return "sure"
         lowered = (value or "").lower()
         if name in ("class", "id") and not ASIDE_NAMES.isdisjoint(WORD.findall(lowered)):
-            return True
+            found = "hint"
         if name == "role" and lowered.strip() in ASIDE_ROLES:
-            return True
+            return "sure"
         if name == "aria-hidden" and lowered.strip() == "true":
-            return True
+            return "sure"
         if name == "style" and HIDDEN.search(lowered):
-            return True
-    return False
+            return "sure"
+    return found
 
 
 class Lines(HTMLParser):
-    """Collects the lines of a page: text, tags met, containers around it, in an aside or not.
+    """Collects the lines of a page: text, tags met, containers around it, in a sure aside or not, hints around it.
 
     Text of inline elements that are no part of an article, such as scripts and buttons,
     is left out without ending the line.
@@ -90,17 +97,22 @@ class Lines(HTMLParser):
         self.open: list[tuple[str, int, bool, bool]] = []  # tag, number, aside, muted
         self.number = self.asides = self.muted = self.tags = 0
         self.parts: list[str] = []
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...], bool, tuple[int, ...]]] = []
         self.articles: set[int] = set()
+        self.hints: dict[int, tuple[str, bool, bool]] = {}  # tag, in an article, never one
+        self.marks: list[tuple[str, tuple[int, ...]]] = []  # h1, article and main with the hints around
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
             path = tuple(n for tag, n, _, _ in self.open if tag in CONTAINERS)
-            self.lines.append((text, max(1, self.tags), path, self.asides > 0))
+            self.lines.append((text, max(1, self.tags), path, self.asides > 0, self.hints_open()))
             self.tags = 0
         self.parts = []
 
+    def hints_open(self) -> tuple[int, ...]:
+        return tuple(n for _, n, _, _ in self.open if n in self.hints)
+
     def pop(self, at: int) -> None:
         """End the open element at a place of the stack and all inside it."""
         if any(tag in BLOCKS for tag, _, _, _ in self.open[at:]):
@@ -139,8 +151,15 @@ class Lines(HTMLParser):
             return
         muted = tag not in BLOCKS
         self.number += 1
-        self.open.append((tag, self.number, aside, muted))
-        self.asides += aside
+        if aside == "hint" and not muted and not self.asides:
+            names = f"{dict(attrs).get('class')} {dict(attrs).get('id')}".lower()
+            within = any(n in self.articles for _, n, _, _ in self.open)
+            self.hints[self.number] = tag, within, not NEVER_NAMES.isdisjoint(WORD.findall(names))
+        if tag in ("h1", "article", "main") and not aside and not self.asides:
+            self.marks.append((tag, self.hints_open()))
+        sure = aside == "sure" or muted
+        self.open.append((tag, self.number, sure, muted))
+        self.asides += sure
         self.muted += muted
         if tag in ARTICLES:
             self.articles.add(self.number)
@@ -191,17 +210,52 @@ def two_clusters(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def asides_by_hint(parser: Lines, dense: list[int], most: float) -> set[int]:
+    """The elements that only hints call asides, without those that hold the content.
+
+    An element is none if it holds a <main>, the page's only <article>s or <h1>s, an <h1>
+    within an article, or most of the dense text on a page that marks no article outside
+    of it; neither is an article's own <header>.
+    """
+    text: dict[int, int] = {}
+    whole = 0
+    for i in dense:
+        line, _, _, _, around = parser.lines[i]
+        if not any(parser.hints[n][2] for n in around):
+            whole += len(line)
+            for n in around:
+                text[n] = text.get(n, 0) + len(line)
+    outside = {tag for tag, around in parser.marks if not around}
+    marked = not outside.isdisjoint(ARTICLES)
+    asides = set()
+    for n, (tag, within, never) in parser.hints.items():
+        held = {mark for mark, around in parser.marks if n in around}
+        if not (
+            tag == "header" and within
+            or "main" in held
+            or "article" in held and not marked
+            or "h1" in held and tag != "header" and (within or "h1" not in outside and not marked)
+            or not never and not marked and whole and text.get(n, 0) >= most * whole
+        ):
+            asides.add(n)
+    return asides
+
+
 def main_text(html: str, most: float = 0.6) -> str:
     """The article of a page, one line per block; empty if there is none."""
     parser = Lines()
     parser.feed(html)
     parser.close()
     lines = parser.lines
-    inside = [i for i, line in enumerate(lines) if not line[3]]
-    if not inside:
+    if not lines:
         return ""
-    ratio = smooth(np.array([len(text) / tags for text, tags, _, _ in lines]))
+    ratio = smooth(np.array([len(line[0]) / line[1] for line in lines]))
     border = two_clusters(ratio)
+    sure = [i for i, line in enumerate(lines) if not line[3]]
+    asides = asides_by_hint(parser, [i for i in sure if ratio[i] > border] or sure, most)
+    inside = [i for i in sure if asides.isdisjoint(lines[i][4])]
+    if not inside:
+        return ""
     dense = [i for i in inside if ratio[i] > border] or inside
     # Per container the dense lines in it; the deepest one with most of their text is in the article.
     size: dict[int, int] = {}
