@@ -401,6 +401,15 @@ def test_keep_one(docs, odd):
     assert collections.Counter(r.doc_id for r in simhash.keep_one(odd).collect()) == {1: 1, 2: 1, None: 1, 5: 1, 6: 1}
 
 
+def test_keep_one_of_each_group(spark):
+    """An id with several texts loses none of them to another group that chose the same id."""
+    rng = np.random.default_rng(7)
+    x, y, z = (" ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(40)) for _ in range(3))
+    rows = [(1, x), (1, y), (3, y), (0, z), (1, z), (1, x), (4, x)]
+    kept = simhash.keep_one(local_frame(spark, rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept)) == sorted([(1, x), (1, y), (0, z)])
+
+
 def test_licenses(spark):
     mit = " ".join(licenses.RULES[0][1])
     rows = [

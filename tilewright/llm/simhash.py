@@ -245,8 +245,8 @@ def keep_one(
 ) -> DataFrame:
     """``df`` with one document of each group of near-duplicates: that with the least id.
 
-    Rows that repeat an id and its text count as one document. Of a group without any id
-    one row stays.
+    Rows that repeat an id and its text count as one document; an id may have several
+    texts, each of which is a document. Of a group without any id one row stays.
     """
     names = df.columns
     whole = df.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"))
@@ -255,10 +255,22 @@ def keep_one(
     # Narrow rows choose; the documents themselves meet only the ids that stay.
     chosen = marked.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = chosen.groupBy("group").agg(F.min("doc_id").alias("_id"), F.min("fingerprint").alias("_print"))
-    named = store(chosen.filter("_id is not null").select("_id").distinct(), "simhash-kept")
-    kept = whole.withColumn("_id", ids).join(named, "_id", "left_semi")
-    order = W.partitionBy("_id").orderBy(F.xxhash64(F.col(f"_row.`{text_col}`")))
-    kept = kept.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1").select("_row.*")
+    several = marked.groupBy("doc_id").agg((F.min("fingerprint") < F.max("fingerprint")).alias("_several"))
+    several = several.filter("_several").withColumnRenamed("doc_id", "_id")
+    named = store(chosen.filter("_id is not null").join(several, "_id", "left").drop("group"), "simhash-kept")
+
+    def first_copy(rows: DataFrame, *keys: str) -> DataFrame:
+        order = W.partitionBy(*keys).orderBy(F.xxhash64(F.col(f"_row.`{text_col}`")))
+        return rows.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1").select("_row.*")
+
+    identified = whole.withColumn("_id", ids)
+    kept = first_copy(identified.join(named.filter("_several is null"), "_id", "left_semi"), "_id")
+    # Ids with texts of different fingerprints: the fingerprint tells which text stays.
+    unclear = named.filter("_several")
+    if not unclear.isEmpty():
+        rows = fingerprints_of(identified.join(unclear, "_id", "left_semi"), shingle, text_col)
+        rows = rows.withColumn("_id", ids).join(unclear, ["_id", "_print"], "left_semi")
+        kept = kept.unionByName(first_copy(rows, "_id", "_print"))
     # Groups in which no row has an id: one row each, found by fingerprint.
     nameless = chosen.filter("_id is null").select("_print")
     rest = whole.filter(ids.isNull())
