@@ -241,6 +241,20 @@ def test_cascade_order_changes_no_verdict(docs):
     assert frame.select(*both).filter("a <> b").count() == 0
 
 
+def test_cascade_order_sees_all_rows(spark, monkeypatch):
+    """A first file of one kind does not fill the sample, and no text passes the driver."""
+    stored = []
+    monkeypatch.setattr(quality, "store", lambda df, name: stored.append((name, df)) or df)
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    head = spark.range(1000).selectExpr("id as doc_id", "'!! head' as text")
+    table = head.union(spark.range(1000, 4000).selectExpr("id", "'words of the rest'"))
+    for frame in (table, table.limit(0)):
+        assert sorted(quality.cascade_order(frame, quality.extra_rules())) == sorted(quality.extra_rules())
+    rows = dict(stored)["quality-rows"], next(df for name, df in stored if name == "quality-rows")
+    assert rows[0].count() == 0 and rows[1].count() == 500
+    assert 60 < rows[1].filter("text = '!! head'").count() < 200
+
+
 def test_mixing(docs, texts):
     rows = mixing.mix(docs, block=64).collect()
     assert [tuple(r) for r in sorted(rows)] == [tuple(r) for r in sorted(mixing.mix(docs, block=64).collect())]
