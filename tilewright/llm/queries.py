@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html, langid, licenses, mixing, neighbours, packing, quality, secrets, simhash, token_counts
+from . import (
+    html, langid, licenses, mixing, neighbours, packing, quality, ranking, secrets, simhash,
+    token_counts,
+)
 from .common import read_table
 
 SEQUENCE_TOKENS = 4096
@@ -55,11 +58,18 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.lexical_search(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_token_counts, op3_secret_scan, op4_best_fit_packing, op5_quality_rules,
         op6_mixing, op7_html_extraction, op8_simhash_dedup, op9_license_scan, op10_nearest_neighbours,
+        op11_lexical_search,
     )
 }
 
@@ -138,4 +148,42 @@ from {last}
 """
 
 
-ORACLE: dict[str, str] = {"op5_quality_rules": QUALITY_SQL, "op9_license_scan": license_sql()}
+LEXICAL_SQL = r"""
+with docs as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents
+), held as (
+  select rid, doc_id, terms, len(terms)::bigint as n from docs where len(terms) > 0
+), corpus as (
+  select count(*)::bigint as docs, sum(n)::bigint as length from held
+), postings as (
+  select rid, term, count(*)::bigint as tf from (select rid, unnest(terms) as term from held) group by all
+), weights as (
+  select term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)::double))::bigint as w
+  from postings, corpus group by term
+), asked as (
+  select row_number() over () as iid, item_id, list_distinct(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as terms
+  from (select distinct item_id, text from benchmark)
+), scored as (
+  select iid, item_id, rid, doc_id, 10 + 90 * n * docs // length as m,
+    sum(w * (1000000000 * tf // (1000 * tf + 8 * (10 + 90 * n * docs // length))))::bigint as score
+  from (select iid, item_id, unnest(terms) as term from asked)
+    join postings using (term) join weights using (term) join held using (rid), corpus
+  group by all
+), ranked as (
+  select *, row_number() over (partition by iid order by score desc, doc_id nulls last)::int as rank
+  from scored where score > 0
+)
+select item_id, rank, doc_id, score, m from ranked where rank <= 10
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op5_quality_rules": QUALITY_SQL,
+    "op9_license_scan": license_sql(),
+    "op11_lexical_search": LEXICAL_SQL,
+}
