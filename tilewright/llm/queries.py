@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     html, langid, licenses, mixing, neighbours, packing, quality, ranking, secrets, simhash,
-    token_counts,
+    token_counts, url_filters,
 )
 from .common import read_table
 
@@ -64,12 +64,17 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return url_filters.judge_urls(pages, url_filters.rule_frame(pages, url_filters.RULES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_token_counts, op3_secret_scan, op4_best_fit_packing, op5_quality_rules,
         op6_mixing, op7_html_extraction, op8_simhash_dedup, op9_license_scan, op10_nearest_neighbours,
-        op11_lexical_search,
+        op11_lexical_search, op13_url_filters,
     )
 }
 
@@ -182,8 +187,39 @@ select item_id, rank, doc_id, score, m from ranked where rank <= 10
 """
 
 
+URL_SQL = r"""
+with urls as (
+  select row_number() over () as rid, page_id,
+    case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
+), split as (
+  select rid, page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from urls
+), rules(verdict, host, path) as (
+  values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), fitting as (
+  select rid, arg_max(rules.host || rules.path, length(rules.host || rules.path)) as rule,
+    arg_max(verdict, length(rules.host || rules.path)) as ruled
+  from split join rules on (split.host = rules.host or ends_with(split.host, '.' || rules.host))
+    and starts_with(split.path, rules.path)
+  group by rid
+), sites as (
+  select *, regexp_extract(host, '^(.+)\.[^.]*$', 1) as site from split left join fitting using (rid)
+), votes as (
+  select site, site <> '' and sum(case ruled when 'block' then 1 when 'allow' then -1 else 0 end) > 0 as listed
+  from sites group by site
+)
+select page_id, host, path, rule,
+  coalesce(ruled, case when listed then 'block' else 'allow' end) as verdict, listed
+from sites join votes using (site)
+"""
+
+
 ORACLE: dict[str, str] = {
     "op5_quality_rules": QUALITY_SQL,
     "op9_license_scan": license_sql(),
     "op11_lexical_search": LEXICAL_SQL,
+    "op13_url_filters": URL_SQL,
 }
