@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    html, langid, licenses, mixing, neighbours, packing, quality, ranking, secrets, simhash,
+    conversations, html, langid, licenses, mixing, neighbours, packing, quality, ranking, secrets, simhash,
     token_counts, url_filters,
 )
 from .common import read_table
@@ -64,6 +64,11 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read_table(spark, sf_dir, "conversations")
+    return conversations.conversation_digests(conversations.damage(table), table)
+
+
 def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     return url_filters.judge_urls(pages, url_filters.rule_frame(pages, url_filters.RULES))
@@ -74,7 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_language_id, op2_token_counts, op3_secret_scan, op4_best_fit_packing, op5_quality_rules,
         op6_mixing, op7_html_extraction, op8_simhash_dedup, op9_license_scan, op10_nearest_neighbours,
-        op11_lexical_search, op13_url_filters,
+        op11_lexical_search, op12_conversation_repair, op13_url_filters,
     )
 }
 
