@@ -398,6 +398,13 @@ from lineitem where l_returnflag = 'R' group by l_orderkey""",
     "compare_lobs": """select doc_id, 'changed' as status, 1::bigint as source_rows, 1::bigint as target_rows,
   'text' as changed_columns
 from documents where lang = 'fr' and text <> upper(text)""",
+    "compare_buckets": """select l_orderkey, 'changed' as status, count(*) as source_rows,
+  count(*) as target_rows, 'l_quantity' as changed_columns
+from lineitem where l_quantity = 50 group by l_orderkey""",
+    "compare_buckets_lobs": """select doc_id, case when source = 'src1' then 'missing' else 'changed' end as status,
+  1::bigint as source_rows, (case when source = 'src1' then 0 else 1 end)::bigint as target_rows,
+  case when source = 'src1' then '' else 'text' end as changed_columns
+from documents where source = 'src1' or (lang = 'fr' and text <> upper(text))""",
     "lob_split": """select doc_id, case when text is null or strlen(text) <= 1024 then 'small' else 'large' end as side,
   strlen(text)::int as bytes from documents""",
     "sequence_positions": _union(

@@ -1,4 +1,4 @@
-from tilewright.operators.compare import compare_rows, compare_tables
+from tilewright.operators.compare import compare_buckets, compare_rows, compare_tables
 from tilewright.operators.keys import leading_key_column
 from tilewright.operators.lob import dedup_profile, lob_columns, lob_profile, lob_split
 from tilewright.operators.names import (
@@ -15,6 +15,7 @@ from tilewright.operators.tiles import assign_slices, range_boundaries, slice_ba
 __all__ = [
     "assign_slices",
     "column_stats",
+    "compare_buckets",
     "compare_rows",
     "compare_tables",
     "dedup_profile",

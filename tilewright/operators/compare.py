@@ -3,13 +3,23 @@
 Both sides are folded into one aggregate over whole rows, signed by side, so
 there is no join: equal rows cancel out before or in the single shuffle, and a
 key that holds a large share of the rows cannot pair up with itself.
+
+``compare_buckets`` gives the same result where most rows are equal, as after a load,
+without moving them: both sides are first folded into order-free digests of hash buckets of
+the key, and only buckets whose digests differ are looked into.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from tilewright.functions.columns import quoted
+from tilewright.session import materialize
+
+# Buckets of the key, and how many each of them is divided into where it differs.
+BUCKETS, SUB_BUCKETS = 1 << 14, 1 << 10
 
 
 def compare_rows(
@@ -22,20 +32,30 @@ def compare_rows(
     which keeps large objects out of the shuffle. Both sides need the same columns,
     in any order; others are an error that names them.
     """
-    digest = set(digest)
+    return _unequal(_both_sides(source, target), source.columns, set(digest))
+
+
+def _both_sides(source: DataFrame, target: DataFrame) -> DataFrame:
+    """All rows with ``__side``, 1 or -1. Types that differ become their common one here."""
     columns = source.columns
     if set(columns) != set(target.columns):
         only = sorted(set(columns) ^ set(target.columns))
         raise ValueError(f"columns on one side only: {', '.join(only)}")
+    sides = [
+        df.select(*[quoted(c) for c in columns], F.lit(side).alias("__side")) for df, side in ((source, 1), (target, -1))
+    ]
+    return sides[0].unionByName(sides[1])
+
+
+def _unequal(both: DataFrame, columns: Sequence[str], digest: set[str]) -> DataFrame:
     surplus = (
-        _signed(source, columns, digest, 1)
-        .unionByName(_signed(target, columns, digest, -1))
-        .groupBy(*[_name(c) for c in columns])
+        both.select(*[_comparable(c, digest) for c in columns], "__side")
+        .groupBy(*[quoted(c) for c in columns])
         .agg(F.sum("__side").alias("__surplus"))
         .where(F.col("__surplus") != 0)
     )
     return surplus.select(
-        *[_name(c) for c in columns],
+        *[quoted(c) for c in columns],
         F.greatest(F.col("__surplus"), F.lit(0)).cast("bigint").alias("source_surplus"),
         F.greatest(-F.col("__surplus"), F.lit(0)).cast("bigint").alias("target_surplus"),
     )
@@ -55,8 +75,111 @@ def compare_tables(
     hashes. If none does, values have only been paired anew, and the columns that
     hold several values among those rows are listed.
     """
-    values = [c for c in source.columns if c not in set(keys)]
-    rows = compare_rows(source, target, digest)
+    return _by_key(compare_rows(source, target, digest), source.columns, keys)
+
+
+def compare_buckets(
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    digest: Iterable[str] = (),
+    buckets: int = BUCKETS,
+    sub_buckets: int = SUB_BUCKETS,
+) -> DataFrame:
+    """What ``compare_tables`` returns, shuffling the rows of unequal buckets only.
+
+    Keys are dealt into ``buckets`` by hash and both sides read once for the digest of each
+    bucket; what is shuffled then is one narrow row per bucket and task. Unequal buckets are
+    divided once more, so that few unequal rows among very many move few equal ones with
+    them. Equal tables end after the first reading. Two sides whose rows differ in a bucket
+    are told apart by 128 bits of hash sums and the row count.
+    """
+    columns = source.columns
+    both = _both_sides(source, target)
+    kept = both
+    for level, count in enumerate((buckets, buckets * sub_buckets)):
+        unequal = materialize(
+            bucket_digests(kept, columns, keys, count).where("differs").select("bucket"), f"unequal-{level}"
+        )
+        if unequal.isEmpty():
+            kept = both.where(F.lit(False))
+            break
+        # The list is stored, so Spark sees its size and decides how to join it.
+        kept = both.withColumn("__bucket", _bucket(keys, count)).join(
+            unequal.withColumnRenamed("bucket", "__bucket"), "__bucket", "left_semi"
+        )
+    return _by_key(_unequal(kept, columns, set(digest)), columns, keys)
+
+
+def bucket_digests(both: DataFrame, columns: Sequence[str], keys: Sequence[str], buckets: int) -> DataFrame:
+    """Per bucket of the key: source_rows, target_rows and whether the rows of the sides differ.
+
+    ``both`` has the rows of both sides with ``__side`` (1 or -1). The digest of a side is
+    the sum of two hashes of its rows, each in two halves of 32 bits, so it does not depend
+    on their order and is combined before the shuffle. Here the sums of both sides are one,
+    zero if they agree; a sum too large for 64 bits counts as different.
+    """
+    hashes = [F.xxhash64(F.lit(seed), *_hash_inputs(both, columns)) for seed in (0, 1)]
+    halves = [h for x in hashes for h in (F.shiftrightunsigned(x, 32), x.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    # Hashes are made once per row, in a projection of their own.
+    narrow = both.select(
+        _bucket(keys, buckets).alias("bucket"), "__side", *[h.alias(f"__h{i}") for i, h in enumerate(halves)]
+    )
+    sums = [F.try_sum(F.col(f"__h{i}") * F.col("__side")).alias(f"__s{i}") for i in range(len(halves))]
+    rows = [F.count_if(F.col("__side") == side).alias(name) for side, name in ((1, "source_rows"), (-1, "target_rows"))]
+    differs = F.col("source_rows") != F.col("target_rows")
+    for i in range(len(halves)):
+        differs = differs | F.coalesce(F.col(f"__s{i}") != 0, F.lit(True))
+    return (
+        narrow.groupBy("bucket")
+        .agg(*rows, *sums)
+        .select("bucket", "source_rows", "target_rows", differs.alias("differs"))
+    )
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(quoted(k)) for k in keys]), F.lit(buckets))
+
+
+def _hash_inputs(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Values that hash alike only if they are equal: a hash passes over nulls, so these are told too."""
+    inputs = []
+    for c in columns:
+        col, dtype = F.col(quoted(c)), df.schema[c].dataType
+        inputs += [_hashable(col, dtype), col.isNull()]
+    return inputs
+
+
+def _hashable(col: Column, dtype: T.DataType) -> Column:
+    """A nested value as JSON, where nulls have their place and the entries of maps are in order."""
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        held = F.struct(_ordered(col, dtype).alias("v"))
+        return F.when(col.isNotNull(), F.to_json(held, {"ignoreNullFields": "false"}))
+    return col
+
+
+def _ordered(col: Column, dtype: T.DataType) -> Column:
+    """The value with every map in it as an array of its entries by key."""
+    if isinstance(dtype, T.MapType):
+        entries = F.transform(
+            F.map_entries(col),
+            lambda e: F.struct(
+                _ordered(e["key"], dtype.keyType).alias("key"), _ordered(e["value"], dtype.valueType).alias("value")
+            ),
+        )
+        return F.array_sort(entries)
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(col, lambda v: _ordered(v, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        fields = [_ordered(col.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(col.isNotNull(), F.struct(*fields))
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return col + F.lit(0.0)  # both zeros are one value
+    return col
+
+
+def _by_key(rows: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    values = [c for c in columns if c not in set(keys)]
     measures = [
         F.sum("source_surplus").alias("source_rows"),
         F.sum("target_surplus").alias("target_rows"),
@@ -64,14 +187,15 @@ def compare_tables(
     changed, varied = [], []
     for i, c in enumerate(values):
         for seed in (0, 1):
-            hashed = F.pmod(F.xxhash64(F.lit(seed), F.col(_name(c))), F.lit(1 << 32))
+            hashed = F.pmod(F.xxhash64(F.lit(seed), *_hash_inputs(rows, [c])), F.lit(1 << 32))
             for side in ("source", "target"):
-                total = F.sum((hashed * F.col(f"{side}_surplus")).cast("decimal(28,0)"))
+                times = F.col(f"{side}_surplus").cast("decimal(18,0)")
+                total = F.sum((hashed.cast("decimal(10,0)") * times).cast("decimal(28,0)"))
                 measures.append(total.alias(f"__{side}{seed}_{i}"))
             measures.append((F.min(hashed) != F.max(hashed)).alias(f"__varied{seed}_{i}"))
         differs = [
-            F.col(f"__source{s}_{i}") * F.col("target_rows").cast("decimal(10,0)")
-            != F.col(f"__target{s}_{i}") * F.col("source_rows").cast("decimal(10,0)")
+            F.col(f"__source{s}_{i}") * F.col("target_rows").cast("decimal(20,0)")
+            != F.col(f"__target{s}_{i}") * F.col("source_rows").cast("decimal(20,0)")
             for s in (0, 1)
         ]
         changed.append(F.when(differs[0] | differs[1], F.lit(c)))
@@ -83,10 +207,10 @@ def compare_tables(
     listed = F.concat_ws(",", *changed)
     listed = F.when(listed != "", listed).otherwise(F.concat_ws(",", *varied))
     return (
-        rows.groupBy(*[_name(k) for k in keys])
+        rows.groupBy(*[quoted(k) for k in keys])
         .agg(*measures)
         .select(
-            *[_name(k) for k in keys],
+            *[quoted(k) for k in keys],
             status.alias("status"),
             "source_rows",
             "target_rows",
@@ -95,14 +219,6 @@ def compare_tables(
     )
 
 
-def _signed(df: DataFrame, columns: Sequence[str], digest: set[str], sign: int) -> DataFrame:
-    return df.select(*[_comparable(c, digest) for c in columns], F.lit(sign).alias("__side"))
-
-
 def _comparable(column: str, digest: set[str]) -> Column:
-    col = F.col(_name(column))
+    col = F.col(quoted(column))
     return F.sha2(col.cast("binary"), 256).alias(column) if column in digest else col
-
-
-def _name(column: str) -> str:
-    return "`" + column.replace("`", "``") + "`"

@@ -15,6 +15,7 @@ from tilewright.functions import byte_length, size_class, tile_count
 from tilewright.operators import (
     assign_slices,
     column_stats,
+    compare_buckets,
     compare_rows,
     compare_tables,
     dedup_profile,
@@ -355,6 +356,21 @@ def q_compare_lobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_tables(source, target, ["doc_id"], digest=["text"])
 
 
+def q_compare_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by order, as in a load that got one quantity wrong."""
+    lines = table(spark, sf_dir, "lineitem")
+    more = F.when(F.col("l_quantity") == 50, 51.0).otherwise(F.col("l_quantity"))
+    return compare_buckets(lines, lines.withColumn("l_quantity", more), ["l_orderkey"])
+
+
+def q_compare_buckets_lobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of one source lost and French ones in capitals; texts are compared by digest."""
+    source = table(spark, sf_dir, "documents")
+    text = F.when(F.col("lang") == "fr", F.upper("text")).otherwise(F.col("text"))
+    target = source.withColumn("text", text).where("source IS NULL OR source <> 'src1'")
+    return compare_buckets(source, target, ["doc_id"], digest=["text"], buckets=256)
+
+
 def q_lob_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     small, large = lob_split(table(spark, sf_dir, "documents"), "text")
     sides = [
@@ -441,6 +457,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_rows": q_compare_rows,
     "compare_tables_repeated": q_compare_tables_repeated,
     "compare_lobs": q_compare_lobs,
+    "compare_buckets": q_compare_buckets,
+    "compare_buckets_lobs": q_compare_buckets_lobs,
     "lob_split": q_lob_split,
     "sequence_positions": q_sequence_positions,
     "column_stats": q_column_stats,
