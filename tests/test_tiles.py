@@ -125,7 +125,7 @@ def test_larger_narrowing(spark):
 
 @pytest.mark.parametrize("cuts", [[], ["399"], ["-5", "1000"], ["7", "8", "9"]])
 def test_bad_cuts_stay_exact(spark, monkeypatch, cuts):
-    monkeypatch.setattr(tiles_module, "_propose_cuts", lambda *_: cuts)
+    monkeypatch.setattr(tiles_module, "_propose_cuts", lambda *_: (400, cuts))
     df = spark.range(400).select(F.col("id").alias("k"))
     assert boundaries(df, 3) == by_ntile(range(400), 3)
 
@@ -149,18 +149,53 @@ def test_ranges_reach_the_scan(spark, tmp_path):
     assert "GreaterThan(k," in plan and "LessThan(k," in plan
 
 
-def test_ranking_is_spread_and_bounded(spark):
-    keys = spark.range(50_000).select(F.hash("id").alias("key"))
-    dtype = keys.schema["key"].dataType
-    fences = tiles_module._propose_cuts(keys, dtype, 50_000, 200)
-    placed = tiles_module._placed(keys, "key", fences, dtype, "place")
-    rows_at = {r.place: r["count"] for r in placed.groupBy("place").count().collect()}
-    known, unsettled = tiles_module._settle(rows_at, fences, 50_000, 10)
-    assert 150 <= len(fences) <= 300 and 8 <= len(unsettled) <= 20
-    assert sum(rows_at[p] for p in unsettled) < 50_000 // 4
-    ranked = tiles_module._ranked_runs(keys, dtype, fences, unsettled)
-    distinct = placed.where(F.col("place").isin(*unsettled)).select("key").distinct()
-    assert ranked.count() == distinct.count()
+@pytest.mark.parametrize("rows", [2_000, 20_000, 200_000])
+def test_ranking_tasks_are_bounded(spark, rows):
+    """Whatever the number of rows, no task ranks more than so many; the cut keys of a step do not grow."""
+    keys = spark.range(rows).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.hash("id")).alias("key"))
+    total, known, ranges = tiles_module.find_ranges(keys, 10, 40, 300)
+    assert total == rows and 0 < max(r.rows for r in ranges) <= 300 and len(ranges) + len(known) <= 20
+    assert [r.before for r in ranges] == sorted(r.before for r in ranges)
+    found = sorted(map(tuple, range_boundaries(keys, "key", 10, cuts=40, most_ranked=300).collect()))
+    assert found == by_ntile([r.key for r in keys.collect()], 10)
+
+
+@pytest.mark.parametrize("dtype", TYPES)
+def test_cutting_again_by_type(spark, dtype):
+    draw = random.Random(7)
+    keys = [TYPES[dtype](draw) for _ in range(600)] + [None] * 50
+    df = local_frame(spark, [(k,) for k in keys], f"k {dtype.replace('timestamp_ntz', 'timestamp').replace('timestamp', 'timestamp_ntz')}")
+    if dtype == "timestamp":
+        df = df.select(F.col("k").cast("timestamp"))
+    found = range_boundaries(df, "k", 5, cuts=4, most_ranked=20)
+    if dtype == "timestamp":
+        found = found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("min_val", "max_val")})
+    plain = lambda v: bytes(v) if isinstance(v, bytearray) else v
+    assert sorted(tuple(map(plain, r)) for r in found.collect()) == by_ntile(keys, 5)
+
+
+def test_extreme_numbers(spark):
+    """Ends of each type's range, both zeros, infinite and undefined values."""
+    inf = float("inf")
+    for dtype, keys in {
+        "double": [-inf, inf, 1e308, -1e308, 0.0, 5e-324, 2.5, 2.5] * 9,
+        "decimal(38,0)": [Decimal(10**38 - 1), Decimal(1 - 10**38), Decimal(7), None] * 9,
+        "bigint": [2**63 - 1, -(2**63), 0, None] * 9,
+        "date": [datetime.date(1, 1, 1), datetime.date(9999, 12, 31), None] * 9,
+    }.items():
+        df = local_frame(spark, [(k,) for k in keys], f"k {dtype}")
+        assert boundaries(df, 4, cuts=3, most_ranked=5) == by_ntile(keys, 4)
+    nan = local_frame(spark, [(k,) for k in [float("nan"), 1.0, 2.0, float("nan")]], "k double")
+    assert [str(r) for r in boundaries(nan, 2, cuts=2)] == ["(1, 2, 1.0, 2.0)", "(2, 2, nan, nan)"]
+
+
+def test_few_distinct_keys_are_settled_at_once(spark, tmp_path):
+    """The boundaries of keys that are all cuts need no further reading."""
+    path = str(tmp_path / "t")
+    spark.range(30_000).select((F.col("id") % 50 * 3).alias("k")).write.parquet(path)
+    found = range_boundaries(spark.read.parquet(path), "k", 7)
+    assert "FileScan" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 7
 
 
 def test_filters_do_not_unroll_the_search(spark):

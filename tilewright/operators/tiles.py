@@ -1,18 +1,22 @@
 """Equal-count key ranges of a table, exact and without ordering the table.
 
 ``ntile`` over a whole table sends every row to one task. Here the first and
-last key of each tile are looked up as order statistics, in three scans of the
+last key of each tile are looked up as order statistics, in a few scans of the
 key whatever its values:
 
-1.  A sample proposes cut keys, some for each tile and more for more rows.
+1.  Cut keys are proposed: quantiles of a mergeable sketch, which the same scan fills that
+    counts the rows, or a sample where keys are not numbers or times.
 2.  The rows between and on the cuts are counted. Null keys and keys that are
     cuts take up known positions from here on.
-3.  Only ranges that hold a wanted position are read again. Their rows are counted
-    per distinct key (combined before the shuffle, so a hot key is one row) and
-    ranked range by range, each in a task of its own.
-
-Any cut keys give the right result: a bad sample costs time, not exactness. The
-driver holds the cut keys and one count for each.
+3.  Ranges that hold a wanted position but too many rows for one task are read again and
+    cut in the same way, until none is left.
+4.  The others are read once more. Their rows are counted per distinct key (combined before
+    the shuffle, so a hot key is one row) and ranked range by range, each in a task of its
+    own of at most ``MOST_RANKED`` rows.
+
+Reading again means plain range filters that a file scan can skip by. Any cut keys give the
+right result: bad ones cost time, not exactness. The driver holds the cut keys of one
+step and one count for each.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from __future__ import annotations
 import json
 import math
 from bisect import bisect_left
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
@@ -28,35 +33,50 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from tilewright.functions.columns import quoted
 from tilewright.session import local_frame
 
-# Cut keys: so many for each tile, and one for so many rows up to a number that
-# keeps the plan small.
-CUTS_PER_TILE, ROWS_PER_CUT, MOST_CUTS_FOR_ROWS = 4, 100_000, 16_384
+# Cut keys of one step: so many for each tile and so many besides, which settle keys of few
+# distinct values at once. With ten rows of a sample for each, or a sketch twice as fine.
+CUTS_PER_TILE, CUTS = 4, 1_024
 SAMPLE_PER_CUT = 10
+SKETCH_MERGES = 64  # tasks that merge sketches before the last one does
+
+# Rows of a range that one task ranks.
+MOST_RANKED = 500_000
 
 # Ranges in one file filter; beyond that neighbouring ones are merged.
 PUSHED_RANGES = 16
 
 
-def range_boundaries(df: DataFrame, key: str, tiles: int, cuts: int | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Range:
+    """Keys between two others, not included (None: no end), and the rows in and before it."""
+
+    low: str | None
+    high: str | None
+    before: int
+    rows: int
+
+
+Run = tuple[str | None, int, int]  # a key as text, its first and its last position
+
+
+def range_boundaries(
+    df: DataFrame, key: str, tiles: int, cuts: int | None = None, most_ranked: int = MOST_RANKED
+) -> DataFrame:
     """Row count, least and greatest key of each of ``tiles`` equal-count tiles in key order.
 
     Equal to grouping by ``ntile(tiles)`` over the key; null keys come first, and are
     neither least nor greatest beside others.
     With fewer rows than tiles there is one tile per row. Only the key is read.
-    ``cuts`` is the number of cut keys, which only the cost depends on.
+    ``cuts`` is the number of cut keys of a step and ``most_ranked`` that of rows which a
+    task ranks; only the cost depends on them.
     """
     keys = df.select(F.col(quoted(key)).alias("key"))
     dtype = keys.schema["key"].dataType
-    total = keys.count()
+    total, known, ranges = find_ranges(keys, tiles, cuts or CUTS_PER_TILE * tiles + CUTS, most_ranked)
     size, longer = divmod(total, tiles)
-    if cuts is None:
-        cuts = CUTS_PER_TILE * tiles + min(total // ROWS_PER_CUT, MOST_CUTS_FOR_ROWS)
-    fences = _propose_cuts(keys, dtype, total, cuts)
-    counted = _placed(keys, "key", fences, dtype, "place").groupBy("place").count().collect()
 
     # A run of equal keys at positions first..last belongs to one or more tiles.
-    known, unsettled = _settle({r["place"]: r["count"] for r in counted}, fences, total, tiles)
-    runs = _ranked_runs(keys, dtype, fences, unsettled).unionByName(
+    runs = _ranked_runs(keys, dtype, ranges).unionByName(
         local_frame(df.sparkSession, known, "key string, first bigint, last bigint").withColumn(
             "key", _from_text(F.col("key"), dtype)
         )
@@ -78,6 +98,39 @@ def range_boundaries(df: DataFrame, key: str, tiles: int, cuts: int | None = Non
     )
 
 
+def find_ranges(
+    keys: DataFrame, tiles: int, cuts: int, most_ranked: int
+) -> tuple[int, list[Run], list[Range]]:
+    """All rows, the runs at wanted positions, and the ranges that hold the others, in order.
+
+    No range has more than ``most_ranked`` rows, unless a step proposes no key inside of it.
+    """
+    dtype = keys.schema["key"].dataType
+    total, fences = _propose_cuts(keys, dtype, cuts)
+    wanted = _positions(total, tiles)
+    counted = _count_places(keys, dtype, fences)
+    nulls = counted.get(0, 0)
+    if 0 < nulls < total:  # the least key may be in the middle of a tile
+        wanted = sorted({*wanted, nulls + 1})
+    known, ranges = _settle(counted, fences, range(2 * len(fences) + 2), 0, wanted)
+    while large := [r for r in ranges if r.rows > most_ranked]:
+        inside = _inside(keys, dtype, large)
+        ends = list(dict.fromkeys(k for r in large for k in (r.low, r.high) if k is not None))
+        _, fences = _propose_cuts(inside, dtype, cuts, ends)
+        if len(fences) == len(ends):
+            break
+        counted = _count_places(inside, dtype, fences)
+        ranges = [r for r in ranges if r.rows <= most_ranked]
+        for r in large:
+            first = 1 if r.low is None else 2 * fences.index(r.low) + 3
+            last = 2 * len(fences) + 1 if r.high is None else 2 * fences.index(r.high) + 1
+            runs, parts = _settle(counted, fences, range(first, last + 1), r.before, wanted)
+            known += runs
+            ranges += parts
+        ranges.sort(key=lambda r: r.before)
+    return total, known, ranges
+
+
 def assign_slices(df: DataFrame, key: str, boundaries: DataFrame) -> DataFrame:
     """Add the ``slice`` each row is loaded in: slice t holds the keys from tile t's first
     key up to, not including, the first key of tile t+1. Null keys are in slice 1.
@@ -122,21 +175,62 @@ def _div(value: Column, by: int) -> Column:
     return F.call_function("div", value, F.lit(by).cast("bigint"))
 
 
-def _propose_cuts(keys: DataFrame, dtype: T.DataType, total: int, cuts: int) -> list[str]:
-    """About ``cuts`` ascending keys at even distances in a sample, as text.
+def _propose_cuts(
+    keys: DataFrame, dtype: T.DataType, cuts: int, ends: list[str] = ()
+) -> tuple[int, list[str]]:
+    """The rows, and about ``cuts`` keys at even distances with ``ends`` between them, ascending, as text."""
+    to_number, from_number = _numeric(dtype)
+    if to_number is None:
+        total = keys.count()
+        fraction = min(1.0, SAMPLE_PER_CUT * cuts / max(total, 1))
+        step = F.greatest(F.lit(1), F.call_function("div", F.size("sample"), F.lit(cuts))).alias("step")
+        chosen = (
+            keys.where("key IS NOT NULL")
+            .sample(fraction, seed=0)
+            .agg(F.sort_array(F.collect_list("key")).alias("sample"))
+            .select("sample", step)
+            .select(F.filter("sample", lambda _, i: i % F.col("step") == 0).alias("cuts"))
+        )
+    else:
+        whole = to_number(F.col("key"))
+        kind = "double" if dict(keys.select(whole.alias("n")).dtypes)["n"] == "double" else "bigint"
+        sketch, merged, quantiles = (
+            getattr(F, f"kll_{name}_{kind}") for name in ("sketch_agg", "merge_agg", "sketch_get_quantile")
+        )
+        fineness = F.lit(max(200, min(65_535, 2 * cuts)))
+        # Null where there is no key: a sketch of nothing has no quantiles.
+        part = keys.select(whole.alias("n")).groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGES)).alias("part"))
+        parts = part.agg(F.count(F.lit(1)).alias("rows"), F.count("n").alias("present"), sketch("n", fineness).alias("s"))
+        held = parts.agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            merged(F.when(F.col("present") > 0, F.col("s")), fineness).alias("s"),
+            F.coalesce(F.sum("present"), F.lit(0)).alias("present"),
+        )
+        ranks = _constant_array([(i + 0.5) / cuts for i in range(cuts)], "array<double>")
+        found = F.when(F.col("present") > 0, quantiles("s", ranks)).otherwise(F.array())
+        chosen = held.select("rows", F.array_compact(F.transform(found, from_number)).alias("cuts"))
+    ascending = F.array_sort(F.array_distinct(F.concat(_fence_array(list(ends), dtype), "cuts")))
+    texts = F.transform(ascending, lambda k: _to_text(k, dtype)).alias("k")
+    row = chosen.select(texts, *(["rows"] if to_number else [])).first()
+    return row.rows if to_number else total, list(row.k)
+
+
+def _numeric(dtype: T.DataType):
+    """How keys become numbers in the same order and back, about; None for other keys."""
+    if isinstance(dtype, T.DateType):
+        return (lambda c: F.unix_date(c).cast("bigint")), (lambda n: F.date_from_unix_date(n.cast("int")))
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros, F.timestamp_micros
+    if isinstance(dtype, T.IntegralType):
+        return (lambda c: c.cast("bigint")), (lambda n: n.cast(dtype))
+    if isinstance(dtype, T.NumericType):
+        return (lambda c: c.cast("double")), (lambda n: n.try_cast(dtype))
+    return None, None
+
 
-    The sample grows with the number of cuts only; the cuts alone come to the driver.
-    """
-    fraction = min(1.0, SAMPLE_PER_CUT * cuts / max(total, 1))
-    step = F.greatest(F.lit(1), F.call_function("div", F.size("sample"), F.lit(cuts))).alias("step")
-    chosen = (
-        keys.where("key IS NOT NULL")
-        .sample(fraction, seed=0)
-        .agg(F.sort_array(F.collect_list("key")).alias("sample"))
-        .select("sample", step)
-        .select(F.array_distinct(F.filter("sample", lambda _, i: i % F.col("step") == 0)).alias("cuts"))
-    )
-    return list(chosen.select(F.transform("cuts", lambda k: _to_text(k, dtype)).alias("k")).first().k)
+def _count_places(keys: DataFrame, dtype: T.DataType, fences: list[str]) -> dict[int, int]:
+    counted = _placed(keys, "key", fences, dtype, "place").groupBy("place").count()
+    return {r["place"]: r["count"] for r in counted.collect()}
 
 
 def _placed(df: DataFrame, key: str, fences: list[str], dtype: T.DataType, name: str) -> DataFrame:
@@ -160,64 +254,66 @@ def _placed(df: DataFrame, key: str, fences: list[str], dtype: T.DataType, name:
     return df.select(*others, F.explode(F.array(place)).alias(name))
 
 
-def _settle(
-    rows_at: dict[int, int], fences: list[str], total: int, tiles: int
-) -> tuple[list[tuple[str | None, int, int]], dict[int, int]]:
-    """Runs of one key that hold a wanted position, and the places that must be ranked
-    with the rows before each."""
+def _positions(total: int, tiles: int) -> list[int]:
+    """The first and last position of every tile, ascending."""
     size, longer = divmod(total, tiles)
     positions, end = [], 0
     for loc in range(1, min(tiles, total) + 1):
         positions.append(end + 1)
         end += size + (loc <= longer)
         positions.append(end)
-    nulls = rows_at.get(0, 0)
-    if 0 < nulls < total:  # the least key may be in the middle of a tile
-        positions = sorted({*positions, nulls + 1})
-    known, unsettled, before = [], {}, 0
-    for place in sorted(rows_at):
-        rows = rows_at[place]
-        at = bisect_left(positions, before + 1)
-        if at < len(positions) and positions[at] <= before + rows:
+    return positions
+
+
+def _settle(
+    rows_at: dict[int, int], fences: list[str], places: range, before: int, wanted: list[int]
+) -> tuple[list[Run], list[Range]]:
+    """Of some places in a row, the runs of one key and the ranges that hold a wanted position."""
+    known, ranges = [], []
+    for place in places:
+        rows = rows_at.get(place, 0)
+        at = bisect_left(wanted, before + 1)
+        if rows and at < len(wanted) and wanted[at] <= before + rows:
+            j = place // 2
             if place % 2:
-                unsettled[place] = before
+                low, high = fences[j - 1] if j else None, fences[j] if j < len(fences) else None
+                ranges.append(Range(low, high, before, rows))
             else:
-                known.append((fences[place // 2 - 1] if place else None, before + 1, before + rows))
+                known.append((fences[j - 1] if place else None, before + 1, before + rows))
         before += rows
-    return known, unsettled
-
-
-def _ranked_runs(
-    keys: DataFrame, dtype: T.DataType, fences: list[str], unsettled: dict[int, int]
-) -> DataFrame:
-    """Each distinct key at the unsettled places with the first and last position it takes up."""
-    before = _constant_array(
-        [unsettled.get(place) for place in range(2 * len(fences) + 2)], "array<bigint>"
-    )
-    before = F.get(before, F.col("place"))
-    placed = _placed(_inside(keys, dtype, fences, sorted(unsettled)), "key", fences, dtype, "place")
-    counted = placed.where(before.isNotNull()).groupBy("place", "key").agg(F.count(F.lit(1)).alias("n"))
-    last = F.sum("n").over(W.partitionBy("place").orderBy("key")) + before
+    return known, ranges
+
+
+def _ranked_runs(keys: DataFrame, dtype: T.DataType, ranges: list[Range]) -> DataFrame:
+    """Each distinct key in the ranges with the first and last position it takes up."""
+    fences = list(dict.fromkeys(k for r in ranges for k in (r.low, r.high) if k is not None))
+    before: list[int | None] = [None] * (2 * len(fences) + 2)
+    for r in ranges:
+        before[1 if r.low is None else 2 * fences.index(r.low) + 3] = r.before
+    rows_before = F.get(_constant_array(before, "array<bigint>"), F.col("place"))
+    placed = _placed(_inside(keys, dtype, ranges), "key", fences, dtype, "place")
+    counted = placed.where(rows_before.isNotNull()).groupBy("place", "key").agg(F.count(F.lit(1)).alias("n"))
+    last = F.sum("n").over(W.partitionBy("place").orderBy("key")) + rows_before
     return counted.withColumn("last", last).select(
         "key", (F.col("last") - F.col("n") + 1).alias("first"), "last"
     )
 
 
-def _inside(keys: DataFrame, dtype: T.DataType, fences: list[str], places: list[int]) -> DataFrame:
-    """At least the rows at these places, by plain ranges that a file scan can skip by."""
-    if not places:
+def _inside(keys: DataFrame, dtype: T.DataType, ranges: list[Range]) -> DataFrame:
+    """At least the rows of these ranges, by plain filters that a file scan can skip by."""
+    if not ranges:
         return keys.where(F.lit(False))
-    group = math.ceil(len(places) / PUSHED_RANGES)
-    ranges = []
-    for i in range(0, len(places), group):
-        first, last = places[i] // 2, places[min(i + group, len(places)) - 1] // 2
+    group = math.ceil(len(ranges) / PUSHED_RANGES)
+    filters = []
+    for i in range(0, len(ranges), group):
+        low, high = ranges[i].low, ranges[min(i + group, len(ranges)) - 1].high
         bounds = [F.col("key").isNotNull()]
-        if first > 0:
-            bounds.append(F.col("key") > _from_text(F.lit(fences[first - 1]), dtype))
-        if last < len(fences):
-            bounds.append(F.col("key") < _from_text(F.lit(fences[last]), dtype))
-        ranges.append(reduce(and_, bounds))
-    return keys.where(reduce(or_, ranges))
+        if low is not None:
+            bounds.append(F.col("key") > _from_text(F.lit(low), dtype))
+        if high is not None:
+            bounds.append(F.col("key") < _from_text(F.lit(high), dtype))
+        filters.append(reduce(and_, bounds))
+    return keys.where(reduce(or_, filters))
 
 
 # Keys go through the driver as text, without loss.
