@@ -418,4 +418,19 @@ from documents where source = 'src1' or (lang = 'fr' and text <> upper(text))"""
         [_stats(t, c, c == "embedding") for t, cs in COLUMNS.items() for c in cs.split()]
     ),
 }
+
+# Columns that hold no whole numbers, and those of times, whose dates are counted.
+_NO_NUMBERS = """text role c_name c_acctbal c_mktsegment lang source embedding event_type value props l_quantity
+  l_extendedprice l_discount l_tax l_returnflag l_linestatus n_name o_orderstatus o_totalprice o_orderpriority url html
+  p_name p_brand p_type p_retailprice r_name s_name s_acctbal""".split()
+_TIMES = ["ts", "l_shipdate", "o_orderdate"]
+ORACLE["column_stats_bitmap"] = _union(
+    [
+        f"""select '{t}' as table_name, '{c}' as column_name,
+  count(distinct {f"{c}::date" if c in _TIMES else c})::bigint as distinct_count from {t}"""
+        for t, cs in COLUMNS.items()
+        for c in cs.split()
+        if c not in _NO_NUMBERS
+    ]
+)
 ORACLE["column_stats_sketch"] = ORACLE["column_stats"]

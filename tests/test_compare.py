@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tilewright.operators import column_stats, compare_buckets, compare_rows, compare_tables, sequence_positions
+from tilewright.operators import column_stats, compare_buckets, compare_rows, compare_tables, distinct_counts, sequence_positions
 from tilewright.operators.compare import _both_sides, bucket_digests
 from tilewright.session import local_frame
 
@@ -178,3 +178,24 @@ def test_stats(spark):
             "s": (3, 1, 2, "a", "b"),
             "l": (3, 1, 1, None, None),
         }
+
+
+def test_bitmaps_of_any_number(spark):
+    """Negative, sparse, null and repeated values; a long span is counted without bitmaps."""
+    rng = random.Random(4)
+    rows = [(rng.choice([None, -(2**31), 2**31 - 1, *range(-70_000, 70_000, 997)]), rng.randrange(-128, 128),
+             rng.choice([None, True, False]), rng.choice([-(2**63), 2**63 - 1, 0]), None) for _ in range(3000)]
+    df = local_frame(spark, rows, "i int, b tinyint, t boolean, l bigint, nothing date")
+    for span in (1, 1 << 18, 1 << 26):
+        found = {r.column_name: r.distinct_count for r in distinct_counts(df, bitmap_span=span).collect()}
+        assert found == {c: len({r[i] for r in rows} - {None}) for i, c in enumerate(df.columns)}
+    assert {r.distinct_count for r in distinct_counts(df.limit(0)).collect()} == {0}
+
+
+def test_bitmaps_shuffle_no_values(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100_000).select(F.col("id").alias("k.1"), F.lit("wide").alias("other")).write.parquet(path)
+    counts = distinct_counts(spark.read.parquet(path), ["k.1"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "bitmap_construct_agg" in plan and "other" not in plan
+    assert counts.first().distinct_count == 100_000

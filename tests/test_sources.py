@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tilewright.operators import leading_key_column, lob_columns, partition_info, range_boundaries, user_schemas
+from tilewright.operators import column_stats, leading_key_column, lob_columns, partition_info, range_boundaries, user_schemas
 from tilewright.session import local_frame, materialize, shared_folder
 from tilewright.sources import (
     POSTGRES,
@@ -196,6 +196,50 @@ def test_predicates_cover_every_row_once(spark, dtype):
     assert sum(counts) == len(keys) and min(counts) > 0
 
 
+@pytest.fixture
+def in_zone(spark):
+    def change(zone):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+    yield change
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("zone, first", [
+    ("Europe/Berlin", "2024-10-26 23:00:00"), ("Europe/Berlin", "2024-03-31 00:00:00"),
+    ("America/New_York", "2024-11-03 04:00:00"), ("Australia/Lord_Howe", "2024-04-06 13:00:00"),
+])
+def test_instants_across_a_change_of_the_clock(spark, in_zone, zone, first):
+    """240 minutes while clocks change: every row is read once, whatever zones Spark and the server are in."""
+    start = datetime.datetime.fromisoformat(first + "+00:00").timestamp()
+    in_zone(zone)
+    df = spark.range(240).select(F.timestamp_seconds(F.col("id") * 60 + int(start)).alias("k"))
+    predicates = jdbc.range_predicates(POSTGRES, "k", range_boundaries(df, "k", 24))
+    assert len(predicates) == 24
+    stats = column_stats(df, "t", exact_distinct=True).first()
+    assert stats.distinct_count == 240
+    with duckdb.connect() as db:
+        for server_zone in (zone, "Asia/Tokyo"):
+            db.execute(f"set timezone = '{server_zone}'")
+            db.execute(f"create or replace table t as select to_timestamp({start} + 60 * i) as k from range(240) r(i)")
+            counts = [db.execute(f"select count(*) from t where {p}").fetchone()[0] for p in predicates]
+            assert counts == [10] * 24
+
+
+def test_instants_by_dialect(spark):
+    df = spark.range(2).select(F.timestamp_micros(F.col("id") * 1_500_000 - 1).alias("k"))
+    found = range_boundaries(df, "k", 2)
+    assert jdbc.range_predicates(SQL_SERVER, "k", found)[1] == "([k] >= CAST('1970-01-01 00:00:01.499999 +00:00' AS datetimeoffset(6)))"
+    assert jdbc.range_predicates(POSTGRES, "k", found)[1] == "(\"k\" >= CAST('1970-01-01 00:00:01.499999+00' AS timestamptz))"
+    assert SERVER.options()["preferTimestampNTZ"] == "true"
+
+
+def test_boundaries_out_of_order(spark):
+    wrong = local_frame(spark, [(1, 9), (2, 7), (3, 5)], "loc int, min_val int")
+    with pytest.raises(ValueError, match="ascending"):
+        jdbc.range_predicates(POSTGRES, "k", wrong)
+
+
 def test_predicates_by_dialect(spark):
     df = local_frame(spark, [(k,) for k in [b"a", b"b", b"c"]], "k binary")
     found = range_boundaries(df, "k", 2)

@@ -9,7 +9,7 @@ from tilewright.operators.names import (
 )
 from tilewright.operators.partitions import partition_info
 from tilewright.operators.report import final_report, rollup_by_table, table_report
-from tilewright.operators.stats import column_stats, sequence_positions
+from tilewright.operators.stats import column_stats, distinct_counts, sequence_positions
 from tilewright.operators.tiles import assign_slices, range_boundaries, slice_balance
 
 __all__ = [
@@ -19,6 +19,7 @@ __all__ = [
     "compare_rows",
     "compare_tables",
     "dedup_profile",
+    "distinct_counts",
     "final_report",
     "leading_key_column",
     "lob_columns",

@@ -6,6 +6,7 @@ connection before an action runs, and credentials are only handed to Spark.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
@@ -25,6 +26,7 @@ SQL_SERVER = {
     "text": "N'{}'",
     "text_order": "Latin1_General_100_BIN2",
     "time": "CAST('{}' AS datetime2(6))",
+    "instant": "CAST('{} +00:00' AS datetimeoffset(6))",
     "binary": "0x{}",
     "booleans": ("0", "1"),
 }
@@ -38,6 +40,7 @@ POSTGRES = {
     "text": "'{}'",
     "text_order": '"C"',
     "time": "CAST('{}' AS timestamp)",
+    "instant": "CAST('{}+00' AS timestamptz)",
     "binary": "decode('{}', 'hex')",
     "booleans": ("false", "true"),
 }
@@ -74,6 +77,8 @@ class JdbcServer:
             "driver": self.kind["driver"],
             "user": self.user,
             "password": self.password,
+            # Times without a zone stay so; what is read as an instant is one on the server too.
+            "preferTimestampNTZ": "true",
         }
 
 
@@ -132,14 +137,23 @@ def range_predicates(kind: dict, key: str, boundaries: DataFrame) -> list[str]:
 
     Ranges are half open, the first one also takes null keys, and equal boundaries (of a
     hot key) give no empty range. Text is compared in the order of its code points, as
-    Spark does, whatever the column's collation. Times are those of the session's zone,
-    in which Spark reads columns without one.
+    Spark does, whatever the column's collation. Instants are written in UTC with their
+    offset, so that no session zone and no change of daylight saving time touches them;
+    times without a zone are written as they are. Boundaries that are not in ascending order
+    are an error.
     """
     dtype = boundaries.schema["min_val"].dataType
-    starts = boundaries.where("loc > 1 AND min_val IS NOT NULL").orderBy("loc")
     literal = _literal_maker(kind, dtype)
-    rows = starts.select(_as_text(F.col("min_val"), dtype).alias("k")).collect()
-    values = list(dict.fromkeys(literal(r.k) for r in rows))
+    starts = boundaries.where("loc > 1 AND min_val IS NOT NULL").agg(
+        F.array_sort(F.collect_list(F.struct("loc", "min_val")))["min_val"].alias("keys")
+    )
+    row = starts.select(
+        F.transform("keys", lambda k: _as_text(k, dtype)).alias("keys"),
+        (F.col("keys") == F.array_sort("keys")).alias("ascending"),
+    ).first()
+    if not row.ascending:
+        raise ValueError(f"boundaries of {key} are not in ascending order")
+    values = list(dict.fromkeys(map(literal, row["keys"])))
     name = _quoted_name(kind, key)
     column = f"{name} COLLATE {kind['text_order']}" if isinstance(dtype, T.StringType) else name
     if not values:
@@ -155,7 +169,16 @@ def _quoted_name(kind: dict, name: str) -> str:
 
 
 def _as_text(key: Column, dtype: T.DataType) -> Column:
-    return F.hex(key) if isinstance(dtype, T.BinaryType) else key.cast("string")
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(key)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(key).cast("string")
+    return key.cast("string")
+
+
+def _utc(micros: str) -> str:
+    time = datetime.datetime(1970, 1, 1) + datetime.timedelta(microseconds=int(micros))
+    return time.isoformat(sep=" ", timespec="microseconds")
 
 
 def _literal_maker(kind: dict, dtype: T.DataType):
@@ -165,7 +188,9 @@ def _literal_maker(kind: dict, dtype: T.DataType):
         return lambda text: kind["booleans"][text == "true"]
     if isinstance(dtype, T.DateType):
         return "CAST('{}' AS date)".format
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampType):
+        return lambda micros: kind["instant"].format(_utc(micros))
+    if isinstance(dtype, T.TimestampNTZType):
         return kind["time"].format
     if isinstance(dtype, T.BinaryType):
         return kind["binary"].format

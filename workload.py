@@ -19,6 +19,7 @@ from tilewright.operators import (
     compare_rows,
     compare_tables,
     dedup_profile,
+    distinct_counts,
     final_report,
     leading_key_column,
     lob_columns,
@@ -391,6 +392,16 @@ def q_column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all([column_stats(frames[t], t, exact_distinct=True) for t in TABLES])
 
 
+def q_column_stats_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of whole numbers and dates, counted in bitmaps."""
+    parts = []
+    for t, df in load(spark, sf_dir).items():
+        df = df.withColumns({c: F.to_date(c) for c, dtype in df.dtypes if dtype.startswith("timestamp")})
+        names = [c for c, dtype in df.dtypes if dtype in ("tinyint", "smallint", "int", "bigint", "date")]
+        parts.append(distinct_counts(df, names).select(F.lit(t).alias("table_name"), "*"))
+    return union_all(parts)
+
+
 def q_column_stats_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sketch, its distinct count told by whether it is within 5 % of the exact one."""
     sketch = union_all([column_stats(df, t) for t, df in load(spark, sf_dir).items()])
@@ -462,5 +473,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lob_split": q_lob_split,
     "sequence_positions": q_sequence_positions,
     "column_stats": q_column_stats,
+    "column_stats_bitmap": q_column_stats_bitmap,
     "column_stats_sketch": q_column_stats_sketch,
 }
