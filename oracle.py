@@ -419,6 +419,39 @@ from documents where source = 'src1' or (lang = 'fr' and text <> upper(text))"""
     ),
 }
 
+ORACLE["report_stored"] = ORACLE["table_report"]
+ORACLE["report_updated"] = ORACLE["report_with_rules"]
+ORACLE["result_dumped"] = ORACLE["final_report"]
+ORACLE["rules_as_text"] = f"""select (row_number() over (order by case_id, rn))::int as line, rule_json
+from ({ORACLE["load_rules_fewer_rows"]}) where rule_json is not null"""
+ORACLE["slices_written"] = f"""select l_orderkey, l_linenumber, l_quantity, slice
+from ({_SLICED_LINES.replace("select l_orderkey, (1", "select l_orderkey, l_linenumber, l_quantity, (1")}) where slice = 4"""
+ORACLE["session_schemas"] = "select 'region_' || replace(lower(r_name), ' ', '_') as schema_name from region"
+
+# Two bytes for each character and four for one beyond the basic plane.
+_WIDE = "(2 * (length({0}) + length(regexp_replace({0}, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g'))))"
+
+
+def _wide_profile(table: str, text: str) -> str:
+    return _profile(table, "text").replace("strlen(text)", _WIDE.format(text)).replace("text is null", f"{text} is null")
+
+
+ORACLE["lob_profile_wide"] = _union(
+    [_wide_profile("benchmark", "text").replace(f"{OBJECT_ID['benchmark']}::int", "1001::int"),
+     _wide_profile("conversations", "text").replace(f"{OBJECT_ID['conversations']}::int", "1002::int"),
+     _wide_profile("documents", "(case when lang = 'es' then text || '\U0001f600\u20ac\U00010348' else text end)")
+     .replace(f"{OBJECT_ID['documents']}::int", "1003::int")]
+)
+
+# Texts without a declared length: all those of tables that Spark's catalog holds.
+_SESSION_LOBS = [(t, c) for t, names in STRINGS.items() for c in names]
+_SESSION_PROFILE = "profile as (\n" + _union([_profile(t, c) for t, c in _SESSION_LOBS]) + "\n)"
+_SESSION_COUNTS = COUNTS.replace("'main'", "'tilewright_given'").replace(
+    f"count(distinct {PARTITION['events']})", "1"
+)
+ORACLE["session_report"] = f"with {_SESSION_PROFILE},\n{_SESSION_COUNTS},\n{REPORT}\nselect * from report"
+
+
 # Columns that hold no whole numbers, and those of times, whose dates are counted.
 _NO_NUMBERS = """text role c_name c_acctbal c_mktsegment lang source embedding event_type value props l_quantity
   l_extendedprice l_discount l_tax l_returnflag l_linestatus n_name o_orderstatus o_totalprice o_orderpriority url html

@@ -92,6 +92,62 @@ def test_session_catalog(spark):
     assert "shop" in [r.schema_name for r in user_schemas(session_databases(spark)).collect()]
 
 
+def test_session_catalog_by_statistics(spark):
+    """Rows and partitions of analysed tables come from the catalog; no file is looked at."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS analysed")
+    for name in ("plain", "parted", "unknown"):
+        spark.sql(f"DROP TABLE IF EXISTS analysed.{name}")
+        writer = spark.range(30).selectExpr("id", "id % 4 AS p").write
+        (writer.partitionBy("p") if name == "parted" else writer).saveAsTable(f"analysed.{name}")
+    for name in ("plain", "parted"):
+        spark.sql(f"ANALYZE TABLE analysed.{name} COMPUTE STATISTICS")
+    expected = {"plain": (30, 0), "parted": (30, 4), "unknown": (30, 0)}
+    for statistics in (False, True):
+        catalog, frames = session_catalog(spark, "analysed", statistics=statistics)
+        rows = partition_info(catalog.tables, catalog.indexes, catalog.partitions)
+        named = rows.join(catalog.tables, "object_id").select("name", "rows", "PartitionCount").collect()
+        assert {r.name: (r.rows, r.PartitionCount) for r in named} == expected
+        plan = catalog.partitions._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parquet") == (1 if statistics else 3)
+        assert sorted(frames) == ["analysed.parted", "analysed.plain", "analysed.unknown"]
+
+
+def test_all_tables_in_one_aggregate(spark):
+    """Empty tables, partitions by any type, nulls among their values."""
+    frames = {
+        "empty": spark.range(0),
+        "none": spark.range(0).withColumn("p", F.lit(1)),
+        "day": local_frame(spark, [(datetime.date(2024, 1, 1),), (None,), (None,), (datetime.date(2024, 1, 2),)], "p date"),
+        "pair": local_frame(spark, [(1, None), (1, "x"), (None, None), (1, "x")], "a int, b string"),
+        "bytes": local_frame(spark, [(b"\xff",), (b"\xfe",), (b"\xff",)], "p binary"),
+        "null": local_frame(spark, [(None,), (None,)], "p int"),
+    }
+    by = {"none": F.col("p"), "day": F.col("p"), "pair": F.struct("a", "b"), "bytes": F.col("p"), "null": F.col("p")}
+    catalog = build_catalog(spark, frames, {t: TableSpec(partition_by=c) for t, c in by.items()})
+    held = catalog.partitions.join(catalog.tables, "object_id").groupBy("name").agg(
+        F.sort_array(F.collect_list("rows")).alias("rows"), F.count_distinct("partition_number").alias("parts")
+    )
+    assert {r.name: (r.rows, r.parts) for r in held.collect()} == {
+        "empty": ([0], 1), "day": ([1, 1, 2], 3), "pair": ([1, 1, 2], 3), "bytes": ([1, 2], 2), "null": ([2], 1),
+    }
+    plan = catalog.partitions._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_shared_folder_must_be_shared(spark, monkeypatch):
+    class Elsewhere:
+        class conf:
+            get = staticmethod(lambda name, default=None: "file:/tmp/w" if "warehouse" in name else default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(Elsewhere)
+    Elsewhere.sparkContext.master = "local[4]"
+    assert shared_folder(Elsewhere) == "file:/tmp/w/_stored"
+
+
 def test_materialize(spark):
     df = materialize(local_frame(spark, [(1, "x")], "id int, v string"), "kept")
     assert [tuple(r) for r in df.collect()] == [(1, "x")]

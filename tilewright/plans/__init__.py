@@ -9,7 +9,16 @@ from tilewright.plans.rules import (
     case6_lob_plain,
     load_rules,
 )
-from tilewright.plans.sinks import dump_result, write_report, write_rules, write_slices
+from tilewright.plans.sinks import (
+    dump_result,
+    read_report,
+    read_rules,
+    read_slice,
+    update_report,
+    write_report,
+    write_rules,
+    write_slices,
+)
 
 __all__ = [
     "Analysis",
@@ -25,6 +34,10 @@ __all__ = [
     "dump_result",
     "load_rules",
     "profile_tables",
+    "read_report",
+    "read_rules",
+    "read_slice",
+    "update_report",
     "write_report",
     "write_rules",
     "write_slices",

@@ -50,10 +50,49 @@ def local_frame(spark: SparkSession, rows: Iterable[tuple], schema: str | T.Stru
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, else one in the session's warehouse.
 
-    Every executor reaches either; a folder local to one machine is never used.
+    Every executor must reach it: a warehouse that is local to one machine, which it is
+    by default, is an error unless all of Spark runs there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stored"
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    if not local and warehouse.split(":")[0] in ("file", warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/_stored"
+
+
+class Folder:
+    """A folder of any file system that Spark reaches."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self._files = self._target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self._files.exists(self._target)
+
+    def rename(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        # Into a folder that exists, it would move below it.
+        if self._files.exists(target) or not self._files.rename(self._target, target):
+            raise OSError(f"could not rename {self.path} to {path}")
+
+    def delete(self) -> None:
+        self._files.delete(self._target, True)
+
+    def delete_on_exit(self) -> None:
+        self._files.deleteOnExit(self._target)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes when the session ends."""
+    folder = Folder(spark, f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    folder._files.mkdirs(folder._target)
+    folder.delete_on_exit()
+    return folder.path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -65,10 +104,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     They are removed when the session ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch(spark, name)}/rows"
     df.write.mode("errorifexists").parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,14 +6,16 @@ only ever reads it through these frames, whatever system they describe.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, fields
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from tilewright.functions.columns import quoted
-from tilewright.session import local_frame, union_all
+from tilewright.session import CONCURRENT_PLANS, local_frame, union_all
 
 COLUMNS = "object_id int, column_id int, name string, user_type_id int, max_length int"
 TABLES = "object_id int, schema_id int, name string, is_ms_shipped int"
@@ -90,19 +92,21 @@ def build_catalog(
     schema_id: int = 1,
     first_object_id: int = 1001,
     check_keys: bool = False,
+    known_rows: Mapping[str, tuple[int, int]] | None = None,
 ) -> Catalog:
     """Describe ``frames`` (table name to DataFrame), object ids in name order.
 
-    Row counts come from ``count(*)``, which reads only file footers for
-    Parquet. Partition rows group by the partition expression alone. Columns are
+    The rows of all tables and partitions are counted by one aggregate over all of them,
+    which reads partition expressions only: for Parquet, file footers and directory names.
+    Tables in ``known_rows`` (rows, partitions) are not counted at all. Columns are
     described by what is declared; no values are read. Spark does not enforce keys;
     with ``check_keys`` a key that holds nulls is not marked as primary, at the
     price of a scan of the key columns.
     """
-    specs = specs or {}
+    specs, known_rows = specs or {}, known_rows or {}
     ids = {name: first_object_id + i for i, name in enumerate(sorted(frames))}
     columns, tables, indexes, index_columns = [], [], [], []
-    checked, partitions = [], []
+    checked, counted, known = [], [], []
     for name, object_id in ids.items():
         df, spec = frames[name], specs.get(name, TableSpec())
         index_id = 1 if spec.key else 0  # clustered on the key, or a heap
@@ -111,7 +115,10 @@ def build_catalog(
             checked.append(_checked_index(df, object_id, index_id, spec.key))
         else:
             indexes.append((object_id, index_id, index_id))
-        partitions.append(_partition_rows(df, object_id, index_id, spec.partition_by))
+        if name in known_rows:
+            known += _known_partitions(object_id, index_id, *known_rows[name])
+        else:
+            counted.append((df, object_id, index_id, spec.partition_by))
         positions = {c: i for i, c in enumerate(df.columns, start=1)}
         for i, key in enumerate(spec.key, start=1):
             index_columns.append((object_id, index_id, i, positions[key]))
@@ -125,7 +132,7 @@ def build_catalog(
         schemas=local_frame(spark, [(schema_id, schema)], SCHEMAS),
         types=local_frame(spark, [(i, n) for n, i in TYPE_IDS.items()], TYPES),
         indexes=union_all([local_frame(spark, indexes, INDEXES), *checked]),
-        partitions=union_all(partitions),
+        partitions=_partition_rows(spark, counted, known),
         index_columns=local_frame(spark, index_columns, INDEX_COLUMNS),
     )
 
@@ -134,37 +141,68 @@ def session_catalog(
     spark: SparkSession,
     database: str,
     keys: Mapping[str, Sequence[str]] | None = None,
+    statistics: bool = False,
 ) -> tuple[Catalog, dict[str, DataFrame]]:
     """Catalog and tables of one database in the session catalog.
 
     Declared ``varchar(n)`` lengths and partition columns are taken from the
-    table definition; ``keys`` names primary keys, which Spark does not hold.
+    table definition; ``keys`` names primary keys, which Spark does not hold. With
+    ``statistics`` the rows of tables that have been analysed are those that the session
+    catalog holds, as old as these are, and their partitions those it lists; no file is looked
+    at. Of a partitioned table all rows then stand at its first partition.
     """
     keys = keys or {}
-    frames, specs = {}, {}
-    for table in spark.catalog.listTables(database):
-        if table.isTemporary:
-            continue
-        full_name = f"`{database}`.`{table.name}`"
+    names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
+
+    def describe(name: str) -> tuple[DataFrame, TableSpec, tuple[int, int] | None]:
+        full_name = f"{quoted(database)}.{quoted(name)}"
         df = spark.table(full_name)
-        declared = {
-            r["col_name"]: r["data_type"]
-            for r in reversed(spark.sql(f"DESCRIBE TABLE {full_name}").collect())
-        }
-        partitioned = [c.name for c in spark.catalog.listColumns(full_name) if c.isPartition]
-        frames[table.name] = df
-        specs[table.name] = TableSpec(
-            key=tuple(keys.get(table.name, ())),
-            partition_by=F.struct(*partitioned) if partitioned else None,
+        declared, parted, rows = _read_description(spark.sql(f"DESCRIBE TABLE EXTENDED {full_name}").collect())
+        spec = TableSpec(
+            key=tuple(keys.get(name, ())),
+            partition_by=F.struct(*map(quoted, parted)) if parted else None,
             lengths={
                 f.name: _declared_length(declared.get(f.name, ""))
                 for f in df.schema.fields
                 if isinstance(f.dataType, (T.StringType, T.BinaryType))
             },
         )
-    return build_catalog(spark, frames, specs, schema=database), {
-        f"{database}.{name}": df for name, df in frames.items()
-    }
+        known = None
+        if statistics and rows is not None:
+            known = rows, spark.sql(f"SHOW PARTITIONS {full_name}").count() if parted else 0
+        return df, spec, known
+
+    with ThreadPoolExecutor(CONCURRENT_PLANS) as pool:  # each asks the catalog, none runs a job
+        found = dict(zip(names, pool.map(describe, names)))
+    frames = {name: df for name, (df, _, _) in found.items()}
+    catalog = build_catalog(
+        spark,
+        frames,
+        {name: spec for name, (_, spec, _) in found.items()},
+        schema=database,
+        known_rows={name: known for name, (_, _, known) in found.items() if known},
+    )
+    return catalog, {f"{database}.{name}": df for name, df in frames.items()}
+
+
+def _read_description(rows: Sequence[T.Row]) -> tuple[dict[str, str], list[str], int | None]:
+    """Declared types, partition columns and analysed rows out of ``DESCRIBE TABLE EXTENDED``."""
+    declared: dict[str, str] = {}
+    parted: list[str] = []
+    rows_held, part = None, "columns"
+    for name, kind in ((r["col_name"], r["data_type"]) for r in rows):
+        if name.startswith("# Partition"):
+            part = "partitions"
+        elif name.startswith("# Detailed"):
+            part = "details"
+        elif part == "columns" and name and not name.startswith("#"):
+            declared[name] = kind
+        elif part == "partitions" and name and not name.startswith("#"):
+            parted.append(name)
+        elif part == "details" and name == "Statistics":
+            held = re.search(r"(\d+) rows", kind)
+            rows_held = int(held.group(1)) if held else None
+    return declared, parted, rows_held
 
 
 def session_databases(spark: SparkSession) -> DataFrame:
@@ -184,24 +222,52 @@ def _checked_index(
     )
 
 
+def _known_partitions(object_id: int, index_id: int, rows: int, partitions: int) -> list[tuple]:
+    return [(object_id, index_id, i, 0 if i > 1 else rows) for i in range(1, max(partitions, 1) + 1)]
+
+
 def _partition_rows(
-    df: DataFrame, object_id: int, index_id: int, partition_by: Column | None
+    spark: SparkSession, counted: Sequence[tuple[DataFrame, int, int, Column | None]], known: list[tuple]
 ) -> DataFrame:
-    if partition_by is None:
-        counted = df.agg(F.count(F.lit(1)).alias("rows"))
-        number = F.lit(1)
-    else:
-        counted = df.groupBy(partition_by.alias("p")).agg(F.count(F.lit(1)).alias("rows"))
-        # Numbers only tell partitions apart, so no order over all of them is needed.
-        number = F.monotonically_increasing_id() + 1
-    return counted.select(
-        F.lit(object_id).alias("object_id"),
-        F.lit(index_id).alias("index_id"),
-        number.alias("partition_number"),
-        "rows",
+    """Rows of every partition, of all tables in one aggregate; a whole table has a row even if it is empty.
+
+    Partitions are told apart by their values as text, which all tables can share a column of.
+    """
+    held = local_frame(spark, known, PARTITIONS)
+    if not counted:
+        return held
+    schema = "object_id int, index_id int, parted boolean, part string, n bigint"
+    parts = [
+        df.select(
+            F.lit(object_id).alias("object_id"),
+            F.lit(index_id).alias("index_id"),
+            F.lit(by is not None).alias("parted"),
+            (F.lit(None).cast("string") if by is None else _as_text(df, by)).alias("part"),
+            F.lit(1).cast("bigint").alias("n"),
+        )
+        for df, object_id, index_id, by in counted
+    ]
+    empty = [(object_id, index_id, False, None, 0) for _, object_id, index_id, by in counted if by is None]
+    # Numbers only tell partitions apart, so no order over all of them is needed.
+    number = F.when(F.col("parted"), F.monotonically_increasing_id() + 1).otherwise(1)
+    return (
+        union_all([*parts, local_frame(spark, empty, schema)])
+        .groupBy("object_id", "index_id", "parted", "part")
+        .agg(F.sum("n").alias("rows"))
+        .select("object_id", "index_id", number.alias("partition_number"), "rows")
+        .unionByName(held)
     )
 
 
+def _as_text(df: DataFrame, by: Column) -> Column:
+    dtype = df.select(by.alias("p")).schema["p"].dataType
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(by)
+    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        return F.when(by.isNotNull(), F.to_json(F.struct(by.alias("p")), {"ignoreNullFields": "false"}))
+    return by.cast("string")
+
+
 def _type_name(dtype: T.DataType) -> str:
     for spark_type, name in (
         (T.StringType, "varchar"),

@@ -46,12 +46,21 @@ from tilewright.plans import (
     case4_lob_ranges,
     case5_lob_partitions,
     case6_lob_plain,
+    dump_result,
     load_rules,
     profile_tables,
+    read_report,
+    read_rules,
+    read_slice,
+    update_report,
+    write_report,
+    write_rules,
+    write_slices,
 )
-from tilewright.session import local_frame, materialize, union_all
+from tilewright.operators.report import REPORT
+from tilewright.session import local_frame, materialize, scratch, union_all
 from tilewright.sources import Catalog, TableSpec, build_catalog
-from tilewright.sources.catalog import UNBOUNDED
+from tilewright.sources.catalog import UNBOUNDED, session_catalog, session_databases
 
 TABLES = (
     "benchmark conversations customer documents embeddings events labels lineitem "
@@ -253,6 +262,83 @@ def q_final_report_hidden(spark: SparkSession, sf_dir: str) -> DataFrame:
     return final_report(Bed(spark, sf_dir).report(), "lineitem")
 
 
+def q_lob_profile_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as a server with two-byte characters sizes them; Spanish ones with some beyond the basic plane."""
+    frames = {t: table(spark, sf_dir, t) for t in ("benchmark", "conversations", "documents")}
+    marked = F.when(F.col("lang") == "es", F.concat("text", F.lit("\U0001f600\u20ac\U00010348"))).otherwise(F.col("text"))
+    frames["documents"] = frames["documents"].select("doc_id", marked.alias("text"))
+    wide = {
+        t: TableSpec(key=(KEYS[t],), lengths={"role": 9}, type_names={"text": "ntext" if t == "benchmark" else "nvarchar"})
+        for t in frames
+    }
+    return profile_tables(spark, build_catalog(spark, frames, wide, schema=SCHEMA), by_full_name(frames))
+
+
+def q_session_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on a database of the session catalog: the given files as tables, one of them partitioned."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS tilewright_given")
+    spark.catalog.setCurrentDatabase("default")
+    for t in TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS tilewright_given.{t}")
+        if t == "documents":
+            place = f"{scratch(spark, t)}/rows"
+            table(spark, sf_dir, t).write.partitionBy("lang").option("path", place).saveAsTable(f"tilewright_given.{t}")
+        else:
+            spark.sql(f"CREATE TABLE tilewright_given.{t} USING parquet LOCATION '{sf_dir}/{t}.parquet'")
+    catalog, tables = session_catalog(spark, "tilewright_given", {t: [k] for t, k in KEYS.items()})
+    return table_report(catalog, profile_tables(spark, catalog, tables))
+
+
+def q_session_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Databases of the session catalog, one for each region and market segment, those of the system left out."""
+    regions = table(spark, sf_dir, "region").select(F.concat(F.lit("region_"), F.lower("r_name")).alias("name"))
+    segments = table(spark, sf_dir, "customer").select(F.concat(F.lit("pg_temp_region_"), F.lower("c_mktsegment")))
+    names = regions.union(segments).select(F.replace("name", F.lit(" "), F.lit("_")).alias("name"))
+    for r in names.distinct().collect():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{r.name}`")
+    return user_schemas(session_databases(spark)).where(F.col("schema_name").contains("region_"))
+
+
+def q_report_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report replaced by a new one, read back: half of the rows from a table, half from files."""
+    report, path = Bed(spark, sf_dir).stored_report(), f"{scratch(spark, 'report')}/current"
+    for rows in (report.where("rows > 100"), report):
+        write_report(rows, path=path)
+        write_report(rows, table="tilewright_report")
+    odd = F.col("ID") % 2 == 1
+    return read_report(spark, path).where(odd).unionByName(spark.table("tilewright_report").where(~odd))
+
+
+def q_report_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report stored in parts, to which the rules of two cases and then of two more are written."""
+    bed = Bed(spark, sf_dir)
+    report, path = bed.stored_report(), f"{scratch(spark, 'report')}/current"
+    write_report(report, path=path, parts=4)
+    for first, second in ((case1_plain, case3_partitions), (case5_lob_partitions, case6_lob_plain)):
+        update_report(spark, path, first(report, FEW_ROWS).unionByName(second(report, FEW_ROWS)))
+    return read_report(spark, path)
+
+
+def q_result_dumped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final report as JSON lines, read back."""
+    folder = scratch(spark, "dump")
+    return spark.read.schema(REPORT).json(dump_result(q_final_report(spark, sf_dir), folder, "given"))
+
+
+def q_rules_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rules as lines of text, read back with their place."""
+    path = f"{scratch(spark, 'rules')}/text"
+    write_rules(table_case(load_rules, FEWER_ROWS)(spark, sf_dir), path)
+    return read_rules(spark, path)
+
+
+def q_slices_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written in ten slices; the fourth is read back alone."""
+    path = f"{scratch(spark, 'slices')}/lineitem"
+    write_slices(sliced(spark, sf_dir, "lineitem", "l_orderkey"), path)
+    return read_slice(spark, path, 4).select("l_orderkey", "l_linenumber", "l_quantity", "slice")
+
+
 def boundaries(name: str, key: str, tiles: int, **limits: int) -> Callable:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return range_boundaries(table(spark, sf_dir, name), key, tiles, **limits)
@@ -460,6 +546,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_boundaries_nulls": q_range_boundaries_nulls,
     "assign_slices": q_assign_slices,
     "slice_balance": q_slice_balance,
+    "lob_profile_wide": q_lob_profile_wide,
+    "session_report": q_session_report,
+    "session_schemas": q_session_schemas,
+    "report_stored": q_report_stored,
+    "report_updated": q_report_updated,
+    "result_dumped": q_result_dumped,
+    "rules_as_text": q_rules_as_text,
+    "slices_written": q_slices_written,
     "user_databases": q_user_databases,
     "user_pg_databases": q_user_pg_databases,
     "user_schemas": q_user_schemas,
