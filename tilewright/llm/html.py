@@ -86,52 +86,70 @@ def is_aside(tag: str, attrs: list[tuple[str, str | None]]) -> str:
 
 
 class Lines(HTMLParser):
-    """Collects the lines of a page: text, tags met, containers around it, in a sure aside or not, hints around it.
+    """Collects the lines of a page: text, tags met, innermost container, in a sure aside or not, innermost hint.
 
-    Text of inline elements that are no part of an article, such as scripts and buttons,
-    is left out without ending the line.
+    Elements are numbered as they open, and for each container and hint the one around it and
+    the last number inside it are kept, so that no line repeats what is around it and the
+    work grows with the page alone, however deep it is nested. Text of inline elements that
+    are no part of an article, such as scripts and buttons, is left out without ending the line.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool, bool]] = []  # tag, number, aside, muted
+        self.places: dict[str, list[int]] = {}  # per tag the places of its open elements
         self.number = self.asides = self.muted = self.tags = 0
         self.parts: list[str] = []
-        self.lines: list[tuple[str, int, tuple[int, ...], bool, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, int, bool, int]] = []
         self.articles: set[int] = set()
-        self.hints: dict[int, tuple[str, bool, bool]] = {}  # tag, in an article, never one
-        self.marks: list[tuple[str, tuple[int, ...]]] = []  # h1, article and main with the hints around
+        self.open_articles = 0
+        self.containers, self.around = [0], [0]  # the open containers and hints
+        self.container_parent: dict[int, int] = {}
+        self.hint_parent: dict[int, int] = {}
+        self.last: dict[int, int] = {}  # of a container, the last number in it
+        self.hints: dict[int, tuple[str, bool, bool]] = {}  # tag, in an article, in one that never is an article
+        self.marks: list[tuple[str, int]] = []  # h1, article and main with the innermost hint
+
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # no name follows: to browsers it is a comment up to the next >
+            return self.parse_bogus_comment(i)
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            path = tuple(n for tag, n, _, _ in self.open if tag in CONTAINERS)
-            self.lines.append((text, max(1, self.tags), path, self.asides > 0, self.hints_open()))
+            self.lines.append((text, max(1, self.tags), self.containers[-1], self.asides > 0, self.around[-1]))
             self.tags = 0
         self.parts = []
 
-    def hints_open(self) -> tuple[int, ...]:
-        return tuple(n for _, n, _, _ in self.open if n in self.hints)
-
     def pop(self, at: int) -> None:
         """End the open element at a place of the stack and all inside it."""
         if any(tag in BLOCKS for tag, _, _, _ in self.open[at:]):
             self.flush()
-        for _, _, aside, muted in self.open[at:]:
+        for tag, number, aside, muted in reversed(self.open[at:]):
             self.asides -= aside
             self.muted -= muted
+            self.open_articles -= number in self.articles
+            self.places[tag].pop()
+            if self.containers[-1] == number:
+                self.containers.pop()
+                self.last[number] = self.number
+            if self.around[-1] == number:
+                self.around.pop()
         del self.open[at:]
 
+    def innermost(self, tags: tuple[str, ...]) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
     def close_implied(self, tag: str) -> None:
         """A block ends an open paragraph; a list item or cell ends the one before it."""
         own, ends = SAME.get(tag, ()), ENDS_AT.get(tag, ("td", "th", "table"))
-        for at in range(len(self.open) - 1, -1, -1):
-            name = self.open[at][0]
-            if name in own or name == "p":
-                self.pop(at)
-                if not own:
-                    break
-            elif name in ends:
+        # Where a name is among both, an element of it is one to be ended.
+        until = self.innermost(tuple(t for t in ends if t not in own and t != "p"))
+        while (at := self.innermost((*own, "p"))) > until:
+            self.pop(at)
+            if not own:
                 break
 
     def handle_starttag(self, tag, attrs):
@@ -153,16 +171,25 @@ class Lines(HTMLParser):
         self.number += 1
         if aside == "hint" and not muted and not self.asides:
             names = f"{dict(attrs).get('class')} {dict(attrs).get('id')}".lower()
-            within = any(n in self.articles for _, n, _, _ in self.open)
-            self.hints[self.number] = tag, within, not NEVER_NAMES.isdisjoint(WORD.findall(names))
+            around = self.around[-1]
+            never = not NEVER_NAMES.isdisjoint(WORD.findall(names)) or around > 0 and self.hints[around][2]
+            self.hints[self.number] = tag, self.open_articles > 0, never
         if tag in ("h1", "article", "main") and not aside and not self.asides:
-            self.marks.append((tag, self.hints_open()))
+            self.marks.append((tag, self.around[-1]))
+        if self.number in self.hints:
+            self.hint_parent[self.number] = self.around[-1]
+            self.around.append(self.number)
+        if tag in CONTAINERS:
+            self.container_parent[self.number] = self.containers[-1]
+            self.containers.append(self.number)
         sure = aside == "sure" or muted
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append((tag, self.number, sure, muted))
         self.asides += sure
         self.muted += muted
         if tag in ARTICLES:
             self.articles.add(self.number)
+            self.open_articles += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -171,11 +198,9 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                self.pop(at)
-                return
-        if tag in BLOCKS:
+        if self.places.get(tag):
+            self.pop(self.places[tag][-1])
+        elif tag in BLOCKS:
             self.flush()
 
     def handle_data(self, data):
@@ -185,6 +210,7 @@ class Lines(HTMLParser):
     def close(self):
         super().close()
         self.flush()
+        self.pop(0)
 
 
 def smooth(values: np.ndarray, sigma: float = 1.5) -> np.ndarray:
@@ -210,32 +236,45 @@ def two_clusters(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def gathered(values: dict[int, int], parent: dict[int, int]) -> dict[int, int]:
+    """Sums over elements and all inside them; an element has a greater number than the one around it."""
+    total = {n: values.get(n, 0) for n in parent}
+    for n in sorted(parent, reverse=True):
+        if parent[n]:
+            total[parent[n]] += total[n]
+    return total
+
+
 def asides_by_hint(parser: Lines, dense: list[int], most: float) -> set[int]:
-    """The elements that only hints call asides, without those that hold the content.
+    """The elements that hints call asides and all hints inside of these, without those that hold the content.
 
     An element is none if it holds a <main>, the page's only <article>s or <h1>s, an <h1>
     within an article, or most of the dense text on a page that marks no article outside
     of it; neither is an article's own <header>.
     """
-    text: dict[int, int] = {}
+    own: dict[int, int] = {}
     whole = 0
     for i in dense:
         line, _, _, _, around = parser.lines[i]
-        if not any(parser.hints[n][2] for n in around):
+        if not around or not parser.hints[around][2]:
             whole += len(line)
-            for n in around:
-                text[n] = text.get(n, 0) + len(line)
+            own[around] = own.get(around, 0) + len(line)
+    text = gathered(own, parser.hint_parent)
+    marks = {
+        tag: gathered({n: 1 for mark, n in parser.marks if mark == tag}, parser.hint_parent)
+        for tag in ("h1", "article", "main")
+    }
     outside = {tag for tag, around in parser.marks if not around}
     marked = not outside.isdisjoint(ARTICLES)
     asides = set()
-    for n, (tag, within, never) in parser.hints.items():
-        held = {mark for mark, around in parser.marks if n in around}
-        if not (
+    for n, (tag, within, never) in parser.hints.items():  # outer elements come first
+        held = {mark for mark, count in marks.items() if count[n]}
+        if parser.hint_parent[n] in asides or not (
             tag == "header" and within
             or "main" in held
             or "article" in held and not marked
             or "h1" in held and tag != "header" and (within or "h1" not in outside and not marked)
-            or not never and not marked and whole and text.get(n, 0) >= most * whole
+            or not never and not marked and whole and text[n] >= most * whole
         ):
             asides.add(n)
     return asides
@@ -253,29 +292,31 @@ def main_text(html: str, most: float = 0.6) -> str:
     border = two_clusters(ratio)
     sure = [i for i, line in enumerate(lines) if not line[3]]
     asides = asides_by_hint(parser, [i for i in sure if ratio[i] > border] or sure, most)
-    inside = [i for i in sure if asides.isdisjoint(lines[i][4])]
+    inside = [i for i in sure if lines[i][4] not in asides]
     if not inside:
         return ""
     dense = [i for i in inside if ratio[i] > border] or inside
     # Per container the dense lines in it; the deepest one with most of their text is in the article.
-    size: dict[int, int] = {}
-    count: dict[int, int] = {}
+    own_size: dict[int, int] = {}
+    own_count: dict[int, int] = {}
     for i in dense:
-        for n in lines[i][2]:
-            size[n] = size.get(n, 0) + len(lines[i][0])
-            count[n] = count.get(n, 0) + 1
+        n = lines[i][2]
+        own_size[n] = own_size.get(n, 0) + len(lines[i][0])
+        own_count[n] = own_count.get(n, 0) + 1
+    size = gathered(own_size, parser.container_parent)
+    count = gathered(own_count, parser.container_parent)
     whole = sum(len(lines[i][0]) for i in dense)
-    large = [n for n in size if size[n] >= most * whole]
+    large = [n for n in size if count[n] and size[n] >= most * whole]
     anchor = max([n for n in large if count[n] > 1] or large, default=None)
     if anchor is None:
         return "\n".join(lines[i][0] for i in inside)
-    path = next(lines[i][2] for i in dense if anchor in lines[i][2])
-    around = [n for n in path[: path.index(anchor) + 1] if n in parser.articles]
-    if around:
-        anchor = around[-1]
-    else:
-        anchor = max((n for n in count if count[n] == len(dense)), default=None)
-    return "\n".join(lines[i][0] for i in inside if anchor is None or anchor in lines[i][2])
+    around = anchor
+    while around and around not in parser.articles:
+        around = parser.container_parent[around]
+    anchor = around or max((n for n in count if count[n] == len(dense)), default=None)
+    return "\n".join(
+        lines[i][0] for i in inside if anchor is None or anchor <= lines[i][2] <= parser.last[anchor]
+    )
 
 
 def extract_text(
@@ -284,8 +325,8 @@ def extract_text(
     """``page_id``, ``url``, ``text`` and ``n_chars`` of the main text of every whole page.
 
     A null or empty page, or one without text outside of menus and the like, has empty
-    text. Null ids and urls stay null, repeated rows give one row each, an empty table an
-    empty result. Only the three named columns are read.
+    text. Broken markup is read as far as it goes; it is never an error. Null ids and urls stay
+    null, repeated rows give one row each, an empty table an empty result. Only the three named columns are read.
     """
 
     def make():
