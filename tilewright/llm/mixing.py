@@ -14,6 +14,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tilewright.functions.columns import quoted
+
 from .common import SEPARATORS, store
 
 ROUNDS = 16  # of a permutation
@@ -274,21 +276,24 @@ def mixed_documents(
         (F.col("_taken") == F.col("size")).alias("_whole"),
         "_spans",
     )
-    # Repeated rows share a mark, and the parts of all of them meet the first.
-    text = F.col(f"`{text_col}`")
+    # Repeated rows share a mark, and the parts of all of them meet the first. The row itself is
+    # one column, so that no name of the table meets one of these.
+    row = F.struct(*(F.col(quoted(c)).alias(c) for c in df.columns)).alias("_row")
     first = F.row_number().over(W.partitionBy("_own").orderBy("_own"))
-    marked = df.withColumn("_own", row_mark(id_col, text_col, source_col))
+    marked = df.select(row_mark(id_col, text_col, source_col).alias("_own"), row)
     marked = marked.withColumn("_copy", first).filter("_copy = 1")
-    both = marked.join(parts, F.col("_own") == F.col("_mark"))
+    text = F.col("_row").getField(text_col)
     words = F.array_remove(F.split(text, SEPARATORS), "")
 
     def span(s: Column) -> Column:
         return F.slice("_words", (s["first"] + 1).cast("int"), (s["past"] - s["first"]).cast("int"))
 
     cut = F.flatten(F.transform("_spans", span))
+    both = marked.join(parts, F.col("_own") == F.col("_mark"))
     both = both.withColumn("_words", F.when(~F.col("_whole"), words))
-    new = F.when(F.col("_whole"), text).otherwise(F.array_join(cut, " "))
-    both = both.withColumn(text_col, new)
-    if length_col in df.columns:
-        both = both.withColumn(length_col, F.length(text).cast(df.schema[length_col].dataType))
-    return both.select(*(F.col(f"`{c}`") for c in df.columns))
+    both = both.withColumn("_new", F.when(F.col("_whole"), text).otherwise(F.array_join(cut, " ")))
+    kept = {c: F.col("_row").getField(c) for c in df.columns}
+    kept[text_col] = F.col("_new")
+    if length_col in kept:
+        kept[length_col] = F.length("_new").cast(df.schema[length_col].dataType)
+    return both.select(*(value.alias(c) for c, value in kept.items()))

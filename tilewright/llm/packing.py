@@ -30,6 +30,7 @@ CACHED_CHUNKS = 600_000
 CACHED_LENGTH = 64
 LAST_LATIN = "ɏ"
 JOINED = 200
+PORTION = 6_000_000  # characters that are encoded at the same time
 
 
 # Tokenizing
@@ -151,7 +152,7 @@ def token_pieces(
 
         def rows(keys, texts):
             texts = [t or "" for t in texts]
-            for first, last in portions(texts, 6_000_000):
+            for first, last in portions(texts, PORTION):
                 for key, ids in zip(keys[first:last], encoder.encode(texts[first:last])):
                     ids = np.concatenate((ids, tail)).astype("<u4")
                     for piece, at in enumerate(range(0, len(ids), capacity)):
@@ -161,8 +162,8 @@ def token_pieces(
 
         return rows
 
-    chosen = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_columns(chosen, PIECES, make)
+    chosen = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    return map_columns(chosen, PIECES, make, PORTION)
 
 
 # Packings of one cell

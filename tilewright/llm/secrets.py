@@ -17,9 +17,9 @@ import re
 from collections import defaultdict
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .common import map_columns
+from .common import map_columns, store
 
 # Kinds in order, their patterns and least lengths.
 KINDS = ["assign", "access", "hex", "format"]
@@ -252,10 +252,11 @@ class FormatModel:
 # Spark
 
 
-def learn_formats(df: DataFrame, id_col: str, text_col: str, sample: int = 400) -> FormatModel:
+def learn_formats(df: DataFrame, text_col: str, sample: int = 400, longest: int = 512) -> FormatModel:
     """Train on at most ``sample`` distinct credentials of each kind and as many ordinary tokens.
 
-    The sample is the values with the least digests, taken over all documents.
+    The sample is the values of at most ``longest`` characters with the least digests, taken
+    over all documents. Longer ones are scored like any other, symbol by symbol.
     """
 
     def make():
@@ -263,6 +264,8 @@ def learn_formats(df: DataFrame, id_col: str, text_col: str, sample: int = 400)
 
         def chosen(kind, value):
             """Whether a value may be in the sample, by what this task has seen."""
+            if len(value) > longest:
+                return None
             heap, held = least[kind]
             number = digest(value)
             if number in held or len(heap) >= sample and number > -heap[0]:
@@ -273,7 +276,7 @@ def learn_formats(df: DataFrame, id_col: str, text_col: str, sample: int = 400)
                 held.discard(-heapq.heappop(heap))
             return kind, number, value
 
-        def rows(_, texts):
+        def rows(texts):
             for text in texts:
                 base = base_spans(text or "")
                 found = [chosen(kind, value) for kind, _, _, value in base]
@@ -282,15 +285,46 @@ def learn_formats(df: DataFrame, id_col: str, text_col: str, sample: int = 400)
 
         return rows
 
-    chosen = df.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`"))
-    values = map_columns(chosen, "kind string, digest long, value string", make).distinct()
-    order = W.partitionBy("kind").orderBy("digest", "value")
-    picked = values.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample)
+    texts = df.select(F.col(f"`{text_col}`"))
+    values = store(map_columns(texts, "kind string, digest long, value string", make).distinct(), "secret-sample")
+    # How many values lie in each of 2^16 ranges of digests tells up to where the least of a
+    # kind reach, so only about these come to the driver and no task orders those of a kind.
+    place = F.shiftright("digest", 47)
+    last: dict[str, int] = {}
+    reached: dict[str, int] = defaultdict(int)
+    for r in values.groupBy("kind", place.alias("place")).count().orderBy("kind", "place").collect():
+        if reached[r.kind] < sample:
+            last[r.kind] = r.place
+        reached[r.kind] += r["count"]
+    within = F.lit(False)
+    for kind, until in last.items():
+        within = within | ((F.col("kind") == kind) & (place <= until))
     words = defaultdict(list)
-    for kind, _, value, _ in picked.collect():
-        words[kind].append(value)
-    ordinary = words.pop("ordinary", [])
-    return FormatModel(dict(words), ordinary)
+    for kind, number, value in values.where(within).collect():
+        words[kind].append((number, value))
+    picked = {kind: [value for _, value in sorted(found)[:sample]] for kind, found in words.items()}
+    ordinary = picked.pop("ordinary", [])
+    return FormatModel(picked, ordinary)
+
+
+class Verdicts:
+    """Whether tokens are credentials, remembered for short ones that a task meets again."""
+
+    def __init__(self, model: FormatModel):
+        self.model, self.known = model, {}
+
+    def spans(self, text: str, base: list[Span]) -> list[Span]:
+        return [("format", s, e, value) for s, e, value in candidates(text, base) if self.is_credential(value)]
+
+    def is_credential(self, value: str) -> bool:
+        found = self.known.get(value)
+        if found is None:
+            found = self.model.is_credential(value)
+            if len(value) <= 100:
+                if len(self.known) >= 50_000:
+                    self.known.clear()
+                self.known[value] = found
+        return found
 
 
 def find_secrets(
@@ -304,22 +338,15 @@ def find_secrets(
     commas. A null or empty text has no spans and the digest of an empty listing. Null
     ids stay null, repeated rows give one row each, an empty table an empty result.
     """
-    model = df.sparkSession.sparkContext.broadcast(learn_formats(df, id_col, text_col, sample))
+    model = df.sparkSession.sparkContext.broadcast(learn_formats(df, text_col, sample))
 
     def make():
-        known: dict[str, bool] = {}
+        verdicts = Verdicts(model.value)
 
         def rows(ids, texts):
             for key, text in zip(ids, texts):
                 base = base_spans(text or "")
-                added = []
-                for start, end, value in candidates(text or "", base):
-                    if value not in known:
-                        if len(known) > 200_000:
-                            known.clear()
-                        known[value] = model.value.is_credential(value)
-                    if known[value]:
-                        added.append(("format", start, end, value))
+                added = verdicts.spans(text or "", base)
                 digest = hashlib.sha256(listing(base).encode()).hexdigest()
                 counts = [sum(s[0] == kind for s in base) for kind in KINDS[:3]]
                 yield key, *counts, len(added), digest, listing(in_order(base + added))
@@ -357,23 +384,23 @@ def redact_secrets(
 ) -> DataFrame:
     """``df`` with every secret masked in its text; other columns and clean texts stay as they are.
 
-    ``length_col``, if there, becomes the code points of texts that changed.
+    ``length_col``, if there, becomes the code points of texts that changed. A null or empty
+    text stays, repeated rows give one row each, an empty table an empty result. Columns may
+    be in any order and have any name.
     """
-    model = df.sparkSession.sparkContext.broadcast(learn_formats(df, df.columns[0], text_col, sample))
+    model = df.sparkSession.sparkContext.broadcast(learn_formats(df, text_col, sample))
     at = df.columns.index(text_col)
     length = df.columns.index(length_col) if length_col in df.columns else None
 
     def make():
+        verdicts = Verdicts(model.value)
+
         def rows(*columns):
             for row in zip(*columns):
                 text = row[at]
                 if text:
                     base = base_spans(text)
-                    added = [
-                        ("format", s, e, v)
-                        for s, e, v in candidates(text, base)
-                        if model.value.is_credential(v)
-                    ]
+                    added = verdicts.spans(text, base)
                     if base or added:
                         row = list(row)
                         row[at] = redact(text, in_order(base + added), mask)
@@ -383,5 +410,5 @@ def redact_secrets(
 
         return rows
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    schema = ", ".join("`" + f.name.replace("`", "``") + f"` {f.dataType.simpleString()}" for f in df.schema)
     return map_columns(df, schema, make)

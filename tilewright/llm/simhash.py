@@ -12,6 +12,7 @@ a pivot differ by no more than the fingerprints do. Survivors are verified.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from .common import map_columns, store
 
 SEED = 42
+AT_ONCE = 1 << 16  # shingles of a long text whose bits are held at the same time
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
@@ -33,10 +35,13 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, SEED) for s in shingles), np.uint64)
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    major = bits.sum(0, dtype=np.int64) * 2 > len(hashes)
-    return int(np.packbits(major, bitorder="little").view("<u8")[0])
+    set_bits, count = np.zeros(64, np.int64), 0
+    hashes = (digest(s, SEED) for s in shingles)
+    while len(some := np.fromiter(islice(hashes, AT_ONCE), np.uint64)):
+        bits = np.unpackbits(some.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        set_bits += bits.sum(0, dtype=np.int64)
+        count += len(some)
+    return int(np.packbits(set_bits * 2 > count, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(
@@ -52,7 +57,7 @@ def fingerprints(
 
         return rows
 
-    chosen = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    chosen = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     return map_columns(chosen, "doc_id long, bits long", make)
 
 

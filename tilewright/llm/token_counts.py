@@ -186,5 +186,5 @@ def count_tokens(
 
         return rows
 
-    chosen = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    chosen = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     return map_columns(chosen, COUNTS, make)
