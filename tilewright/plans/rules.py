@@ -32,7 +32,7 @@ CASE_LABELS = {
 }
 
 # First rule id of a case; the second rule of a pair is offset.
-RULE_ID_BASE = {case: case * 100_000_000 for case in (1, 2, 3, 4, 5)}
+RULE_ID_BASE = {1: 100_000_000, 2: 200_000_000, 3: 300_000_000, 4: 400_000_000, 5: 500_000_000}
 SECOND_RULE_OFFSET = 10_000_000
 
 
@@ -73,12 +73,7 @@ def case2_ranges(
 
     A table without a primary key takes its number but gets no rule.
     """
-    many = F.col("rows") > params.row_limit
-    chosen = _numbered_tables(report, catalog, _whole() & many & _small_lobs(params), params)
-    ranged = _with_boundaries(chosen, tables)
-    return _table_rules(
-        ranged, 2, _joined(_selection(_id(RULE_ID_BASE[2])), _ranges_rule(2))
-    )
+    return _table_cases(report, catalog, tables, params, [2])
 
 
 def case4_lob_ranges(
@@ -88,11 +83,7 @@ def case4_lob_ranges(
     params: PlanParams = PlanParams(),
 ) -> DataFrame:
     """Not partitioned, large LOBs: load whole, and by key range if there are several tiles."""
-    chosen = _numbered_tables(report, catalog, _whole() & _large_lobs(params), params)
-    ranged = _with_boundaries(chosen, tables)
-    selection = _selection(_id(RULE_ID_BASE[4]), filters=True)
-    pair = F.when(F.col("tiles") > 1, _joined(selection, _ranges_rule(4)))
-    return _table_rules(ranged, 4, F.coalesce(pair, selection))
+    return _table_cases(report, catalog, tables, params, [4])
 
 
 def load_rules(
@@ -102,17 +93,12 @@ def load_rules(
     params: PlanParams = PlanParams(),
 ) -> DataFrame:
     """The rules of all six cases. ``report`` is read repeatedly, so pass a stored one."""
-    with ThreadPoolExecutor(2) as pool:  # both look up keys in the tables
-        case2, case4 = pool.map(
-            lambda case: case(report, catalog, tables, params), (case2_ranges, case4_lob_ranges)
-        )
     cases = [
         case1_plain(report, params),
-        case2,
         case3_partitions(report, params),
-        case4,
         case5_lob_partitions(report, params),
         case6_lob_plain(report, params),
+        _table_cases(report, catalog, tables, params, [2, 4]),  # a table is in one of them at most
     ]
     return union_all(cases).select(*T.StructType.fromDDL(RULES).names)
 
@@ -155,18 +141,31 @@ def _numbered_rows(report: DataFrame, case: Column) -> DataFrame:
     return report.where(case).withColumn("rn", F.row_number().over(order))
 
 
-def _numbered_tables(
-    report: DataFrame, catalog: Catalog, case: Column, params: PlanParams
+def _table_cases(
+    report: DataFrame, catalog: Catalog, tables: Mapping[str, DataFrame], params: PlanParams, cases: list[int]
 ) -> DataFrame:
-    chosen = rollup_by_table(report).where(case).select(
-        "SchemaName",
-        "TableName",
-        tile_count(F.col("rows"), params.row_limit, params.max_tiles).alias("tiles"),
+    """The rules of cases 2 and 4, whose tables are chosen and cut into key ranges together."""
+    many = F.col("rows") > params.row_limit
+    case = F.when(_whole() & many & _small_lobs(params), 2).when(_whole() & _large_lobs(params), 4)
+    chosen = (
+        rollup_by_table(report)
+        .withColumn("case_id", case)
+        .where(F.col("case_id").isin(cases))
+        .select(
+            "case_id",
+            "SchemaName",
+            "TableName",
+            tile_count(F.col("rows"), params.row_limit, params.max_tiles).alias("tiles"),
+        )
     )
-    return (
-        leading_key_column(catalog)
-        .join(chosen, ["SchemaName", "TableName"])
-        .withColumn("rn", F.row_number().over(W.orderBy("SchemaName", "TableName")))
+    number = F.row_number().over(W.partitionBy("case_id").orderBy("SchemaName", "TableName"))
+    numbered = leading_key_column(catalog).join(chosen, ["SchemaName", "TableName"]).withColumn("rn", number)
+    pair = _joined(_selection(_id(RULE_ID_BASE[2])), _ranges_rule(2))
+    whole = _selection(_id(RULE_ID_BASE[4]), filters=True)
+    lob_pair = F.when(F.col("tiles") > 1, _joined(whole, _ranges_rule(4)))
+    rule = F.when(F.col("case_id") == 2, pair).otherwise(F.coalesce(lob_pair, whole))
+    return _with_boundaries(numbered, tables).select(
+        "case_id", "SchemaName", "TableName", "rn", rule.alias("rule_json")
     )
 
 
@@ -182,10 +181,11 @@ def _with_boundaries(chosen: DataFrame, tables: Mapping[str, DataFrame]) -> Data
         ).where("loc > 1").groupBy("SchemaName", "TableName").agg(_boundary_json(found))
 
     spark = chosen.sparkSession
+    names = ["case_id", "SchemaName", "TableName", "first_column", "tiles", "rn"]
     known = local_frame(
         spark,
-        [tuple(r) for r in rows],
-        "SchemaName string, TableName string, first_column string, tiles int, rn int",
+        [tuple(r[c] for c in names) for r in rows],
+        "case_id int, SchemaName string, TableName string, first_column string, tiles int, rn int",
     )
     if not wanted:
         return known.withColumn("boundaries", F.lit(None).cast("string"))
@@ -208,12 +208,6 @@ def _row_rules(rows: DataFrame, case: int, rule: Column) -> DataFrame:
     )
 
 
-def _table_rules(rows: DataFrame, case: int, rule: Column) -> DataFrame:
-    return rows.select(
-        F.lit(case).alias("case_id"), "SchemaName", "TableName", "rn", rule.alias("rule_json")
-    )
-
-
 def _id(base: int) -> Column:
     return (F.col("rn") + base).cast("string")
 
