@@ -26,11 +26,11 @@ from tokenizers import Tokenizer
 from .common import map_columns, portions, store
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
-CACHED_CHUNKS = 600_000
+CACHED_CHUNKS = 200_000  # words a worker remembers, some 40 MB
 CACHED_LENGTH = 64
 LAST_LATIN = "ɏ"
 JOINED = 200
-PORTION = 6_000_000  # characters that are encoded at the same time
+PORTION = 2_000_000  # characters that are encoded at the same time
 
 
 # Tokenizing
