@@ -12,6 +12,7 @@ of a cell counts.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -26,11 +27,12 @@ from tokenizers import Tokenizer
 from .common import map_columns, portions, store
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
-CACHED_CHUNKS = 400_000  # words a worker remembers, some 50 MB
+CACHED_CHUNKS = 300_000  # words that a worker has met again and remembers, some 50 MB
+NEW_CHUNKS = 150_000  # words that it has met once, and forgets unless they come again
 CACHED_LENGTH = 64
 LAST_LATIN = "ɏ"
 JOINED = 200
-PORTION = 6_000_000  # characters that are encoded at the same time
+PORTION = 4_000_000  # characters that are encoded at the same time
 
 
 # Tokenizing
@@ -45,6 +47,7 @@ class Encoder:
     def __init__(self, spec: str):
         self.tokenizer = Tokenizer.from_str(spec)
         self.known: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}
         self.ends = dict(zip(".,", self.encode_words([".", ","])))
         self.ends[""] = b""
         model = json.loads(spec)["model"]
@@ -91,6 +94,22 @@ class Encoder:
         }
         return now | found
 
+    def look_up(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words that are not among the known ones.
+
+        Most distinct words of a large corpus come once. Only those that come again within the
+        next portions become known, so that frequent words fill the memory, not the first.
+        """
+        new = self.new
+        again = {w: new.pop(w) for w in words if w in new}
+        now = self.learn([w for w in words if w not in again])
+        if len(self.known) < CACHED_CHUNKS:
+            self.known |= again
+        if len(new) > NEW_CHUNKS:
+            new.clear()
+        new |= {w: i for w, i in now.items() if len(w) <= CACHED_LENGTH}
+        return now | again
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as 32-bit numbers.
 
@@ -101,12 +120,9 @@ class Encoder:
         coded = parts.flatten().dictionary_encode()
         words, word_of = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         ids = list(map(self.known.get, words))
-        missing = [w for w, i in zip(words, ids) if i is None]
-        if missing:
-            now = self.learn(missing)
-            ids = [now[w] if i is None else i for w, i in zip(words, ids)]
-            if len(self.known) < CACHED_CHUNKS:  # the first words hold all frequent ones, so they stay
-                self.known |= {w: i for w, i in now.items() if len(w) <= CACHED_LENGTH}
+        if missing := [w for w, i in zip(words, ids) if i is None]:
+            found = self.look_up(missing)
+            ids = [found[w] if i is None else i for w, i in zip(words, ids)]
         table = np.frombuffer(b"".join(ids), np.uint32)
         offsets = parts.offsets.to_numpy()
         del blank, parts, coded, words
@@ -129,6 +145,8 @@ _encoders: dict[str, Encoder] = {}
 
 def _encoder(spec: str) -> Encoder:
     if spec not in _encoders:
+        # One thread for each task: a pool of threads would keep memory for each of them.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _encoders.clear()
         _encoders[spec] = Encoder(spec)
     return _encoders[spec]
