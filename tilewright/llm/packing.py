@@ -28,7 +28,7 @@ from .common import map_columns, portions, store
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 CACHED_CHUNKS = 300_000  # words that a worker has met again and remembers, some 50 MB
-NEW_CHUNKS = 150_000  # words that it has met once, and forgets unless they come again
+NEW_CHUNKS = 250_000  # words that it has met once, and forgets unless they come again
 CACHED_LENGTH = 64
 LAST_LATIN = "ɏ"
 JOINED = 200
@@ -75,24 +75,24 @@ class Encoder:
         data = ids.tobytes()
         return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def stem(self, word: str) -> tuple[str, str]:
-        """A word without case and a last stop or comma, which the vocabulary sets apart."""
-        end = word[-1:] if word[-1:] in self.ends else ""
-        low = word[: len(word) - len(end)].lower()
-        return (low, end) if low.isalpha() and max(low) <= LAST_LATIN else (word, "")
-
     def learn(self, words: list[str]) -> dict[str, bytes]:
-        stems = {w: self.stem(w) for w in words}
-        new = {stem for stem, _ in stems.values()} - self.known.keys()
-        plain = [s for s in new if s.isalpha() and max(s) <= LAST_LATIN]
+        """The ids of words, each looked up without case and a last stop or comma, which the
+        vocabulary sets apart, where it is of letters only."""
+        ends, known = self.ends, self.known
+        stems = {}
+        for word in words:
+            end = word[-1:]
+            low = word[:-1].lower() if end in ends else word.lower()
+            if low.isalpha() and (low.isascii() or max(low) <= LAST_LATIN):
+                stems[word] = low, end if end in ends else ""
+            else:
+                stems[word] = word, ""
+        new = {stem for stem, _ in stems.values()} - known.keys()
+        plain = [s for s in new if s.isalpha() and (s.isascii() or max(s) <= LAST_LATIN)]
         other = list(new.difference(plain))
-        now = dict(zip(plain, self.encode_plain(plain))) | dict(zip(other, self.encode_words(other)))
-        known = self.known
-        found = {
-            w: (known[stem] if stem in known else now[stem]) + self.ends[end]
-            for w, (stem, end) in stems.items()
-        }
-        return now | found
+        now = dict(zip(plain, self.encode_plain(plain)))
+        now.update(zip(other, self.encode_words(other)))
+        return {w: (known[stem] if stem in known else now[stem]) + ends[end] for w, (stem, end) in stems.items()}
 
     def look_up(self, words: list[str]) -> dict[str, bytes]:
         """The ids of words that are not among the known ones.
