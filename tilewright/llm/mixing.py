@@ -2,10 +2,11 @@
 
 The words of each source, its documents one after another, are cut into blocks of a
 fixed length. A source's target asks for some passes over its blocks and part of a
-further one. Every slot of the mix draws its output shard, so that a shard's counts
-per source are multinomial while each source's total stays exact. Slots map to blocks
-through a pseudorandom permutation of the source's block numbers, and meet the
-documents in a join by block number.
+further one. How many slots each output shard gets of each source is drawn first: the
+counts are multinomial, given the exact total of each source. They then allot the
+slots: shard after shard takes its count of the source's slot numbers, which map to
+blocks through a pseudorandom permutation of the source's block numbers, and blocks
+meet the documents in a join by block number.
 """
 
 from __future__ import annotations
@@ -86,6 +87,23 @@ def row_mark(id_col: str, text_col: str, source_col: str) -> Column:
     return F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`"), F.col(f"`{source_col}`"))
 
 
+def running_sum(df: DataFrame, at: str, value: str, name: str, together: int = 4096) -> DataFrame:
+    """Add ``name``: the sum of ``value`` over a source's rows with a lesser number ``at``.
+
+    Numbers are unique within a source. Sums are taken within runs of ``together`` numbers
+    and shifted by the sums of the runs before, so that no task holds a large source.
+    """
+    rows = df.withColumn("_run", F.floor(F.col(at) / together))
+    sums = rows.groupBy("source", "_run").agg(F.sum(value).alias("_sum"))
+    before = W.partitionBy("source").orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_shift")
+    sums = sums.select(F.col("source").alias("_source"), F.col("_run").alias("_of"), shift)
+    inside = W.partitionBy("source", "_run").orderBy(at).rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    here = F.col("source").eqNullSafe(F.col("_source")) & (F.col("_run") == F.col("_of"))
+    return rows.join(sums, here).select(*df.columns, (F.col("_shift") + F.col("_inside")).alias(name))
+
+
 def placed_documents(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -124,13 +142,9 @@ def placed_documents(
         "mix-running",
     )
     shift = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    order = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    shift = running_sum(shift, "bucket", "bucket_size", "shift")
     shift = store(
-        shift.select(
-            F.col("source").alias("_source"),
-            F.col("bucket").alias("_bucket"),
-            F.coalesce(F.sum("bucket_size").over(order), F.lit(0)).alias("shift"),
-        ),
+        shift.select(F.col("source").alias("_source"), F.col("bucket").alias("_bucket"), "shift"),
         "mix-shifts",
     )
     here = F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket"))
@@ -141,13 +155,12 @@ def placed_documents(
     return placed, sources
 
 
-def slots(sources: DataFrame, block: int, shard_slots: int = 4096, seed: int = 42) -> DataFrame:
-    """One row per slot of the mix: source, pass, block number, words taken of it, output shard.
+def slot_totals(sources: DataFrame, block: int, shard_slots: int = 4096, seed: int = 42) -> DataFrame:
+    """One row per source with slots: their exact ``count``, and the number of output ``shards``.
 
     A target of 1.3 times a source's words is one pass over all its blocks and a second
     one that stops after 0.3 of the words; the last slot may take part of its block.
     """
-    key = [F.lit(seed), F.col("source"), F.col("turn")]
     frame = sources.filter("source_size > 0").select(
         "source",
         "source_size",
@@ -170,33 +183,56 @@ def slots(sources: DataFrame, block: int, shard_slots: int = 4096, seed: int = 4
     frame = frame.withColumn("count", F.col("passes") * F.col("blocks") + partial)
     total = F.sum("count").over(W.partitionBy())
     frame = frame.withColumn("shards", F.greatest(F.lit(1), F.ceil(total / shard_slots)))
-    frame = frame.filter("count > 0")
-    # Two steps, so that a large source is expanded by many tasks.
+    return frame.filter("count > 0")
+
+
+def chunked(frame: DataFrame) -> DataFrame:
+    """``number`` from 0 to below ``count`` for every row, in two steps, so that many tasks expand a large one."""
     chunks = F.explode(F.sequence(F.lit(0), F.floor((F.col("count") - 1) / CHUNK)))
-    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    frame = frame.select("*", chunks.alias("chunk")).repartition(tasks, "source", "chunk")
-    first = F.col("chunk") * CHUNK
+    tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    frame = frame.select("*", chunks.alias("_chunk")).repartition(tasks, "source", "_chunk")
+    first = F.col("_chunk") * CHUNK
     last = F.least(first + CHUNK, F.col("count")) - 1
-    frame = frame.select("*", F.explode(F.sequence(first, last)).alias("slot"))
+    return frame.select("*", F.explode(F.sequence(first, last)).alias("number")).drop("_chunk")
+
+
+def shard_counts(totals: DataFrame, seed: int = 42) -> DataFrame:
+    """Draw how many slots of each source every output shard gets: ``source``, ``shard``, ``slots``.
+
+    Each source throws as many times as it has slots, every throw at a shard chosen by a
+    hash: multinomial counts that keep the source's total. Shards without slots have no row.
+    """
+    throw = F.pmod(F.xxhash64(F.lit(seed + 1), "source", "number"), "shards")
+    return chunked(totals).groupBy("source", throw.alias("shard")).agg(F.count("*").alias("slots"))
+
+
+def slots(sources: DataFrame, block: int, shard_slots: int = 4096, seed: int = 42) -> DataFrame:
+    """One row per slot of the mix: source, pass, block number, words taken of it, output shard.
+
+    The drawn counts allot the slots: a source's shards take its slot numbers in turn.
+    """
+    totals = store(slot_totals(sources, block, shard_slots, seed), "mix-totals")
+    counts = store(shard_counts(totals, seed), "mix-counts")
+    allotted = running_sum(counts, "shard", "slots", "from")
+    known = totals.drop("count").withColumnRenamed("source", "_source")
+    frame = allotted.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    # A shard has as many slots of all sources as ``shard_slots``, give or take, so rows stay small.
+    frame = chunked(frame.withColumnRenamed("slots", "count"))
+    frame = frame.withColumn("slot", F.col("from") + F.col("number"))
     frame = frame.withColumn("turn", F.floor(F.col("slot") / F.col("blocks")))
     frame = frame.withColumn("at", F.col("slot") - F.col("turn") * F.col("blocks"))
+    key = [F.lit(seed), F.col("source"), F.col("turn")]
     frame = frame.withColumn("block", permuted(F.col("at"), F.col("blocks"), *key))
     length = F.when(F.col("block") == F.col("blocks") - 1, F.col("tail")).otherwise(block)
     before = F.col("at") * block - F.when(F.col("at") > F.col("short"), block - F.col("tail")).otherwise(0)
     taken = F.when(F.col("turn") < F.col("passes"), length).otherwise(
         F.least(length, F.col("rest") - before)
     )
-    shard = F.pmod(F.xxhash64(F.lit(seed + 1), "source", "slot"), "shards")
-    frame = frame.select("source", "turn", "block", taken.alias("taken"), shard.alias("shard"))
+    frame = frame.select("source", "turn", "block", taken.alias("taken"), "shard")
     # Written, so that joins are planned by its true size, which a few rows of sources hide.
     return store(frame, "mix-slots")
 
 
-def shard_counts(slot_frame: DataFrame) -> DataFrame:
-    """Slots per output shard and source: a multinomial draw, exact in each source's total."""
-    return slot_frame.groupBy("shard", "source").agg(F.count("*").alias("slots"))
-
-
 def taken_parts(placed: DataFrame, slot_frame: DataFrame, block: int) -> DataFrame:
     """For every document and block of it that the mix takes: the words taken, by number.
 
@@ -231,6 +267,7 @@ def mix(
 ) -> DataFrame:
     """Per document its size, its source's size and target, and the words the mix takes of it.
 
+    ``shards`` lists the output shards that hold words of the document, in order.
     A null or wordless text has size 0 and is taken 0 words; a source of such texts only
     has target 0. A null source is a source of its own, sorted last. Documents are taken
     at most twice. Repeated rows are separate documents, one row each; a null id stays
@@ -242,12 +279,16 @@ def mix(
     parts = taken_parts(placed, slots(sources, block), block)
     parts = parts.withColumn("taken", F.col("past") - F.col("first"))
     keys = ["doc_id", "source", "size", "source_size", "target", "start"]
-    none = placed.filter("size = 0").select(*keys, F.lit(0).cast("long").alias("taken"))
+    untaken = [F.lit(0).cast("long").alias("taken"), F.lit(None).cast("long").alias("shard")]
     # Every document with words meets here, taken or not; starts are unique within a source.
-    rest = placed.filter("size > 0").select(*keys, F.lit(0).cast("long").alias("taken"))
-    some = parts.select(*keys, "taken").unionByName(rest)
-    some = some.groupBy(*keys).agg(F.sum("taken").alias("taken"))
-    return some.unionByName(none).select("doc_id", "size", "source_size", "target", "taken", "source")
+    rest = placed.filter("size > 0").select(*keys, *untaken)
+    some = parts.select(*keys, "taken", "shard").unionByName(rest)
+    held = F.sort_array(F.collect_set("shard")).alias("shards")
+    some = some.groupBy(*keys).agg(F.sum("taken").alias("taken"), held)
+    none = placed.filter("size = 0").select(*keys, untaken[0], F.array().cast("array<long>").alias("shards"))
+    return some.unionByName(none).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "shards"
+    )
 
 
 def mixed_documents(
@@ -257,10 +298,13 @@ def mixed_documents(
     text_col: str = "text",
     source_col: str = "source",
     length_col: str = "n_chars",
+    shard_col: str | None = None,
     **targets,
 ) -> DataFrame:
     """The mix itself as rows with the columns of ``df``: one row per document and pass.
 
+    With ``shard_col``, one row per document, pass and output shard, and that column for the shard.
+
     A document that a pass takes whole keeps its text as it is. Of others the words taken
     remain, joined by blanks, and ``length_col``, if there, becomes their code points.
     Documents of which nothing is taken, such as those without words, are not in the mix.
@@ -268,13 +312,15 @@ def mixed_documents(
     placed, sources = placed_documents(df, id_col, text_col, source_col, **targets)
     parts = taken_parts(store(placed, "mix-placed"), slots(sources, block), block)
     spans = F.sort_array(F.collect_list(F.struct("first", "past")))
-    parts = parts.groupBy("doc_id", "mark", "start", "turn", "size").agg(
+    split = ["shard"] if shard_col else []
+    parts = parts.groupBy("doc_id", "mark", "start", "turn", "size", *split).agg(
         spans.alias("_spans"), F.sum(F.col("past") - F.col("first")).alias("_taken")
     )
     parts = parts.select(
         F.col("mark").alias("_mark"),
         (F.col("_taken") == F.col("size")).alias("_whole"),
         "_spans",
+        *(F.col(c).alias("_shard") for c in split),
     )
     # Repeated rows share a mark, and the parts of all of them meet the first. The row itself is
     # one column, so that no name of the table meets one of these.
@@ -296,4 +342,6 @@ def mixed_documents(
     kept[text_col] = F.col("_new")
     if length_col in kept:
         kept[length_col] = F.length("_new").cast(df.schema[length_col].dataType)
+    if shard_col:
+        kept[shard_col] = F.col("_shard")
     return both.select(*(value.alias(c) for c, value in kept.items()))
