@@ -211,21 +211,27 @@ def held_out(id_col: Column, folds: int = 4, fold: int = 2) -> Column:
 def fit(df: DataFrame, sample: int = 500, order: int = 4) -> tuple[Identifier, Calibration] | None:
     """Models and calibration from at most ``sample`` documents of each language in ``df``.
 
-    ``df`` has ``doc_id``, ``text`` and ``lang``. The documents with the least hashes of
-    their ids are taken; a fifth of them is kept back for the calibration. What comes to
-    the driver is the words of the sample with their counts. None if nothing is labelled.
+    ``df`` has ``text`` and ``lang``. The texts with the least hashes are taken, each once
+    however many rows repeat it; a fifth of them is kept back for the calibration. What
+    comes to the driver is the words of the sample with their counts, and numbers for the
+    texts kept back. None if nothing is labelled.
     """
-    chosen = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    labelled = df.filter("lang is not null and text is not null")
+    spark = df.sparkSession
+    mark = F.xxhash64("text", F.lit(2))
+    labelled = df.filter("lang is not null and text is not null").select("text", "lang", mark.alias("mark"))
     # Thinned by hash to some times the sample first, so that no task ranks a whole language.
-    sizes = store(labelled.groupBy("lang").agg(F.count("*").alias("_size")), "langid-sizes")
+    different = labelled.groupBy("lang").agg(F.approx_count_distinct("mark").alias("_size"))
+    sizes = store(different.withColumnRenamed("lang", "_lang"), "langid-sizes")
     wanted = F.lit(4.0 * sample * THINNING) / F.col("_size")
-    thinned = labelled.join(sizes, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(THINNING)) <= wanted)
-    ids = thinned.select("doc_id", "lang", chosen.alias("_n")).filter(F.col("_n") <= sample)
-    ids = store(ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct(), "langid-ids")
-    part = labelled.join(ids, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
-    back = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(5)) == 0
-    part = store(part.select("doc_id", "text", "lang", back.alias("back")), "langid-sample")
+    thinned = labelled.join(sizes, F.col("lang") == F.col("_lang"))
+    thinned = thinned.filter(F.pmod("mark", F.lit(THINNING)) <= wanted).select("lang", "mark").distinct()
+    chosen = F.row_number().over(W.partitionBy("lang").orderBy(F.pmod("mark", F.lit(THINNING)), "mark"))
+    marks = thinned.select("lang", "mark", chosen.alias("_n")).filter(F.col("_n") <= sample)
+    marks = store(marks.select(F.col("lang").alias("_lang"), F.col("mark").alias("_mark")), "langid-marks")
+    part = labelled.join(marks, (F.col("mark") == F.col("_mark")) & (F.col("lang") == F.col("_lang")))
+    part = part.groupBy("lang", "mark").agg(F.min("text").alias("text"))
+    back = F.pmod(F.xxhash64("mark", F.lit(1)), F.lit(5)) == 0
+    part = store(part.select("mark", "text", "lang", back.alias("back")), "langid-sample")
 
     def make():
         def rows(texts, langs):
@@ -245,22 +251,35 @@ def fit(df: DataFrame, sample: int = 500, order: int = 4) -> tuple[Identifier, C
     if not words:
         return None
     identifier = Identifier(Models(words, order))
-    names = identifier.models.languages
-    kept = part.filter("back").select("text", "lang").toArrow().to_pydict()
-    truth = np.array([names.index(x) if x in names else -1 for x in kept["lang"]], int)
+    shared = spark.sparkContext.broadcast(identifier)
     # Besides whole texts, short pieces of growing length: long texts alone are hardly ever wrong.
-    cuts = [(0, 1), (1, 3), (3, 7), (7, 15), (15, 31)]
-    pieces = [[" ".join(t.split()[a:b]) for t in kept["text"]] for a, b in cuts]
-    leads, right = [], []
-    highest = np.zeros(0)
-    for texts in [*pieces, kept["text"]]:
-        blocks = [identifier.score(texts[a:b]) for a, b in portions(texts)]
-        sums = np.concatenate([np.zeros((0, len(names) + 2)), *blocks])
-        best, highest, lead = entropies(sums, identifier.models.alphabet)
-        some = sums[:, -1] > 0
-        leads.append(lead[some])
-        right.append((best == truth)[some])
-    calibration = Calibration(np.concatenate(leads), np.concatenate(right), highest)
+    cuts = [(0, 1), (1, 3), (3, 7), (7, 15), (15, 31), (0, None)]
+
+    def make_scores():
+        identifier = shared.value
+        models = identifier.models
+
+        def rows(marks, texts, langs):
+            truth = np.array([models.languages.index(x) if x in models.languages else -1 for x in langs], int)
+            for number, (a, b) in enumerate(cuts):
+                pieces = texts if b is None else [" ".join(t.split()[a:b]) for t in texts]
+                for start, end in portions(pieces):
+                    sums = identifier.score(pieces[start:end])
+                    best, entropy, lead = entropies(sums, models.alphabet)
+                    letters = sums[:, -1] > 0
+                    yield from zip(
+                        [number] * (end - start), marks[start:end], langs[start:end], lead.tolist(),
+                        (best == truth[start:end]).tolist(), letters.tolist(), entropy.tolist(),
+                    )
+
+        return rows
+
+    schema = "cut int, mark long, lang string, lead double, right boolean, letters boolean, entropy double"
+    scores = map_columns(part.filter("back").select("mark", "text", "lang"), schema, make_scores)
+    scores = scores.toArrow().to_pandas().sort_values(["cut", "mark", "lang"], ignore_index=True)
+    usable = scores[scores["letters"].astype(bool)]
+    whole = scores.loc[scores["cut"] == len(cuts) - 1, "entropy"].to_numpy(float)
+    calibration = Calibration(usable["lead"].to_numpy(float), usable["right"].to_numpy(bool), whole)
     return Identifier(identifier.models), calibration
 
 
@@ -286,7 +305,7 @@ def identify_languages(
         F.col(f"`{text_col}`").alias("text"),
         F.col(f"`{lang_col}`").cast("string").alias("lang"),
     )
-    fitted = fit(rows.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))), sample, order)
+    fitted = fit(rows.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("text", "lang"), sample, order)
     shared = df.sparkSession.sparkContext.broadcast(fitted)
 
     def make():
