@@ -93,6 +93,49 @@ def test_language_accuracy(spark, docs):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+def test_language_samples_texts_not_ids(spark):
+    """Rows that share one id, and copies beyond number, neither hide a language nor fill the sample."""
+    words = {"en": "the quick brown fox and the dog", "de": "der schnelle Fuchs und ein Hund"}
+    rows = [(1, f"{words[x]} {i}", x) for x in words for i in range(300)]
+    rows += [(1, words["en"], "en")] * 3000
+    frame = local_frame(spark, rows, "doc_id long, text string, lang string")
+    found = langid.identify_languages(frame, sample=100).collect()
+    assert len(found) == len(rows) and collections.Counter(r.lang_pred for r in found) == {"en": 3300, "de": 300}
+
+
+def test_kneser_ney_by_brute_force():
+    """Likelihoods of order two, counted by hand: absolute discount, continuation counts below."""
+    words = {"x": {"ab": 3, "ac": 1, "b": 2}, "y": {"ca": 2, "b": 1}}
+    models = langid.Models(words, order=2)
+    end = chr(langid.END)
+    alphabet = {c for table in words.values() for w in table for c in w + end}
+    for at, name in enumerate(models.languages):
+        pairs = collections.Counter()
+        for word, n in words[name].items():
+            for one, two in zip(" " + word, word + end):
+                pairs[one, two] += n
+        ends = collections.Counter(two for _, two in pairs)
+
+        def parts(table):
+            once, twice = (sum(n == k for n in table.values()) for k in (1, 2))
+            return min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
+
+        high, low = parts(pairs), parts(ends)
+
+        def chance(one, two):
+            below = max(ends[two] - low, 0) / sum(ends.values())
+            below += low * len(ends) / sum(ends.values()) / (len(alphabet) + 1)
+            of_one = {p: n for p, n in pairs.items() if p[0] == one}
+            if not of_one:
+                return below
+            total = sum(of_one.values())
+            return max(pairs[one, two] - high, 0) / total + high * len(of_one) / total * below
+
+        for word in ("ab", "ac", "b", "cab", "zz", ""):
+            want = sum(np.log(chance(one, two)) for one, two in zip(" " + word, word + end))
+            assert models.score([word])[0, at] == pytest.approx(want, rel=1e-4)
+
+
 def test_language_of_nothing(odd):
     found = {r.doc_id: r for r in langid.identify_languages(odd).collect()}
     assert [found[i].lang_pred for i in (2, 3, 4, 6)] == ["und"] * 4
@@ -283,6 +326,49 @@ def brute_targets(sizes):
         free -= over
 
 
+def test_shard_counts_allot_the_slots(spark):
+    """The drawn counts keep each source's total, and every slot goes to the shard they say."""
+    rows = [("a", 64_000, 90, 100_000.0), (None, 12_345, 9, 24_690.0), ("b", 10, 2, 7.0), ("c", 0, 1, 0.0)]
+    sources = local_frame(spark, rows, "source string, source_size long, documents long, target double")
+    totals = mixing.slot_totals(sources, 16, shard_slots=256)
+    whole = {r.source: r["count"] for r in totals.collect()}
+    shards = {r.shards for r in totals.collect()}
+    counts = {(r.source, r.shard): r.slots for r in mixing.shard_counts(totals).collect()}
+    assert set(whole) == {"a", None, "b"} and shards == {-(-sum(whole.values()) // 256)}
+    for name, total in whole.items():
+        assert sum(n for (s, _), n in counts.items() if s == name) == total
+    # Chi-square of the largest source over its shards: mean n - 1, deviation sqrt(2 (n - 1)).
+    n = shards.pop()
+    mean = whole["a"] / n
+    chi = sum((counts.get(("a", i), 0) - mean) ** 2 / mean for i in range(n))
+    assert abs(chi - (n - 1)) < 5 * (2 * (n - 1)) ** 0.5
+    slots = mixing.slots(sources, 16, shard_slots=256).collect()
+    assert collections.Counter((r.source, r.shard) for r in slots) == counts
+    assert len({(r.source, r.turn, r.block) for r in slots}) == len(slots) == sum(whole.values())
+    taken = collections.Counter()
+    for r in slots:
+        taken[r.source] += r.taken
+    assert taken == {s: round(t) for s, _, _, t in rows if t}
+
+
+def test_running_sum(spark):
+    values = [(s, i, (i * 7) % 5) for s in ("a", None) for i in range(0, 90, 2)]
+    frame = local_frame(spark, values, "source string, at long, n long")
+    for r in mixing.running_sum(frame, "at", "n", "before", together=8).collect():
+        assert r.before == sum(n for s, i, n in values if s == r.source and i < r["at"])
+
+
+def test_mixed_documents_by_shard(docs):
+    """A document's words in every shard are those that the mix says."""
+    held = {r.doc_id: r.shards for r in mixing.mix(docs, block=64).collect()}
+    out = mixing.mixed_documents(docs, block=64, shard_col="shard")
+    assert out.columns == [*docs.columns, "shard"]
+    found = collections.defaultdict(set)
+    for r in out.collect():
+        found[r.doc_id].add(r.shard)
+    assert {i: sorted(s) for i, s in found.items()} == {i: s for i, s in held.items() if s}
+
+
 def test_permutation(spark):
     for n in (1, 2, 7, 64, 100):
         x, size, key = F.col("id"), F.lit(n).cast("long"), F.lit(5)
@@ -511,7 +597,7 @@ def test_neighbours(spark):
     ids = np.array([i for i, _ in rows])
     vectors = neighbours.unit(np.array([v for _, v in rows], float))
     found = collections.defaultdict(dict)
-    for r in neighbours.nearest(table, block=200).collect():
+    for r in neighbours.nearest(table, block=200, query_block=10, together=4).collect():
         found[r.query_id][r.rank] = (r.vec_id, r.score)
     hits = total = 0
     for q in np.flatnonzero(ids % 50 == 0):
