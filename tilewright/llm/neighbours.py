@@ -104,7 +104,8 @@ def nearest(
     width: float = 1.0,
     factor: float = 1.1,
     block: int = 8192,
-    query_block: int = 512,
+    query_block: int = 4096,
+    together: int = 512,
     seed: int = 42,
 ) -> DataFrame:
     """The ``k`` nearest rows by cosine of every query, approximately.
@@ -118,6 +119,9 @@ def nearest(
     other. With fewer candidates than ``k``, all of them are returned. Rows that repeat an
     id are candidates of their own; as queries, only one row of an id counts (that with the
     least vector). An empty table gives an empty result.
+
+    The rows are copied once for every ``query_block`` queries, whose collisions are
+    counted ``together`` at a time, so that a task's memory does not grow with that block.
     """
     rows = df.select(
         F.col(f"`{id_col}`").cast("long").alias("vec_id"),
@@ -145,16 +149,17 @@ def nearest(
             ids = members["vec_id"].to_numpy()
             drawn = np.random.default_rng(seed).standard_normal((vectors.shape[1], lines))
             index = Index(vectors, drawn)
-            found = index.candidates(wanted, share, candidates + k, width, factor)
             keys_asked = asking["vec_id"].tolist()
-            for q, near in found:
-                key, query = keys_asked[q], wanted[q]
-                near = near[ids[near] != key]
-                score = cosines(query, vectors[near])
-                best = np.lexsort((ids[near], -score))[:k]
-                out["query_id"] += [key] * len(best)
-                out["vec_id"] += ids[near][best].tolist()
-                out["score"] += score[best].tolist()
+            for start in range(0, len(wanted), together):
+                found = index.candidates(wanted[start : start + together], share, candidates + k, width, factor)
+                for q, near in found:
+                    key, query = keys_asked[start + q], wanted[start + q]
+                    near = near[ids[near] != key]
+                    score = cosines(query, vectors[near])
+                    best = np.lexsort((ids[near], -score))[:k]
+                    out["query_id"] += [key] * len(best)
+                    out["vec_id"] += ids[near][best].tolist()
+                    out["score"] += score[best].tolist()
         return pd.DataFrame(out)
 
     keys = ["part", "query_part", "size"]
