@@ -1,10 +1,11 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from tilewright.operators import column_stats, compare_buckets, compare_rows, compare_tables, distinct_counts, sequence_positions
-from tilewright.operators.compare import _both_sides, bucket_digests
+from tilewright.operators.compare import PRIMES, _both_sides, _by_key, bucket_digests
 from tilewright.session import local_frame
 
 DDL = "k int, a string, b double"
@@ -158,6 +159,83 @@ def test_no_join_in_plan(spark):
     assert "Join" not in plan and "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("kind", ["int", "string", "double", "struct<x:double,y:int>", "map<int,double>"])
+def test_rows_move_by_key_and_not_their_sums(spark, tmp_path, kind):
+    """The sums of all columns are many times as wide as a row: they come after the last shuffle."""
+    path, ddl = str(tmp_path / "t"), f"k {kind}, " + ", ".join(f"v{i} double" for i in range(10))
+    spark.createDataFrame([], ddl).write.parquet(path)
+    df = spark.read.parquet(path)
+    found = compare_tables(df, df.withColumn("v0", F.lit(2.0)), ["k"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    later, earlier = plan[: plan.index("Exchange")], plan[plan.index("Exchange") :]
+    assert plan.count("Exchange") == 2 and "partial_min" in later and "min(" not in earlier
+
+
+def by_hand(source, target):
+    """Of repeated keys: rows that are on one side more often, and the columns whose values are in other proportions."""
+    found = {}
+    for key in {r[0] for r in source + target}:
+        counts = [Counter(r[1:] for r in side if r[0] == key) for side in (source, target)]
+        left, right = counts[0] - counts[1], counts[1] - counts[0]
+        rows = left.total(), right.total()
+        if not any(rows):
+            continue
+        if not all(rows):
+            found[key] = ("missing" if rows[0] else "extra", *rows, "")
+            continue
+        changed, varied = [], []
+        for i, name in enumerate("ab"):
+            sides = [Counter(), Counter()]
+            for side, unequal in zip(sides, (left, right)):
+                for row, n in unequal.items():
+                    side[row[i]] += n
+            values = set(sides[0]) | set(sides[1])
+            if any(sides[0][v] * rows[1] != sides[1][v] * rows[0] for v in values):
+                changed.append(name)
+            if len(values) > 1:
+                varied.append(name)
+        found[key] = ("changed", *rows, ",".join(changed or varied))
+    return found
+
+
+@pytest.mark.parametrize("kind", ["int", "double", "struct<x:double>"])
+def test_repeated_keys_by_hand(spark, kind):
+    rng = random.Random(kind)
+
+    def rows(n):
+        return [(rng.choice([None, *range(30)]), rng.choice("ab"), rng.choice([None, 0.0, 1.5])) for _ in range(n)]
+
+    source, target = rows(150), rows(130)
+    k = F.struct(F.col("k").cast("double").alias("x")) if kind.startswith("struct") else F.col("k").cast(kind)
+    k = F.when(F.col("k").isNotNull(), k)
+    sides = [local_frame(spark, side, DDL).withColumn("k", k) for side in (source, target)]
+    wanted = by_hand(source, target)
+    found = {}
+    for r in compare_tables(*sides, ["k"]).collect():
+        key = r.k.x if kind.startswith("struct") and r.k is not None else r.k
+        found[key] = (r.status, r.source_rows, r.target_rows, r.changed_columns)
+    assert found == wanted and len({w[3] for w in wanted.values()}) > 2
+
+
+def test_keys_that_count_as_one(spark):
+    """Both zeros are one key, as are all that are not a number, wherever their rows come from."""
+    source = [(0.0, "x"), (float("nan"), "x"), (None, "x")]
+    target = [(-0.0, "y"), (float("nan"), "y"), (None, "y")]
+    sides = [local_frame(spark, rows, "k double, a string").repartition(3) for rows in (source, target)]
+    found = compare_tables(*sides, ["k"]).collect()
+    assert sorted(repr(r.k) for r in found) == ["0.0", "None", "nan"]
+    assert {tuple(r)[1:] for r in found} == {("changed", 1, 1, "a")}
+
+
+@pytest.mark.parametrize("times", PRIMES)
+def test_surplus_of_a_prime(spark, times):
+    """Counts that are zero by one of the moduli of the sums are told by the other."""
+    rows = [(1, "a", 1.0, times, 0), (1, "b", 1.0, 0, times), (2, "a", 1.0, times, 0), (2, "a", 2.0, 0, 1)]
+    wide = local_frame(spark, rows, DDL + ", source_surplus bigint, target_surplus bigint")
+    found = {r.k: tuple(r)[1:] for r in _by_key(wide, ["k", "a", "b"], ["k"]).collect()}
+    assert found == {1: ("changed", times, times, "a"), 2: ("changed", times, 1, "b")}
+
+
 def test_sequences(spark):
     frames = {
         "t": (local_frame(spark, [(3,), (9,), (None,)], "k int"), "k"),

@@ -1,8 +1,9 @@
 """Comparison of a source table with its loaded copy.
 
 Both sides are folded into one aggregate over whole rows, signed by side, so
-there is no join: equal rows cancel out before or in the single shuffle, and a
-key that holds a large share of the rows cannot pair up with itself.
+there is no join: equal rows cancel out before or in one shuffle, and a key that
+holds a large share of the rows cannot pair up with itself. Only unequal rows are
+shuffled again, by key.
 
 ``compare_buckets`` gives the same result where most rows are equal, as after a load,
 without moving them: both sides are first folded into order-free digests of hash buckets of
@@ -20,6 +21,8 @@ from tilewright.session import materialize
 
 # Buckets of the key, and how many each of them is divided into where it differs.
 BUCKETS, SUB_BUCKETS = 1 << 14, 1 << 10
+# Sums of hashes are taken modulo these primes, one for either half of a hash: so they fit 64 bits for any count.
+PRIMES = (2147483647, 2147483629)
 
 
 def compare_rows(
@@ -71,8 +74,8 @@ def compare_tables(
 
     ``changed_columns`` lists the differing columns in table order. For a repeated
     key the unmatched rows of both sides are compared: a column counts as changed if
-    the values occur in different proportions there, told by two independent sums of
-    hashes. If none does, values have only been paired anew, and the columns that
+    the values occur in different proportions there, told by the sums of both halves of
+    their hashes modulo a prime. If none does, values have only been paired anew, and the columns that
     hold several values among those rows are listed.
     """
     return _by_key(compare_rows(source, target, digest), source.columns, keys)
@@ -179,27 +182,44 @@ def _ordered(col: Column, dtype: T.DataType) -> Column:
 
 
 def _by_key(rows: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """One row per key of the unequal ``rows``.
+
+    The rows themselves are shuffled, not sums of them: most keys have few, and the sums of
+    all columns are many times as wide as a row. They are made where a key's rows have met,
+    in constant memory per key; 2^32 different unmatched rows of a key would be an error.
+    """
     values = [c for c in columns if c not in set(keys)]
+    rows, places = _by_place(rows, keys)
+    # Hashes and their products with the row's count are made once per row, in projections of their own.
+    hashes = [F.xxhash64(F.lit(0), *_hash_inputs(rows, [c])).alias(f"__hash_{i}") for i, c in enumerate(values)]
+    kept = [*places, *[quoted(k) for k in keys], "source_surplus", "target_surplus"]
+    hashed = rows.select(*kept, *hashes)
+    weighted = []
+    for i in range(len(values)):
+        x = F.col(f"__hash_{i}")
+        for j, half in enumerate((F.shiftrightunsigned(x, 32), x.bitwiseAND(F.lit(0xFFFFFFFF)))):
+            # A row is on one side only, so the sum of both counts is its count there.
+            times = (F.col("source_surplus") + F.col("target_surplus")) % PRIMES[j]
+            weighted.append(((half % PRIMES[j]) * times % PRIMES[j]).alias(f"__times{j}_{i}"))
     measures = [
         F.sum("source_surplus").alias("source_rows"),
         F.sum("target_surplus").alias("target_rows"),
     ]
     changed, varied = [], []
     for i, c in enumerate(values):
-        for seed in (0, 1):
-            hashed = F.pmod(F.xxhash64(F.lit(seed), *_hash_inputs(rows, [c])), F.lit(1 << 32))
+        differs = []
+        for j, prime in enumerate(PRIMES):
             for side in ("source", "target"):
-                times = F.col(f"{side}_surplus").cast("decimal(18,0)")
-                total = F.sum((hashed.cast("decimal(10,0)") * times).cast("decimal(28,0)"))
-                measures.append(total.alias(f"__{side}{seed}_{i}"))
-            measures.append((F.min(hashed) != F.max(hashed)).alias(f"__varied{seed}_{i}"))
-        differs = [
-            F.col(f"__source{s}_{i}") * F.col("target_rows").cast("decimal(20,0)")
-            != F.col(f"__target{s}_{i}") * F.col("source_rows").cast("decimal(20,0)")
-            for s in (0, 1)
-        ]
+                here = F.when(F.col(f"{side}_surplus") > 0, F.col(f"__times{j}_{i}")).otherwise(F.lit(0))
+                measures.append(F.sum(here.cast("bigint")).alias(f"__{side}{j}_{i}"))
+            products = [
+                (F.col(f"__{side}{j}_{i}") % prime) * (F.col(f"{other}_rows") % prime) % prime
+                for side, other in (("source", "target"), ("target", "source"))
+            ]
+            differs.append(products[0] != products[1])
+        measures.append((F.min(f"__hash_{i}") != F.max(f"__hash_{i}")).alias(f"__varied_{i}"))
         changed.append(F.when(differs[0] | differs[1], F.lit(c)))
-        varied.append(F.when(F.col(f"__varied0_{i}") | F.col(f"__varied1_{i}"), F.lit(c)))
+        varied.append(F.when(F.col(f"__varied_{i}"), F.lit(c)))
     both = (F.col("source_rows") > 0) & (F.col("target_rows") > 0)
     status = (
         F.when(both, "changed").when(F.col("source_rows") > 0, "missing").otherwise("extra")
@@ -207,7 +227,8 @@ def _by_key(rows: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> Dat
     listed = F.concat_ws(",", *changed)
     listed = F.when(listed != "", listed).otherwise(F.concat_ws(",", *varied))
     return (
-        rows.groupBy(*[quoted(k) for k in keys])
+        hashed.select(*kept, *[f"__hash_{i}" for i in range(len(values))], *weighted)
+        .groupBy(*places, *[quoted(k) for k in keys])
         .agg(*measures)
         .select(
             *[quoted(k) for k in keys],
@@ -219,6 +240,23 @@ def _by_key(rows: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> Dat
     )
 
 
+def _by_place(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The rows shuffled by key, and columns to group by besides the keys so that they are not shuffled again.
+
+    Keys that Spark rewrites to group by them (floating point and nested ones) are placed by a hash.
+    """
+    plain, places = [], {}
+    for i, k in enumerate(keys):
+        col, dtype = F.col(quoted(k)), rows.schema[k].dataType
+        if isinstance(dtype, (T.FloatType, T.DoubleType, T.ArrayType, T.MapType, T.StructType)):
+            places[f"__place_{i}"] = F.xxhash64(_hashable(col, dtype))
+        else:
+            plain.append(col)
+    if not keys:
+        return rows, []
+    return rows.withColumns(places).repartition(*plain, *places), list(places)
+
+
 def _comparable(column: str, digest: set[str]) -> Column:
     col = F.col(quoted(column))
     return F.sha2(col.cast("binary"), 256).alias(column) if column in digest else col
