@@ -227,6 +227,11 @@ def test_keys_that_count_as_one(spark):
     assert {tuple(r)[1:] for r in found} == {("changed", 1, 1, "a")}
 
 
+def test_key_in_other_case(spark):
+    sides = [local_frame(spark, [(1, a, 1.0), (2, "x", 1.0)], DDL) for a in "xy"]
+    assert [tuple(r) for r in compare_tables(*sides, ["K"]).collect()] == [(1, "changed", 1, 1, "a")]
+
+
 @pytest.mark.parametrize("times", PRIMES)
 def test_surplus_of_a_prime(spark, times):
     """Counts that are zero by one of the moduli of the sums are told by the other."""

@@ -192,7 +192,7 @@ def _by_key(rows: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> Dat
     rows, places = _by_place(rows, keys)
     # Hashes and their products with the row's count are made once per row, in projections of their own.
     hashes = [F.xxhash64(F.lit(0), *_hash_inputs(rows, [c])).alias(f"__hash_{i}") for i, c in enumerate(values)]
-    kept = [*places, *[quoted(k) for k in keys], "source_surplus", "target_surplus"]
+    kept = [*places, *dict.fromkeys(quoted(k) for k in keys), "source_surplus", "target_surplus"]
     hashed = rows.select(*kept, *hashes)
     weighted = []
     for i in range(len(values)):
@@ -247,7 +247,7 @@ def _by_place(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str
     """
     plain, places = [], {}
     for i, k in enumerate(keys):
-        col, dtype = F.col(quoted(k)), rows.schema[k].dataType
+        col, dtype = F.col(quoted(k)), rows.select(quoted(k)).schema[0].dataType
         if isinstance(dtype, (T.FloatType, T.DoubleType, T.ArrayType, T.MapType, T.StructType)):
             places[f"__place_{i}"] = F.xxhash64(_hashable(col, dtype))
         else:
